@@ -126,3 +126,8 @@ def date_parts(c: Column | str, prefix: str = "") -> dict[str, Column]:
 def exact(c: Column | str, scale: int = 2) -> Column:
     """Money-like doubles as decimals, so that sums do not depend on row order."""
     return _column(c).cast(f"decimal(18,{scale})")
+
+
+def exact_mean(c: Column | str, scale: int = 2) -> Column:
+    """Average as an exact sum over the count."""
+    return F.sum(exact(c, scale)).cast("double") / F.count(_column(c))

@@ -54,8 +54,8 @@ def aggregated_sums(left: DataFrame, right: DataFrame, left_sums: Sequence[str],
 
 def join_aggregate_back(df: DataFrame, group: Sequence[str], on: Sequence[str],
                         averages: dict[str, Column], keep: Sequence[str]) -> DataFrame:
-    """Averages per group joined to the detail rows on some of the group's columns."""
-    means = df.groupBy(*group).agg(*[F.avg(c).alias(name) for name, c in averages.items()])
+    """Group averages joined to the detail rows on some of the group's columns."""
+    means = df.groupBy(*group).agg(*[c.alias(name) for name, c in averages.items()])
     details = df.select(*on, *keep)
     return means.select(*on, *averages).join(details, list(on)).select(*averages, *keep)
 

@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
-from tallyloom.plans import cleaning_queries, source_queries  # noqa: F401
+from tallyloom.plans import (  # noqa: F401
+    chart_queries,
+    cleaning_queries,
+    governance_queries,
+    model_queries,
+    relational_queries,
+    sequence_queries,
+    source_queries,
+    stream_queries,
+)
 from tallyloom.plans.registry import QUERIES, STATEMENTS
 
 __all__ = ["QUERIES", "STATEMENTS"]
