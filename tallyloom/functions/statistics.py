@@ -29,6 +29,13 @@ def geometric_mean(c: Column | str, start_count: int = 0, start_product: float =
     )
 
 
+def pearson(a: Column | str, b: Column | str) -> Column:
+    """Correlation over the rows that have both values; null where one is constant."""
+    a, b = _column(a), _column(b)
+    spread = (F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b)))
+    return F.try_divide(F.covar_pop(a, b), spread)
+
+
 # Coefficients of the published rational approximation to the
 # inverse normal distribution (relative error below 1.2e-9).
 _CENTRE_TOP = (-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02,

@@ -8,7 +8,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.statistics import gaussian, normal_quantile, tricube
+from tallyloom.functions.statistics import gaussian, normal_quantile, pearson, tricube
 from tallyloom.operators.ordering import quantiles, quantiles_of_ranks, value_ranks, with_position
 from tallyloom.workspace import materialise, small_side
 
@@ -147,14 +147,14 @@ def loess(df: DataFrame, x: str, y: str, span: float, cells: int = 20) -> DataFr
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlations of all column pairs from one pass; undefined ones are null."""
     pairs = list(combinations_with_replacement(columns, 2))
-    wide = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    wide = df.agg(*[pearson(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     cells = [
         F.struct(F.lit(a).alias("first"), F.lit(b).alias("second"),
-                 F.nullif(F.col(f"c{i}"), F.lit(float("nan"))).alias("correlation"))
+                 F.col(f"c{i}").alias("correlation"))
         for i, pair in enumerate(pairs) for a, b in dict.fromkeys([pair, pair[::-1]])]
     return wide.select(F.inline(F.array(*cells)))
 
 
 def scatter_sample_stats(df: DataFrame, keys: Sequence[str], a: str, b: str) -> DataFrame:
     """Correlation per key; null where a column is constant inside the key."""
-    return df.groupBy(*keys).agg(F.nullif(F.corr(a, b), F.lit(float("nan"))).alias("correlation"))
+    return df.groupBy(*keys).agg(pearson(a, b).alias("correlation"))

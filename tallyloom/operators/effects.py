@@ -8,11 +8,13 @@ cells, whose number does not grow with the rows per cell.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.workspace import materialise, small_side
+from tallyloom.functions.statistics import pearson
+from tallyloom.workspace import materialise
 
 
 def cells(df: DataFrame, factors: Sequence[str], value: Column) -> DataFrame:
@@ -35,42 +37,43 @@ def one_factor(cell_df: DataFrame, factor: str, centre: Column, shrinkage: float
                 (F.col("excess") / (F.col("n") + F.lit(float(shrinkage)))).alias("effect")))
 
 
+def _stacked(frames: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
 def effects(cell_df: DataFrame, factors: Sequence[str], shrinkage: float) -> DataFrame:
     """Each factor on its own against the overall mean."""
-    centre = F.lit(overall_mean(cell_df))
-    first, *rest = [one_factor(cell_df, f, centre, shrinkage) for f in factors]
-    for frame in rest:
-        first = first.unionByName(frame)
-    return first
+    kept = materialise(cell_df, "cells")
+    centre = F.lit(overall_mean(kept))
+    return _stacked([one_factor(kept, f, centre, shrinkage) for f in factors])
 
 
 def backfitted(cell_df: DataFrame, factors: Sequence[str], shrinkage: float,
-               passes: int = 3) -> DataFrame:
+               passes: int = 3, max_levels: int = 50_000) -> DataFrame:
     """All factors together: each is refitted in turn against the others' current effects.
 
     The cells carry the current effects as columns and are written out after
-    each pass, which keeps the plan short.
+    each pass, which keeps the plan short.  Effects are broadcast to the cells
+    when their factor has been counted to have at most ``max_levels`` levels.
     """
-    mean = F.lit(overall_mean(cell_df))
-    current = cell_df.withColumns({f"_{f}": F.lit(0.0) for f in factors})
+    current = materialise(cell_df, "cells")
+    few = {f: current.select(f).distinct().limit(max_levels + 1).count() <= max_levels
+           for f in factors}
+    mean = F.lit(overall_mean(current))
+    current = current.withColumns({f"_{f}": F.lit(0.0) for f in factors})
     for step in range(passes):
         for factor in factors:
-            centre = mean
-            for other in factors:
-                if other != factor:
-                    centre = centre + F.col(f"_{other}")
-            update = one_factor(current, factor, centre, shrinkage).select(
+            others = [F.col(f"_{f}") for f in factors if f != factor]
+            update = one_factor(current, factor, sum(others, mean), shrinkage).select(
                 "level", F.col("effect").alias(f"_{factor}"))
             current = current.drop(f"_{factor}").join(
-                small_side(update), F.col(factor).cast("string") == F.col("level")).drop("level")
+                F.broadcast(update) if few[factor] else update,
+                F.col(factor).cast("string") == F.col("level")).drop("level")
         current = materialise(current, f"backfit_{step}")
-    first, *rest = [
+    return _stacked([
         current.groupBy(F.col(f).cast("string").alias("level"))
         .agg(F.sum("n").alias("n"), F.max(f"_{f}").alias("effect"))
-        .select(F.lit(f).alias("factor"), "level", "n", "effect") for f in factors]
-    for frame in rest:
-        first = first.unionByName(frame)
-    return first
+        .select(F.lit(f).alias("factor"), "level", "n", "effect") for f in factors])
 
 
 def compared(first: DataFrame, second: DataFrame, keys: Sequence[str], a: str,
@@ -79,5 +82,5 @@ def compared(first: DataFrame, second: DataFrame, keys: Sequence[str], a: str,
     joined = first.select(*keys, F.col(a).alias("_a")).join(
         second.select(*keys, F.col(b).alias("_b")), list(keys))
     return joined.groupBy(keys[0]).agg(
-        F.count(F.lit(1)).alias("levels"), F.corr("_a", "_b").alias("correlation"),
+        F.count(F.lit(1)).alias("levels"), pearson("_a", "_b").alias("correlation"),
         F.max(F.abs(F.col("_a") - F.col("_b"))).alias("largest_difference"))

@@ -76,10 +76,16 @@ def logistic(label: str, **settings) -> LogisticRegression:
     return LogisticRegression(featuresCol="features", labelCol=label, **settings)
 
 
-def formula_svm(formula: str, reg: float = 0.01, iterations: int = 10) -> Pipeline:
+def formula_svm(label: str, terms: str, reg: float = 0.01, iterations: int = 10) -> Pipeline:
+    """Linear SVM for a two-valued text label on a formula of other columns.
+
+    The label is indexed apart from the formula, so that a category not seen in
+    training gets a feature of its own while the label keeps its two values.
+    """
     return Pipeline(stages=[
-        RFormula(formula=formula, featuresCol="features", labelCol="label_idx",
-                 stringIndexerOrderType="alphabetAsc", handleInvalid="keep"),
+        StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc"),
+        RFormula(formula=f"label_idx ~ {terms}", featuresCol="features", labelCol="label_copy",
+                 handleInvalid="keep"),
         LinearSVC(featuresCol="features", labelCol="label_idx", regParam=reg, maxIter=iterations)])
 
 

@@ -1,8 +1,9 @@
 """Series and text cut into training windows.
 
-Every row is given its position in its series, then sent to each window that
-holds it.  A window has a fixed size, so no task ever gathers a whole series,
-however long one series is.
+Every row is given its position in its series.  A series is then cut into
+chunks of bounded length, each with the few rows that follow it, and windows
+are taken inside the chunks.  So a row travels about once whatever the overlap
+is, and no task gathers a whole series, however long one series is.
 """
 
 from __future__ import annotations
@@ -14,6 +15,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyloom.operators.ordering import with_position
+from tallyloom.workspace import small_side
+
+CHUNK = 4096
 
 
 def ordered_batches(df: DataFrame, keys: Sequence[str], value: str, size: int) -> DataFrame:
@@ -56,19 +60,24 @@ def series_windows(
     stride = size - overlap
     columns = list(dict.fromkeys([*series, *order, value]))
     placed = with_position(df.select(*columns), series, order, total="_length")
-    at = F.col("position") - 1
-    first = F.greatest(F.ceil((at - (size - 1)) / stride), F.lit(0))
-    last = F.least(
-        F.floor(at / stride),
-        window_count(F.col("_length"), size, stride, legacy_count) - 1)
     least = size + 1 if legacy_count else size
-    holding = placed.filter(F.col("_length") >= least).withColumn(
-        "window_id", F.explode(F.when(first <= last, F.sequence(first, last))))
+    length = max(CHUNK, size)
+    at = F.col("position") - 1
+    chunked = (
+        placed.filter(F.col("_length") >= least)
+        .select(*series, at.alias("_at"), "_length", F.col(value).alias("_value"),
+                F.floor(at / length).alias("_own"))
+        .withColumn("_chunk", F.explode(
+            F.when((F.col("_own") > 0) & (F.col("_at") % length < size - 1),
+                   F.array(F.col("_own"), F.col("_own") - 1))
+            .otherwise(F.array("_own")))))
+    ahead = W.partitionBy(*series, "_chunk").orderBy("_at").rowsBetween(0, size - 1)
+    window_id = F.floor(F.col("_at") / stride)
     return (
-        holding.groupBy(*series, "window_id")
-        .agg(F.array_sort(F.collect_list(F.struct("position", F.col(value).alias("value"))))
-             .alias("items"))
-        .select(*series, "window_id", F.col("items.value").alias("items"))
+        chunked.withColumn("items", F.collect_list(F.struct("_value")).over(ahead))
+        .filter((F.col("_chunk") == F.col("_own")) & (F.col("_at") % stride == 0)
+                & (window_id < window_count(F.col("_length"), size, stride, legacy_count)))
+        .select(*series, window_id.alias("window_id"), F.col("items._value").alias("items"))
     )
 
 
@@ -105,18 +114,34 @@ def transitions(df: DataFrame, series: Sequence[str], order: Sequence[str],
     return counts.withColumn("share", F.col("n") / whole)
 
 
+def _pieces(df: DataFrame, text: str, step: int, reach: int) -> DataFrame:
+    """Texts cut into pieces of ``step`` characters plus the ``reach`` that follow."""
+    starts = F.sequence(F.lit(0), F.greatest(F.length(text) - 1, F.lit(0)), F.lit(step))
+    cut = df.withColumn("_piece", F.explode(starts))
+    return cut.withColumns({
+        text: F.substring(F.col(text), F.col("_piece") + 1, F.lit(step + reach)),
+        "_offset": F.col("_offset") + F.col("_piece")}).drop("_piece")
+
+
 def char_windows(df: DataFrame, text: str, length: int, stride: int) -> DataFrame:
     """Prefixes of ``length`` characters and the character after each.
 
     Windows start at 0, ``stride``, ... while a next character exists; a text
-    not longer than the prefix has none.
+    not longer than the prefix has none.  Finding a character means counting
+    from the start of the text, so long texts are first cut into large and
+    then small pieces; the cost then grows with the length, not its square.
     """
+    pieces = df.withColumn("_offset", F.lit(0))
+    for step in (128 * 128 * stride, 128 * stride):
+        pieces = _pieces(pieces, text, step, length)
     size = F.length(text)
-    starts = F.when(size > length, F.sequence(F.lit(0), size - length - 1, F.lit(stride)))
-    return df.withColumn("start", F.explode(starts)).withColumns({
-        "prefix": F.substring(F.col(text), F.col("start") + 1, F.lit(length)),
-        "next_char": F.substring(F.col(text), F.col("start") + length + 1, F.lit(1)),
-    }).drop(text)
+    last = F.least(size - length - 1, F.lit(128 * stride - 1))
+    starts = F.when(size > length, F.sequence(F.lit(0), last, F.lit(stride)))
+    return pieces.withColumn("_at", F.explode(starts)).select(
+        *[c for c in df.columns if c != text],
+        (F.col("_offset") + F.col("_at")).alias("start"),
+        F.substring(F.col(text), F.col("_at") + 1, F.lit(length)).alias("prefix"),
+        F.substring(F.col(text), F.col("_at") + length + 1, F.lit(1)).alias("next_char"))
 
 
 def characters(df: DataFrame, text: str) -> DataFrame:
@@ -137,7 +162,8 @@ def one_hot_positions(samples: DataFrame, prefix: str, vocabulary_df: DataFrame)
     spelled = samples.select(
         "*", F.posexplode(F.split(F.col(prefix), "")).alias("place", "character")
     ).filter(F.col("character") != "").drop(prefix)
-    return spelled.join(vocabulary_df.select("character", "code"), "character").drop("character")
+    codes = small_side(vocabulary_df.select("character", "code"))
+    return spelled.join(codes, "character").drop("character")
 
 
 def corrupted(samples: DataFrame, prefix: str, length: int, filler: str = "?") -> DataFrame:

@@ -6,6 +6,7 @@ from tallyloom.plans import (  # noqa: F401
     chart_queries,
     cleaning_queries,
     governance_queries,
+    jobs,
     model_queries,
     relational_queries,
     sequence_queries,

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions import cleaning as clean
+from tallyloom.functions import statistics
 from tallyloom.operators import effects, features, models
 from tallyloom.operators.ordering import quantiles
 from tallyloom.operators.sampling import hash_bucket
@@ -142,9 +143,9 @@ def worst_errors(spark: SparkSession, d: str) -> DataFrame:
 @query("corr_pearson", """
 select round(corr(l_quantity, l_extendedprice), 8) as correlation from lineitem
 """)
-def pearson(spark: SparkSession, d: str) -> DataFrame:
+def correlation(spark: SparkSession, d: str) -> DataFrame:
     return _prices(spark, d).agg(
-        F.round(F.corr("l_quantity", "l_extendedprice"), 8).alias("correlation"))
+        F.round(statistics.pearson("l_quantity", "l_extendedprice"), 8).alias("correlation"))
 
 
 @query("metric_accuracy", """
@@ -235,7 +236,7 @@ def linear_svm(spark: SparkSession, d: str) -> DataFrame:
     rows = read_table(spark, d, "orders", "o_orderkey", "o_orderstatus", "o_totalprice",
                       "o_orderpriority").filter(F.col("o_orderstatus").isin("F", "O"))
     train = hash_bucket("o_orderkey") < 75
-    model = models.formula_svm("o_orderstatus ~ o_totalprice + o_orderpriority").fit(
+    model = models.formula_svm("o_orderstatus", "o_totalprice + o_orderpriority").fit(
         rows.filter(train))
     scored = model.transform(rows.filter(~train))
     return scored.groupBy("o_orderstatus", "prediction").agg(F.count(F.lit(1)).alias("n"))
@@ -311,8 +312,8 @@ SHRINKAGE = 10.0
 def order_cells(spark: SparkSession, d: str) -> DataFrame:
     """Order prices summed per segment, nation and priority; customers are joined to sums."""
     price = clean.exact("o_totalprice")
-    per_customer = read_table(spark, d, "orders", "o_custkey", "o_orderpriority", "o_totalprice"
-                              ).groupBy("o_custkey", "o_orderpriority").agg(
+    orders = read_table(spark, d, "orders", "o_custkey", "o_orderpriority", "o_totalprice")
+    per_customer = orders.groupBy("o_custkey", "o_orderpriority").agg(
         F.count(price).alias("n"), F.sum(price).alias("total"))
     customers = read_table(spark, d, "customer", "c_custkey", "c_mktsegment", "c_nationkey")
     return (
@@ -355,11 +356,11 @@ mean as (select sum(total) / sum(n) as m from cells)"""]
             joins = "".join(f" join {latest[f]} using ({f})" for f in others)
             expected = " + ".join(["m", *[f"{latest[f]}.effect" for f in others]])
             steps.append(f"""{name} as (
-  select {factor}, sum(n) as n, sum(total - n * ({expected})) / (sum(n) + 10.0::double) as effect
+  select {factor}, sum(n) as size, sum(total - n * ({expected})) / (sum(n) + 10.0::double) as effect
   from cells cross join mean{joins} group by {factor})""")
             latest[factor] = name
     return "with " + ",\n".join(steps) + " union all ".join(
-        f"\nselect '{f}' as factor, cast({f} as varchar) as level, cast(n as bigint) as n, "
+        f"\nselect '{f}' as factor, cast({f} as varchar) as level, cast(size as bigint) as n, "
         f"round(effect, 3) as effect from {latest[f]}" for f in FACTORS)
 
 

@@ -358,8 +358,8 @@ def filtered_sum(spark: SparkSession, d: str) -> DataFrame:
     line = F.concat_ws(" ", "event_type", F.get_json_object("props", "$.k"))
     fields = F.split("line", " ")
     return (
-        events.select(line.alias("line")).filter(fields[0] == "view")
-        .agg(F.sum(fields[1].try_cast("long")).alias("total")))
+        events.select(line.alias("line")).filter(F.get(fields, 0) == "view")
+        .agg(F.sum(F.get(fields, 1).try_cast("long")).alias("total")))
 
 
 YEARS = (1995, 1996, 1997, 1998, 1999, 2000, 2001)

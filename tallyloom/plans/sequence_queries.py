@@ -93,14 +93,15 @@ with windows as (
 
 
 @query("char_windows", sql_char_windows("documents", "doc_id", 40, 3) + """
-select doc_id, next_char, count(*) as windows, min(prefix) as first_prefix, max(start) as last_start
+select doc_id, next_char, count(*) as windows, cast(sum(unicode(prefix)) as bigint) as first_codes,
+       max(start) as last_start
 from windows group by 1, 2
 """)
 def char_windows(spark: SparkSession, d: str) -> DataFrame:
     """Windows over whole documents, summed up per document and next character."""
     windows = sequences.char_windows(read_table(spark, d, "documents", "doc_id", "text"), "text", 40, 3)
     return windows.groupBy("doc_id", "next_char").agg(
-        F.count(F.lit(1)).alias("windows"), F.min("prefix").alias("first_prefix"),
+        F.count(F.lit(1)).alias("windows"), F.sum(F.ascii("prefix").cast("long")).alias("first_codes"),
         F.max("start").alias("last_start"))
 
 

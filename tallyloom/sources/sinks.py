@@ -54,8 +54,12 @@ def save_clustered(df: DataFrame, table: str, path: str, key: str, tie: str) ->
 
 def save_bucketed(df: DataFrame, table: str, path: str, key: str, sort: str,
                   buckets: int = 40) -> DataFrame:
-    """Bucketed and sorted table; joins on ``key`` then need no shuffle."""
-    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(sort)
+    """Bucketed and sorted table; joins on ``key`` then need no shuffle.
+
+    Rows are gathered per bucket before the write; a bucket that holds most
+    rows is split over several tasks, each adding a file to it.
+    """
+    (df.hint("rebalance", buckets, F.col(key)).write.bucketBy(buckets, key).sortBy(sort)
      .format("parquet").mode("overwrite").option("path", path).saveAsTable(table))
     return df.sparkSession.table(table)
 
@@ -90,6 +94,12 @@ def analyze_columns(spark: SparkSession, table: str) -> None:
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
 
 
+def bounded_partitions(df: DataFrame, rows_per_partition: int) -> DataFrame:
+    """Even partitions of about ``rows_per_partition`` rows, for work with a memory bound."""
+    parts = max(1, -(-df.count() // rows_per_partition))
+    return df.repartition(parts)
+
+
 def rows_per_file(df: DataFrame) -> DataFrame:
     return df.groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n"))
 

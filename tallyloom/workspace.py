@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,3 +59,13 @@ def small_side(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+@contextmanager
+def cached(df: DataFrame) -> Iterator[DataFrame]:
+    """Keep ``df`` for several uses inside a ``with`` block, then let it go."""
+    kept = df.persist()
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
