@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.statistics import gaussian, normal_quantile, pearson, tricube
-from tallyloom.operators.ordering import quantiles, quantiles_of_ranks, value_ranks, with_position
-from tallyloom.workspace import materialise, small_side
+from tallyloom.operators.ordering import Slices, quantiles, quantiles_of, value_slices, values_at
+from tallyloom.workspace import join_on_keys, materialise, small_side
 
 MAX_CELLS = 200
 
@@ -39,7 +39,7 @@ def qq_two_sample(df: DataFrame, keys: Sequence[str], first: str, second: str,
     """Quantiles of two columns next to each other."""
     a = quantiles(df, keys, first, probabilities).withColumnRenamed("quantile", "first")
     b = quantiles(df, keys, second, probabilities).withColumnRenamed("quantile", "second")
-    return a.join(b, [*keys, "p"])
+    return join_on_keys(a, b, [*keys, "p"])
 
 
 def qq_normal(df: DataFrame, keys: Sequence[str], value: str,
@@ -48,9 +48,9 @@ def qq_normal(df: DataFrame, keys: Sequence[str], value: str,
     return quantiles(df, keys, value, probabilities).withColumn("normal", normal_quantile("p"))
 
 
-def box_fences(ranks: DataFrame, keys: Sequence[str]) -> DataFrame:
+def box_fences(slices: Slices, keys: Sequence[str]) -> DataFrame:
     """Quartiles and the fences 1.5 interquartile ranges beyond them."""
-    parts = quantiles_of_ranks(ranks, keys, [0.25, 0.5, 0.75])
+    parts = quantiles_of(slices, keys, [0.25, 0.5, 0.75])
     spread = F.col("q3") - F.col("q1")
     return (
         parts.groupBy(*keys).agg(
@@ -62,12 +62,12 @@ def box_fences(ranks: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def box_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Quartiles, whiskers and the number of outliers per key, from the ranked values."""
-    ranks = materialise(value_ranks(df, keys, value), "box_ranks")
-    fences = small_side(box_fences(ranks, keys))
+    """Quartiles, whiskers and the number of outliers per key, from the counted values."""
+    slices = value_slices(df, keys, value)
+    fences = small_side(box_fences(slices, keys))
     inside = F.col("value").between(F.col("low_fence"), F.col("high_fence"))
     return (
-        ranks.join(fences, list(keys)).groupBy(*keys, "q1", "median", "q3")
+        join_on_keys(slices.values, fences, keys).groupBy(*keys, "q1", "median", "q3")
         .agg(F.min(F.when(inside, F.col("value"))).alias("low_whisker"),
              F.max(F.when(inside, F.col("value"))).alias("high_whisker"),
              F.sum(F.when(~inside, F.col("n")).otherwise(0)).alias("outliers")))
@@ -75,9 +75,9 @@ def box_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 def box_outliers(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """The rows beyond their key's fences."""
-    ranks = materialise(value_ranks(df, keys, value), "box_ranks")
-    fences = small_side(box_fences(ranks, keys).select(*keys, "low_fence", "high_fence"))
-    return df.join(fences, list(keys)).filter(
+    fences = box_fences(value_slices(df, keys, value), keys)
+    fences = small_side(fences.select(*keys, "low_fence", "high_fence"))
+    return join_on_keys(df, fences, keys).filter(
         ~F.col(value).between(F.col("low_fence"), F.col("high_fence"))).select(*df.columns)
 
 
@@ -121,12 +121,10 @@ def loess(df: DataFrame, x: str, y: str, span: float, cells: int = 20) -> DataFr
     low, high = points.select(F.min("px")).scalar(), points.select(F.max("px")).scalar()
     placed = _on_grid(points, low, high, cells).withColumn(
         "distance", F.abs(F.col("px") - F.col("x")))
-    needed = F.ceil(F.lit(float(span)) * F.col("_points"))
-    reach = (
-        with_position(placed.select("cell", "distance", "px", "n"), ["cell"],
-                      ["distance", "px"], "_nth", weight="n", total="_points")
-        .filter(F.col("_nth") >= needed)
-        .groupBy("cell").agg(F.min("distance").alias("reach")))
+    slices = value_slices(placed.select("cell", "distance", "n"), ["cell"], "distance", "n")
+    reach = values_at(slices, ["cell"], lambda total: F.array(F.struct(
+        F.greatest(F.ceil(F.lit(float(span)) * total), F.lit(1)).alias("rank")))
+    ).select("cell", F.col("value").alias("reach"))
     # one row per grid cell, so the broadcast is bounded by MAX_CELLS
     near = placed.join(F.broadcast(reach), "cell").filter(F.col("distance") <= F.col("reach"))
     weight = F.when(F.col("reach") == 0, F.lit(1.0)).otherwise(

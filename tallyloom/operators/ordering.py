@@ -1,21 +1,29 @@
 """Exact positions and quantiles without a single-task sort.
 
 Rows are range-partitioned on (group, order), so a group holding a third of
-all rows is spread over many slices.  Each slice numbers its own rows; the
-rows of a group that sit in earlier slices are added as an offset.  Only the
-group that a slice starts in the middle of has a non-zero offset, so there is
-at most one offset row per slice and the offset table is safe to broadcast.
+all rows is spread over many slices, and written out sorted.  A row's number
+in the whole order is its place in its slice plus the sizes of the slices
+before; there is one size per slice, so those fit on the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from itertools import accumulate
+from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyloom.workspace import materialise, small_side
+from tallyloom.workspace import bounded_rows, join_on_keys, materialise, small_side
+
+# How Spark builds its increasing ids, partition number above 33 bits of row number.
+ROW_BITS = 33
+ROW_MASK = (1 << ROW_BITS) - 1
+
+MAX_WANTED = 10_000
 
 
 def with_position(
@@ -23,119 +31,137 @@ def with_position(
     groups: Sequence[str],
     order: Sequence[str],
     name: str = "position",
-    weight: str | None = None,
     descending: Sequence[str] = (),
     total: str | None = None,
 ) -> DataFrame:
     """Add the 1-based position of each row inside its group.
 
     ``order`` together with ``groups`` should identify a row; columns listed
-    in ``descending`` sort high to low.  With ``weight`` the new column is the
-    running sum of that column instead of the running count.  ``total`` names
-    an optional column with the whole group's count (or weight).
+    in ``descending`` sort high to low.  ``total`` names an optional column
+    with the number of rows of the group.
     """
-    def direction(c: str) -> Column:
-        return F.col(c).desc() if c in descending else F.col(c).asc()
-
-    sort = [direction(c) for c in order]
+    keys = [*[F.col(g).asc() for g in groups],
+            *[F.col(c).desc() if c in descending else F.col(c).asc() for c in order]]
     sliced = materialise(
-        df.repartitionByRange(*[F.col(g).asc() for g in groups], *sort)
-        .withColumn("_slice", F.spark_partition_id()),
-        "slices",
-    )
-    amount = F.col(weight) if weight else F.lit(1)
-    local = W.partitionBy(*groups, "_slice").orderBy(*sort)
-    earlier = (
-        W.partitionBy(*(groups or [F.lit(0)])).orderBy("_slice")
-        .rowsBetween(W.unboundedPreceding, -1)
-    )
-    offsets = (
-        sliced.groupBy(*groups, "_slice").agg(F.sum(amount).alias("_amount"))
-        .withColumn("_offset", F.sum("_amount").over(earlier))
-        .filter(F.col("_offset") > 0)
-        .select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)],
-                F.col("_slice").alias("_s"), "_offset")
-    )
-    numbered = sliced.withColumn(
-        "_local", F.sum(amount).over(local.rowsBetween(W.unboundedPreceding, 0)))
-    same = numbered["_slice"] == offsets["_s"]
-    for i, g in enumerate(groups):
-        same = same & numbered[g].eqNullSafe(offsets[f"_g{i}"])
-    placed = (
-        numbered.join(F.broadcast(offsets), same, "left")
-        .withColumn(name, (F.col("_local") + F.coalesce("_offset", F.lit(0))).cast("long"))
-        .select(*df.columns, name)
-    )
-    if total is None:
-        return placed
+        df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        .withColumn("_id", F.monotonically_increasing_id())
+        .select("*", F.shiftright("_id", ROW_BITS).alias("_slice"),
+                F.col("_id").bitwiseAND(F.lit(ROW_MASK)).alias("_row")).drop("_id"),
+        "slices")
+    placed = sliced.join(F.broadcast(_slice_starts(sliced)), "_slice").withColumn(
+        "_place", F.col("_start") + F.col("_row"))
     if not groups:
-        return placed.withColumn(total, sliced.select(F.sum(amount).cast("long")).scalar())
-    totals = small_side(sliced.groupBy(*groups).agg(F.sum(amount).cast("long").alias(total)))
-    return placed.join(totals, list(groups)).select(*df.columns, name, total)
-
+        numbered = placed.select(*df.columns, (F.col("_place") + 1).alias(name))
+        if total is None:
+            return numbered
+        return numbered.withColumn(total, sliced.select(F.count(F.lit(1))).scalar())
+    firsts = placed.groupBy(*groups).agg(
+        F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_total"))
+    size = [F.col("_total").alias(total)] if total else []
+    return join_on_keys(placed, small_side(firsts), groups).select(
+        *df.columns, (F.col("_place") - F.col("_first") + 1).alias(name), *size)
 
-def value_ranks(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Distinct values per key with how often they occur and the ranks they cover.
 
-    Columns: keys, ``value``, ``n``, ``first_rank``, ``last_rank``, ``total``.
-    Counting first means a value held by many rows travels once per task.
-    """
-    counts = (
-        df.select(*keys, F.col(value).alias("value")).filter("value is not null")
-        .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
-    )
-    return (
-        with_position(counts, keys, ["value"], "last_rank", weight="n", total="total")
-        .withColumn("first_rank", F.col("last_rank") - F.col("n") + 1)
-    )
+def _slice_starts(sliced: DataFrame) -> DataFrame:
+    """How many rows lie in the slices before each slice; one row per slice."""
+    sizes = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("n")).orderBy("_slice").collect()
+    starts = list(accumulate((r["n"] for r in sizes), initial=0))
+    return sliced.sparkSession.createDataFrame(
+        pa.table({"_slice": pa.array([r["_slice"] for r in sizes], pa.int64()),
+                  "_start": pa.array(starts[:-1], pa.int64())}))
 
 
-def quantiles_of_ranks(
-    ranks: DataFrame, keys: Sequence[str], probabilities: Sequence[float]
-) -> DataFrame:
-    """Interpolated quantiles (keys, ``p``, ``quantile``) from ``value_ranks``."""
-    grid = F.array(*[F.lit(float(p)) for p in probabilities])
+class Slices(NamedTuple):
+    """Counted distinct values of a column per key, range-partitioned into slices."""
 
-    def floor_rank(p: Column) -> Column:
-        return F.floor(p * (F.col("total") - 1)) + 1
+    values: DataFrame  # keys, value, n, _slice
+    extents: DataFrame  # keys, _slice, before, amount, total
 
-    def ceil_rank(p: Column) -> Column:
-        return F.ceil(p * (F.col("total") - 1)) + 1
 
-    def covers(rank: Column) -> Column:
-        return rank.between(F.col("first_rank"), F.col("last_rank"))
+def value_slices(df: DataFrame, keys: Sequence[str], value: str,
+                 weight: str | None = None) -> Slices:
+    """Count the distinct values of each key and lay them out in order.
 
-    hits = (
-        ranks.withColumn(
-            "p", F.explode(F.filter(grid, lambda p: covers(floor_rank(p)) | covers(ceil_rank(p)))))
-        .withColumn("low", F.when(covers(floor_rank(F.col("p"))), F.col("value")))
-        .withColumn("high", F.when(covers(ceil_rank(F.col("p"))), F.col("value")))
-    )
-    part = F.col("p") * (F.col("total") - 1)
+    Counting first means a value held by many rows travels once per task.
+    With ``weight`` a row counts that many times.
+    """
+    amount = F.sum(weight) if weight else F.count(F.lit(1))
+    counts = (
+        df.withColumn("value", F.col(value)).filter("value is not null")
+        .groupBy(*keys, "value").agg(amount.alias("n")))
+    values = materialise(
+        counts.repartitionByRange(*keys, "value").withColumn("_slice", F.spark_partition_id()),
+        "values")
+    sizes = values.groupBy(*keys, "_slice").agg(F.sum("n").alias("amount"))
+    # one row per slice and key, so the window of a key is as long as the number of slices
+    key = W.partitionBy(*(keys or [F.lit(0)]))
+    earlier = key.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    extents = sizes.select(
+        "*", F.coalesce(F.sum("amount").over(earlier), F.lit(0)).alias("before"),
+        F.sum("amount").over(key).alias("total"))
+    return Slices(values, extents)
+
+
+def values_at(slices: Slices, keys: Sequence[str],
+              ranks: Callable[[Column], Column]) -> DataFrame:
+    """The values at wanted ranks: (keys, ``total``, ``wanted``, ``value``).
+
+    ``ranks`` turns a key's total into an array of structs with a ``rank``
+    field, counted from 1; each comes back as ``wanted``.  Only the slices
+    that hold a wanted rank are read and ordered.
+    """
+    rank = F.col("wanted.rank")
+    holding = (
+        slices.extents.withColumn("wanted", F.explode(ranks(F.col("total"))))
+        .filter((rank > F.col("before")) & (rank <= F.col("before") + F.col("amount")))
+        .groupBy(*keys, "_slice", "before", "total")
+        .agg(F.collect_list("wanted").alias("wanted")))
+    values, few = slices.values, bounded_rows(holding, MAX_WANTED)
+    if few is not None:
+        numbers = sorted(set(few.column("_slice").to_pylist()))
+        values = values.filter(F.col("_slice").isin(numbers))
+        holding = F.broadcast(values.sparkSession.createDataFrame(few, holding.schema))
+    inside = W.partitionBy(*keys, "_slice").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
+    reached = join_on_keys(values, holding, [*keys, "_slice"]).withColumn(
+        "last", F.col("before") + F.sum("n").over(inside))
+    hit = F.filter("wanted", lambda w: (w["rank"] <= F.col("last"))
+                   & (w["rank"] > F.col("last") - F.col("n")))
+    return reached.select(*keys, "total", "value", F.explode(hit).alias("wanted"))
+
+
+def quantiles_of(slices: Slices, keys: Sequence[str],
+                 probabilities: Sequence[float]) -> DataFrame:
+    """Interpolated quantiles: (keys, ``p``, ``quantile``)."""
+    def ranks(total: Column) -> Column:
+        return F.array(*[
+            F.struct(F.lit(float(p)).alias("p"), F.lit(side).alias("side"),
+                     (side_of(F.lit(float(p)) * (total - 1)) + 1).alias("rank"))
+            for p in probabilities for side, side_of in (("low", F.floor), ("high", F.ceil))])
+
+    def side(name: str) -> Column:
+        return F.max(F.when(F.col("wanted.side") == name, F.col("value").cast("double")))
+
+    at = F.col("p") * (F.col("total") - 1)
     return (
-        hits.groupBy(*keys, "p", "total")
-        .agg(F.max("low").cast("double").alias("low"), F.max("high").cast("double").alias("high"))
-        .select(*keys, "p",
-                (F.col("low") + (F.col("high") - F.col("low")) * (part - F.floor(part)))
-                .alias("quantile"))
-    )
+        values_at(slices, keys, ranks).groupBy(*keys, "total", F.col("wanted.p").alias("p"))
+        .agg(side("low").alias("low"), side("high").alias("high"))
+        .select(*keys, "p", (F.col("low") + (F.col("high") - F.col("low")) * (at - F.floor(at)))
+                .alias("quantile")))
 
 
-def quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float]
-) -> DataFrame:
-    return quantiles_of_ranks(value_ranks(df, keys, value), keys, probabilities)
+def quantiles(df: DataFrame, keys: Sequence[str], value: str,
+              probabilities: Sequence[float]) -> DataFrame:
+    return quantiles_of(value_slices(df, keys, value), keys, probabilities)
 
 
 def discrete_quantiles(df: DataFrame, value: str, probabilities: Sequence[float]) -> list[float]:
     """Actual values at the given fractions of the whole column, lowest first."""
-    ranks = value_ranks(df, [], value)
-    grid = F.array(*[F.lit(float(p)) for p in probabilities])
-    rows = (
-        ranks.withColumn("p", F.explode(F.filter(
-            grid, lambda p: F.greatest(F.ceil(p * F.col("total")), F.lit(1))
-            .between(F.col("first_rank"), F.col("last_rank")))))
-        .select("p", F.col("value").cast("double").alias("value"))
-        .orderBy("p").collect()
-    )
+    def ranks(total: Column) -> Column:
+        return F.array(*[
+            F.struct(F.lit(i).alias("i"),
+                     F.greatest(F.ceil(F.lit(float(p)) * total), F.lit(1)).alias("rank"))
+            for i, p in enumerate(probabilities)])
+
+    rows = values_at(value_slices(df, [], value), [], ranks).select(
+        "wanted.i", F.col("value").cast("double").alias("value")).orderBy("i").collect()
     return [row["value"] for row in rows]

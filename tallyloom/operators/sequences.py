@@ -114,34 +114,28 @@ def transitions(df: DataFrame, series: Sequence[str], order: Sequence[str],
     return counts.withColumn("share", F.col("n") / whole)
 
 
-def _pieces(df: DataFrame, text: str, step: int, reach: int) -> DataFrame:
-    """Texts cut into pieces of ``step`` characters plus the ``reach`` that follow."""
-    starts = F.sequence(F.lit(0), F.greatest(F.length(text) - 1, F.lit(0)), F.lit(step))
-    cut = df.withColumn("_piece", F.explode(starts))
-    return cut.withColumns({
-        text: F.substring(F.col(text), F.col("_piece") + 1, F.lit(step + reach)),
-        "_offset": F.col("_offset") + F.col("_piece")}).drop("_piece")
-
-
 def char_windows(df: DataFrame, text: str, length: int, stride: int) -> DataFrame:
     """Prefixes of ``length`` characters and the character after each.
 
     Windows start at 0, ``stride``, ... while a next character exists; a text
-    not longer than the prefix has none.  Finding a character means counting
-    from the start of the text, so long texts are first cut into large and
-    then small pieces; the cost then grows with the length, not its square.
+    not longer than the prefix has none.  One pattern walks the text and looks
+    ahead at every start, so the cost grows with the length and not with its
+    square, as taking substrings by number would.  Very long texts are cut
+    first, which bounds the windows held at once.
     """
-    pieces = df.withColumn("_offset", F.lit(0))
-    for step in (128 * 128 * stride, 128 * stride):
-        pieces = _pieces(pieces, text, step, length)
-    size = F.length(text)
-    last = F.least(size - length - 1, F.lit(128 * stride - 1))
-    starts = F.when(size > length, F.sequence(F.lit(0), last, F.lit(stride)))
-    return pieces.withColumn("_at", F.explode(starts)).select(
-        *[c for c in df.columns if c != text],
-        (F.col("_offset") + F.col("_at")).alias("start"),
-        F.substring(F.col(text), F.col("_at") + 1, F.lit(length)).alias("prefix"),
-        F.substring(F.col(text), F.col("_at") + length + 1, F.lit(1)).alias("next_char"))
+    piece = 16_384 * stride
+    starts = F.sequence(F.lit(0), F.greatest(F.length(text) - 1, F.lit(0)), F.lit(piece))
+    others = [c for c in df.columns if c != text]
+    pieces = df.withColumn("_offset", F.explode(starts)).withColumn(
+        text, F.substring(F.col(text), F.col("_offset") + 1, F.lit(piece + length)))
+    ahead = F.lit(f"(?s)(?=(.{{{length + 1}}})).{{1,{stride}}}")
+    windows = pieces.select(
+        *others, "_offset",
+        F.posexplode(F.regexp_extract_all(text, ahead, F.lit(1))).alias("_n", "_window"))
+    return windows.select(
+        *others, (F.col("_offset") + F.col("_n") * stride).alias("start"),
+        F.left("_window", F.lit(length)).alias("prefix"),
+        F.right("_window", F.lit(1)).alias("next_char"))
 
 
 def characters(df: DataFrame, text: str) -> DataFrame:

@@ -10,9 +10,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,15 +51,34 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_rows(df: DataFrame, max_rows: int) -> pa.Table | None:
+    """All rows of ``df`` if there are at most ``max_rows``, else None.
+
+    Never more than ``max_rows + 1`` rows reach the driver.
+    """
+    table = df.limit(max_rows + 1).toArrow()
+    return table if table.num_rows <= max_rows else None
+
+
 def small_side(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
-    """Hint a broadcast only after counting that ``df`` is small.
+    """A broadcast side if ``df`` has been seen to be small, else ``df`` itself.
 
-    The count stops at ``max_rows + 1`` rows.  A larger side comes back
-    unhinted, so the join is planned as a shuffle join with AQE skew handling.
+    Beyond ``max_rows`` the join stays a shuffle join with AQE skew handling.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    table = bounded_rows(df, max_rows)
+    if table is None:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(table, df.schema))
+
+
+def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join in which a null key matches a null key, as it does in a grouping."""
+    names = {k: f"_key{i}" for i, k in enumerate(keys)}
+    renamed = right.withColumnsRenamed(names)
+    same = F.lit(True)
+    for k, name in names.items():
+        same = same & left[k].eqNullSafe(renamed[name])
+    return left.join(renamed, same).drop(*names.values())
 
 
 @contextmanager

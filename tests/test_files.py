@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallyloom import fixed_values as fixed
 from tallyloom.operators import joins
 from tallyloom.sources import files, sinks
-from tallyloom.workspace import cached, materialise, scratch_name, scratch_path, shared_folder, small_side
+from tallyloom.workspace import cached, join_on_keys, materialise, scratch_name, scratch_path, shared_folder, small_side
 
 
 def test_scratch_follows_the_session_setting(spark):
@@ -30,9 +30,19 @@ def test_a_cluster_without_the_setting_is_refused(spark):
 
 
 def test_small_side_is_checked(spark):
-    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in plan(small_side(spark.range(10), 10)).lower()
-    assert "broadcast" not in plan(small_side(spark.range(11), 10)).lower()
+    def plan(df):
+        return df._jdf.queryExecution().analyzed().toString().lower()
+
+    small = small_side(spark.range(10), 10)
+    assert "broadcast" in plan(small) and small.count() == 10
+    large = small_side(spark.range(11), 10)
+    assert "broadcast" not in plan(large) and large.count() == 11
+
+
+def test_null_keys_meet(spark):
+    a = spark.createDataFrame([(None, 1), ("x", 2)], "k string, a int")
+    b = spark.createDataFrame([(None, 10), ("y", 20)], "k string, b int")
+    assert [tuple(r) for r in join_on_keys(a, b, ["k"]).collect()] == [(None, 1, 10)]
 
 
 def test_csv_markers_blanks_and_bad_numbers(spark, tmp_path):

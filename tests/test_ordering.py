@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.operators import charts
+from tallyloom.operators import charts, ordering
 from tallyloom.operators.features import bin_number, category_index, quantile_bins, with_category_index
 from tallyloom.operators.ordering import discrete_quantiles, quantiles, with_position
 
@@ -55,6 +55,15 @@ def test_quantiles_like_numpy(skewed):
         assert row["quantile"] == pytest.approx(np.quantile(frame[frame.g == row["g"]].x, row["p"]))
 
 
+def test_quantiles_without_the_shortcut_and_with_null_keys(spark, skewed, monkeypatch):
+    monkeypatch.setattr(ordering, "MAX_WANTED", 0)
+    df = skewed.withColumn("g", F.when(F.col("g") != 0, F.col("g")))
+    frame = skewed.toPandas()
+    got = {r["g"]: r["quantile"] for r in quantiles(df, ["g"], "x", [0.3]).collect()}
+    assert got[None] == pytest.approx(np.quantile(frame[frame.g == 0].x, 0.3))
+    assert got[7] == pytest.approx(np.quantile(frame[frame.g == 7].x, 0.3))
+
+
 def test_discrete_quantiles_and_bins(spark):
     df = spark.createDataFrame([(float(x),) for x in [1, 1, 1, 1, 2, 3, 4, 5, 6, 7]] + [(None,)], "x double")
     assert discrete_quantiles(df, "x", [0.25, 0.5, 1.0]) == [1.0, 2.0, 7.0]

@@ -41,7 +41,7 @@ def test_bad_window_arguments(spark):
         sequences.series_windows(spark.range(3), [], ["id"], "id", 3, 3)
 
 
-@pytest.mark.parametrize("text", ["", "ab", "abc", "abcd", "àéîöü∂ƒ" * 30, "x" * 1000])
+@pytest.mark.parametrize("text", ["", "ab", "abc", "abcd", "àéîöü∂ƒ" * 30, "a😀\n\r😀b" * 20, "x" * 1000])
 @pytest.mark.parametrize("length,stride", [(3, 1), (3, 2), (40, 3)])
 def test_char_windows_against_slicing(spark, text, length, stride):
     df = spark.createDataFrame([(1, text)], "id int, text string")
@@ -50,6 +50,13 @@ def test_char_windows_against_slicing(spark, text, length, stride):
         (i, text[i:i + length], text[i + length]) for i in range(0, len(text) - length, stride)]
 
 
+def test_long_texts_are_cut_without_loss(spark):
+    text = "".join(chr(97 + i * i % 26) for i in range(40_000))
+    df = spark.createDataFrame([(text,)], "text string")
+    got = {r["start"]: r["prefix"] + r["next_char"] for r in sequences.char_windows(df, "text", 5, 2).collect()}
+    assert got == {i: text[i:i + 6] for i in range(0, len(text) - 5, 2)}
+
+
 def test_transitions(spark):
     df = spark.createDataFrame([("u", i, s) for i, s in enumerate("aabab")] + [("v", 0, "a"), ("w", 0, "b"), ("w", 1, "a")],
                                "u string, i int, s string")
