@@ -128,6 +128,11 @@ def exact(c: Column | str, scale: int = 2) -> Column:
     return _column(c).cast(f"decimal(18,{scale})")
 
 
+def whole_total(c: Column | str) -> Column:
+    """Sum of whole numbers that may outgrow a long, as a double."""
+    return F.sum(_column(c).cast("decimal(20,0)")).cast("double")
+
+
 def exact_mean(c: Column | str, scale: int = 2) -> Column:
     """Average as an exact sum over the count."""
     return F.sum(exact(c, scale)).cast("double") / F.count(_column(c))

@@ -38,12 +38,11 @@ def fanout_sums(left: DataFrame, right: DataFrame, left_sums: Sequence[str],
 
     ``left`` and ``right`` come from ``per_key`` with prefixes ``left`` and ``right``.
     """
-    joined = left.join(right, "join_key")
-    return joined.select(
-        "join_key",
-        (F.col("left_rows") * F.col("right_rows")).alias("matches"),
-        *[(F.col(c) * F.col("right_rows")).alias(c) for c in left_sums],
-        *[(F.col(c) * F.col("left_rows")).alias(c) for c in right_sums])
+    left_rows, right_rows = (F.col(c).cast("decimal(19,0)") for c in ("left_rows", "right_rows"))
+    return left.join(right, "join_key").select(
+        "join_key", (left_rows * right_rows).alias("matches"),
+        *[(F.col(c) * right_rows).alias(c) for c in left_sums],
+        *[(F.col(c) * left_rows).alias(c) for c in right_sums])
 
 
 def aggregated_sums(left: DataFrame, right: DataFrame, left_sums: Sequence[str],
@@ -81,7 +80,7 @@ def distinct_pair_count(pairs: DataFrame, names: DataFrame, key: str, item: str,
     holders = names.groupBy(key, name).agg(F.count(F.lit(1)).alias("_names"))
     return (
         holders.join(items, key).groupBy(name)
-        .agg(F.sum(F.col("_items") * F.col("_names")).alias("n"))
+        .agg(F.sum(F.col("_items").cast("decimal(19,0)") * F.col("_names")).alias("n"))
     )
 
 

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 def hash_bucket(key: str, buckets: int = 100) -> Column:
     """Bucket of a whole-number key from plain arithmetic, the same in every engine."""
-    # The multiplier of Knuth's multiplicative hash and its modulus.
-    return (F.col(key) * F.lit(2654435761)) % F.lit(4294967296) % buckets
+    # The multiplier of Knuth's multiplicative hash and its modulus;
+    # keys are first cut to 31 bits so that the product fits a long.
+    low = F.pmod(F.col(key), F.lit(2147483648))
+    return low * F.lit(2654435761) % F.lit(4294967296) % buckets
 
 
 def hash_split(df: DataFrame, key: str, percent: int, name: str = "is_train") -> DataFrame:

@@ -18,6 +18,8 @@ from tallyloom.operators.ordering import with_position
 from tallyloom.workspace import small_side
 
 CHUNK = 4096
+# Fixed value: how many code points there are, and so how large a vocabulary can get.
+CODE_POINTS = 1_114_112
 
 
 def ordered_batches(df: DataFrame, keys: Sequence[str], value: str, size: int) -> DataFrame:
@@ -156,7 +158,7 @@ def one_hot_positions(samples: DataFrame, prefix: str, vocabulary_df: DataFrame)
     spelled = samples.select(
         "*", F.posexplode(F.split(F.col(prefix), "")).alias("place", "character")
     ).filter(F.col("character") != "").drop(prefix)
-    codes = small_side(vocabulary_df.select("character", "code"))
+    codes = small_side(vocabulary_df.select("character", "code"), CODE_POINTS)
     return spelled.join(codes, "character").drop("character")
 
 

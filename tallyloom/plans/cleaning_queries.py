@@ -352,7 +352,7 @@ def mapped_partitions(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("split_hash", """
-select o_orderkey, (o_orderkey * 2654435761 % 4294967296) % 100 < 70 as is_train from orders
+select o_orderkey, (o_orderkey % 2147483648 * 2654435761 % 4294967296) % 100 < 70 as is_train from orders
 """)
 def split_by_hash(spark: SparkSession, d: str) -> DataFrame:
     return sampling.hash_split(read_table(spark, d, "orders", "o_orderkey"), "o_orderkey", 70)
@@ -360,7 +360,7 @@ def split_by_hash(spark: SparkSession, d: str) -> DataFrame:
 
 @query("split_stratified", """
 select doc_id, quality,
-       (doc_id * 2654435761 % 4294967296) % 100 < case quality when 0 then 80 else 60 end as is_train
+       (doc_id % 2147483648 * 2654435761 % 4294967296) % 100 < case quality when 0 then 80 else 60 end as is_train
 from labels
 """)
 def split_by_label(spark: SparkSession, d: str) -> DataFrame:
@@ -370,7 +370,7 @@ def split_by_label(spark: SparkSession, d: str) -> DataFrame:
 
 @query("split_anti", """
 select o_orderkey, o_totalprice from orders
-where not ((o_orderkey * 2654435761 % 4294967296) % 100 < 20)
+where not ((o_orderkey % 2147483648 * 2654435761 % 4294967296) % 100 < 20)
 """)
 def split_by_absence(spark: SparkSession, d: str) -> DataFrame:
     orders = read_table(spark, d, "orders", "o_orderkey", "o_totalprice")

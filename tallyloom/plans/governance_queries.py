@@ -142,7 +142,7 @@ def notebooks(spark: SparkSession, d: str) -> DataFrame:
     log = service_log(spark, d).withColumn(
         "actionName", F.when(F.col("serviceName") == "clusters", "createResult")
         .otherwise(F.col("actionName")))
-    return audit.notebooks_per_cluster_name(log)
+    return audit.notebooks_per_cluster_name(log).withColumn("n", F.col("n").cast("long"))
 
 
 @query("secured_view", """

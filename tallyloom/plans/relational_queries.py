@@ -125,7 +125,7 @@ group by 1
 def normalised_key(spark: SparkSession, d: str) -> DataFrame:
     left, right = _key_sides(spark, d)
     return joins.fanout_sums(left, right, [], []).select(
-        F.col("join_key").alias("name"), "matches")
+        F.col("join_key").alias("name"), F.col("matches").cast("long").alias("matches"))
 
 
 @query("join_fanout_naive", """
@@ -136,7 +136,7 @@ from nation join customer on n_nationkey = c_nationkey group by 1
 def fanout_naive(spark: SparkSession, d: str) -> DataFrame:
     left, right = _key_sides(spark, d)
     return joins.fanout_sums(left, right, ["region_total"], ["balance"]).select(
-        F.col("join_key").alias("name"), "region_total",
+        F.col("join_key").alias("name"), F.col("region_total").cast("long").alias("region_total"),
         F.col("balance").cast("double").alias("balance"))
 
 
@@ -191,7 +191,8 @@ def distinct_count(spark: SparkSession, d: str) -> DataFrame:
     pairs = read_table(spark, d, "events", "user_id", "event_type")
     names = read_table(spark, d, "customer").select(
         F.col("c_custkey").alias("user_id"), "c_mktsegment")
-    return joins.distinct_pair_count(pairs, names, "user_id", "event_type", "c_mktsegment")
+    counted = joins.distinct_pair_count(pairs, names, "user_id", "event_type", "c_mktsegment")
+    return counted.withColumn("n", F.col("n").cast("long"))
 
 
 @query("join_three_way", """

@@ -93,9 +93,7 @@ def text_lines(spark: SparkSession, d: str) -> DataFrame:
 @query("rewrite_splittable", LINE_LENGTHS)
 def splittable(spark: SparkSession, d: str) -> DataFrame:
     target = scratch_path(spark, "plain")
-    parts = max(8, spark.sparkContext.defaultParallelism)
-    return _line_lengths(
-        files.rewrite_splittable(spark, _staged_lines(spark, d), target, parts))
+    return _line_lengths(files.rewrite_splittable(spark, _staged_lines(spark, d), target))
 
 
 @query("src_parquet_path", """
@@ -140,7 +138,7 @@ def json_array(spark: SparkSession, d: str) -> DataFrame:
 
 @query("src_range", """
 select o_orderkey % 10 as digit, count(*) as orders,
-       cast(sum(o_orderkey * o_orderkey) as bigint) as squares
+       cast(sum(o_orderkey * o_orderkey) as double) as squares
 from orders group by 1
 """)
 def ranges(spark: SparkSession, d: str) -> DataFrame:
@@ -150,7 +148,7 @@ def ranges(spark: SparkSession, d: str) -> DataFrame:
         files.squares(spark, size)
         .join(orders, F.col("id") == F.col("o_orderkey"))
         .groupBy((F.col("id") % 10).alias("digit"))
-        .agg(F.count(F.lit(1)).alias("orders"), F.sum("square").alias("squares")))
+        .agg(F.count(F.lit(1)).alias("orders"), F.sum("square").cast("double").alias("squares")))
 
 
 @query("dim_inline_join", """
@@ -171,7 +169,7 @@ def inline_join(spark: SparkSession, d: str) -> DataFrame:
 @query("src_generated_series", """
 select 'k_' || lpad(cast(event_id % 200 as varchar), 3, '0') as key,
        'group_' || cast(event_id % 3 as varchar) as series,
-       event_id * event_id as value
+       cast(event_id * event_id as double) as value
 from events
 """)
 def generated_series(spark: SparkSession, d: str) -> DataFrame:
@@ -295,7 +293,7 @@ def clustered_table(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("sink_bucketed", """
-select user_id, count(*) as events, cast(sum(event_id) as bigint) as id_total
+select user_id, count(*) as events, cast(sum(event_id) as double) as id_total
 from events group by 1
 """)
 def bucketed_table(spark: SparkSession, d: str) -> DataFrame:
@@ -304,7 +302,7 @@ def bucketed_table(spark: SparkSession, d: str) -> DataFrame:
     table = path.rsplit("/", 1)[1].replace("-", "_")
     saved = sinks.save_bucketed(events, table, path, "event_id", "ts", 40)
     return saved.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("events"), F.sum("event_id").alias("id_total"))
+        F.count(F.lit(1)).alias("events"), clean.whole_total("event_id").alias("id_total"))
 
 
 @query("sink_max_records", """
@@ -319,7 +317,7 @@ def capped_files(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("partition_discovery", """
-select event_type as kind, count(*) as events, cast(sum(event_id) as bigint) as id_total
+select event_type as kind, count(*) as events, cast(sum(event_id) as double) as id_total
 from events group by 1
 """)
 def discovered_partitions(spark: SparkSession, d: str) -> DataFrame:
@@ -331,7 +329,7 @@ def discovered_partitions(spark: SparkSession, d: str) -> DataFrame:
         spark, table, path, "event_id BIGINT, kind STRING", "kind",
         {"click": f"{path}/kind=click"})
     return found.groupBy("kind").agg(
-        F.count(F.lit(1)).alias("events"), F.sum("event_id").alias("id_total"))
+        F.count(F.lit(1)).alias("events"), clean.whole_total("event_id").alias("id_total"))
 
 
 def _profile_sql(columns: dict[str, str]) -> str:

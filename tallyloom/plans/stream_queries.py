@@ -18,7 +18,7 @@ EVENTS = ("event_id long, ts timestamp_ntz, user_id long, event_type string, val
 
 
 def event_stream(spark: SparkSession, d: str) -> DataFrame:
-    stream = runner.file_stream(spark, f"{d}/events.parquet*", EVENTS)
+    stream = runner.file_stream(spark, f"{d}/events.parquet*", EVENTS, files_per_trigger=10_000)
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -38,7 +38,7 @@ ZIP = {"zip": "$.zip", "hittime": "$.hittime"}
 
 
 @query("st_file_source", """
-select event_type, count(*) as n, cast(sum(event_id) as bigint) as ids from events group by 1
+select event_type, count(*) as n, cast(sum(event_id) as double) as ids from events group by 1
 """)
 def file_source(spark: SparkSession, d: str) -> DataFrame:
     """CSV files taken two per trigger, with blanks and missing markers."""
@@ -50,7 +50,7 @@ def file_source(spark: SparkSession, d: str) -> DataFrame:
         spark, path, "event_id long, event_type string", "csv", 2, header="true",
         nullValue="NA", ignoreLeadingWhiteSpace="true", ignoreTrailingWhiteSpace="true")
     counted = stream.groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+        F.count(F.lit(1)).alias("n"), clean.whole_total("event_id").alias("ids"))
     return runner.run_complete(counted)
 
 
@@ -144,12 +144,12 @@ def decoded(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("st_parquet_sink", """
-select event_type, count(*) as n, cast(sum(event_id) as bigint) as ids from events group by 1
+select event_type, count(*) as n, cast(sum(event_id) as double) as ids from events group by 1
 """)
 def parquet_sink(spark: SparkSession, d: str) -> DataFrame:
     rows = event_stream(spark, d).select("event_id", "event_type")
     return runner.run_to_files(rows, ["event_type"]).groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+        F.count(F.lit(1)).alias("n"), clean.whole_total("event_id").alias("ids"))
 
 
 @query("st_raw_then_batch", """

@@ -43,9 +43,14 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def rewrite_splittable(spark: SparkSession, source: str, target: str,
-                       partitions: int) -> DataFrame:
-    """Copy compressed text, one task per file, to plain files many tasks can read."""
-    read_lines(spark, source).repartition(partitions).write.option("lineSep", "\n").text(target)
+                       partitions: int | None = None) -> DataFrame:
+    """Copy compressed text, one task per file, to plain files many tasks can read.
+
+    Without a number of partitions their size follows the session's advisory size.
+    """
+    lines = read_lines(spark, source)
+    spread = lines.repartition(partitions) if partitions else lines.hint("rebalance")
+    spread.write.option("lineSep", "\n").text(target)
     return read_lines(spark, target)
 
 
@@ -97,7 +102,8 @@ def number_range(spark: SparkSession, size: int) -> DataFrame:
 
 
 def squares(spark: SparkSession, size: int) -> DataFrame:
-    return number_range(spark, size).select("id", (F.col("id") * F.col("id")).alias("square"))
+    wide = F.col("id").cast("decimal(19,0)")
+    return number_range(spark, size).select("id", (wide * wide).alias("square"))
 
 
 def cyclic_keys(df: DataFrame, number: str, keys: int, series: int) -> DataFrame:
@@ -106,7 +112,7 @@ def cyclic_keys(df: DataFrame, number: str, keys: int, series: int) -> DataFrame
     return df.select(
         F.format_string("k_%03d", n % keys).alias("key"),
         F.concat(F.lit("group_"), (n % series).cast("string")).alias("series"),
-        (n * n).alias("value"))
+        (n.cast("double") * n).alias("value"))
 
 
 def expand_payload(df: DataFrame, payload: str, version: str,

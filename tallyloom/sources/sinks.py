@@ -30,8 +30,9 @@ def create_table_as(df: DataFrame, table: str, path: str, by: Sequence[str] = ()
     view = f"{table}_rows"
     df.createOrReplaceTempView(view)
     layout = f"PARTITIONED BY ({', '.join(by)})" if by else ""
+    spread = f"/*+ REBALANCE({', '.join(by)}) */" if by else ""
     spark.sql(f"CREATE TABLE {table} USING PARQUET {layout} LOCATION '{path}' "
-              f"AS SELECT * FROM {view}")
+              f"AS SELECT {spread} * FROM {view}")
     spark.catalog.dropTempView(view)
     return spark.table(table)
 

@@ -47,9 +47,19 @@ def start_memory(stream: DataFrame, name: str, mode: str = "complete",
 
 
 def start_files(stream: DataFrame, path: str, by: Sequence[str] = (), fmt: str = "parquet",
-                every: str | None = None, checkpoint: str | None = None) -> StreamingQuery:
-    """Append rows to (partitioned) files."""
+                every: str | None = None, checkpoint: str | None = None,
+                files_per_value: int = 8) -> StreamingQuery:
+    """Append rows to (partitioned) files.
+
+    Rows of a partition value are gathered before the write, so a batch leaves
+    at most ``files_per_value`` files per value; a value that holds most rows
+    is written by that many tasks.
+    """
     checkpoint = checkpoint or scratch_path(stream.sparkSession, "checkpoint")
+    if by:
+        others = [c for c in stream.columns if c not in by] or list(by)
+        share = F.pmod(F.xxhash64(*others), F.lit(files_per_value))
+        stream = stream.repartition(*[F.col(c) for c in by], share)
     writer = _start(stream, "append", checkpoint, every).format(fmt)
     return (writer.partitionBy(*by) if by else writer).start(path)
 
