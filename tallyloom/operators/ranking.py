@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallyloom.workspace import join_on_keys
+
 
 def top_per_group(totals: DataFrame, group: Sequence[str], measure: str, n: int) -> DataFrame:
     """Rows ranked ``n`` or better by ``measure`` in their group; ties share a rank.
@@ -39,5 +41,15 @@ def top_rows(df: DataFrame, n: int, *order: Column) -> DataFrame:
 
 def share_of_total(totals: DataFrame, whole: Sequence[str], measure: str,
                    name: str = "share") -> DataFrame:
-    part = F.sum(measure).over(W.partitionBy(*whole))
-    return totals.withColumn(name, F.try_divide(F.col(measure), part))
+    """Each row's part of the sum over its ``whole`` (of all rows if there is no such column).
+
+    Sums are joined back rather than taken over a window, so a whole with very
+    many rows is not one task.
+    """
+    share = F.try_divide(F.col(measure), F.col("_sum"))
+    if not whole:
+        summed = totals.withColumn("_sum", totals.select(F.sum(measure)).scalar())
+    else:
+        sums = totals.groupBy(*whole).agg(F.sum(measure).alias("_sum"))
+        summed = join_on_keys(totals, sums, whole)
+    return summed.withColumn(name, share).drop("_sum")

@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyloom.operators.ordering import with_position
+from tallyloom.operators.ranking import share_of_total
 from tallyloom.workspace import small_side
 
 CHUNK = 4096
@@ -112,8 +113,7 @@ def transitions(df: DataFrame, series: Sequence[str], order: Sequence[str],
     counts = pairs.groupBy(
         F.col("items")[0].alias("previous"), F.col("items")[1].alias("following")
     ).agg(F.count(F.lit(1)).alias("n"))
-    whole = F.sum("n").over(W.partitionBy("previous"))
-    return counts.withColumn("share", F.col("n") / whole)
+    return share_of_total(counts, ["previous"], "n")
 
 
 def char_windows(df: DataFrame, text: str, length: int, stride: int) -> DataFrame:

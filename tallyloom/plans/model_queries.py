@@ -16,7 +16,7 @@ from tallyloom.operators.sampling import hash_bucket
 from tallyloom.plans.registry import query
 from tallyloom.sources import sinks
 from tallyloom.sources.files import read_table
-from tallyloom.workspace import scratch_path
+from tallyloom.workspace import materialise, scratch_path
 
 CUTS = "[" + ", ".join(f"{i / 10}::double" for i in range(1, 10)) + "]"
 
@@ -197,8 +197,10 @@ def gbt_regress(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _labelled_documents(spark: SparkSession, d: str, *columns: str) -> DataFrame:
-    return read_table(spark, d, "documents", "doc_id", *columns).join(
+    """Documents with their label, joined once and written, as training reads them often."""
+    rows = read_table(spark, d, "documents", "doc_id", *columns).join(
         read_table(spark, d, "labels", "doc_id", "quality"), "doc_id")
+    return materialise(rows, "labelled")
 
 
 @query("ml_gbt_classify")

@@ -48,7 +48,7 @@ def start_memory(stream: DataFrame, name: str, mode: str = "complete",
 
 def start_files(stream: DataFrame, path: str, by: Sequence[str] = (), fmt: str = "parquet",
                 every: str | None = None, checkpoint: str | None = None,
-                files_per_value: int = 8) -> StreamingQuery:
+                files_per_value: int = 4) -> StreamingQuery:
     """Append rows to (partitioned) files.
 
     Rows of a partition value are gathered before the write, so a batch leaves

@@ -15,6 +15,13 @@ def test_rank_keeps_ties_and_drops_zero(spark):
     assert sorted((r["x"], r["place"]) for r in got) == [("a", 1), ("b", 1)]
 
 
+def test_shares(spark):
+    df = spark.createDataFrame([("g", 1), ("g", 3), (None, 2), ("z", 0)], "g string, n int")
+    got = sorted((str(r["g"]), r["n"], r["share"]) for r in ranking.share_of_total(df, ["g"], "n").collect())
+    assert got == [("None", 2, 1.0), ("g", 1, 0.25), ("g", 3, 0.75), ("z", 0, None)]
+    assert ranking.share_of_total(df, [], "n").agg({"share": "sum"}).first()[0] == pytest.approx(1.0)
+
+
 def test_unknown_uses_up_a_place(spark):
     df = spark.createDataFrame([("g", "Unknown", 9), ("g", "a", 5), ("g", "b", 4)], "g string, x string, n int")
     got = ranking.top_known_per_group(df, ["g"], "n", 2, ["x"]).collect()
