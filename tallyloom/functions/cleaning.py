@@ -107,6 +107,11 @@ def safe_file_name(c: Column | str) -> Column:
     return F.regexp_replace(_column(c), "[ ()]", "")
 
 
+def chunk_file_name(name: Column | str, chunk: Column | str) -> Column:
+    return safe_file_name(F.concat(
+        _column(name), F.lit("_Chunk"), _column(chunk).cast("string"), F.lit(".json")))
+
+
 def year_of_text_date(c: Column | str) -> Column:
     """Year of ``'4/18/1950 0:00:00'``; text that is no date is null."""
     day = F.split(_column(c), " ")[0]

@@ -22,11 +22,24 @@ def inner_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
     return left.join(right, same, "inner").select(*keep)
 
 
-def per_key(df: DataFrame, key: Column, sums: dict[str, Column], prefix: str) -> DataFrame:
-    """Row count and sums of each key value; rows without a key cannot match."""
+def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], salts: int = 16) -> DataFrame:
+    """Inner equi-join that spreads every key of ``left`` over ``salts`` tasks.
+
+    Each right row is repeated once per salt, so ``right`` should be the side
+    with few rows per key.  For joins adaptive execution cannot rebalance, as
+    in streams; a batch join splits skewed keys by itself.
+    """
+    salt = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+    spread = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.withColumn("_salt", salt).join(spread, [*on, "_salt"]).drop("_salt")
+
+
+def per_key(df: DataFrame, key: Column, sums: dict[str, Column], prefix: str,
+            also: Sequence[str] = ()) -> DataFrame:
+    """Row count and sums per key value (and the columns ``also``); null keys cannot match."""
     return (
         df.withColumn("join_key", key).filter(F.col("join_key").isNotNull())
-        .groupBy("join_key")
+        .groupBy("join_key", *also)
         .agg(F.count(F.lit(1)).alias(f"{prefix}_rows"),
              *[F.sum(c).alias(name) for name, c in sums.items()])
     )
@@ -36,19 +49,21 @@ def fanout_sums(left: DataFrame, right: DataFrame, left_sums: Sequence[str],
                 right_sums: Sequence[str]) -> DataFrame:
     """Sums as a plain join of the details gives them: each side repeated per match.
 
-    ``left`` and ``right`` come from ``per_key`` with prefixes ``left`` and ``right``.
+    ``left`` and ``right`` come from ``per_key`` with prefixes ``left`` and
+    ``right``; there is one result row per pair of their groups.
     """
+    known = {"join_key", "left_rows", "right_rows", *left_sums, *right_sums}
+    groups = [c for c in [*left.columns, *right.columns] if c not in known]
     left_rows, right_rows = (F.col(c).cast("decimal(19,0)") for c in ("left_rows", "right_rows"))
     return left.join(right, "join_key").select(
-        "join_key", (left_rows * right_rows).alias("matches"),
+        "join_key", *groups, (left_rows * right_rows).alias("matches"),
         *[(F.col(c) * right_rows).alias(c) for c in left_sums],
         *[(F.col(c) * left_rows).alias(c) for c in right_sums])
 
 
-def aggregated_sums(left: DataFrame, right: DataFrame, left_sums: Sequence[str],
-                    right_sums: Sequence[str]) -> DataFrame:
+def aggregated_sums(left: DataFrame, right: DataFrame) -> DataFrame:
     """Sums with each side aggregated first, so that no row counts twice."""
-    return left.join(right, "join_key").select("join_key", *left_sums, *right_sums)
+    return left.join(right, "join_key").drop("left_rows", "right_rows")
 
 
 def join_aggregate_back(df: DataFrame, group: Sequence[str], on: Sequence[str],

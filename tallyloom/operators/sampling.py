@@ -38,8 +38,12 @@ def rows_not_in(df: DataFrame, sample: DataFrame, key: str) -> DataFrame:
 
 
 def difference(df: DataFrame, other: DataFrame) -> DataFrame:
-    """Distinct rows of ``df`` that ``other`` lacks."""
-    return df.subtract(other)
+    """Distinct rows of ``df`` that ``other`` lacks.
+
+    Both sides lose their duplicates before they meet, so a row that is very
+    frequent arrives once per task.
+    """
+    return df.distinct().subtract(other.distinct())
 
 
 def stacked(frames: Sequence[DataFrame]) -> DataFrame:

@@ -185,17 +185,18 @@ def page_requests(views: DataFrame, project: str, prefix: str) -> DataFrame:
 
 def city_requests_and_population(views: DataFrame, zips: DataFrame, project: str,
                                  per_match: bool) -> DataFrame:
-    """Requests and population of cities whose page carries their name.
+    """Requests and population of the cities whose page carries their name.
 
-    ``per_match`` repeats each side per match as a plain join does; without
-    it both sides are added up before they meet.
+    ``per_match`` repeats each side per match as a plain join does, which
+    counts people several times; without it both sides are added up first.
     """
     left = joins.per_key(views.filter(F.col("project") == project), F.lower("page"),
                          {"requests": F.col("requests").cast("long")}, "left")
-    right = joins.per_key(zips, clean.normal_key("city"), {"pop": F.col("pop").cast("long")}, "right")
-    if per_match:
-        return joins.fanout_sums(left, right, ["requests"], ["pop"])
-    return joins.aggregated_sums(left, right, ["requests"], ["pop"])
+    right = joins.per_key(zips, clean.normal_key("city"), {"pop": F.col("pop").cast("long")}, "right",
+                          also=["city", "state"])
+    sums = (joins.fanout_sums(left, right, ["requests"], ["pop"]) if per_match
+            else joins.aggregated_sums(left, right))
+    return sums.select("city", "state", "pop", "requests").orderBy(F.desc("requests"), "city", "state")
 
 
 # Registered runs --------------------------------------------------------------

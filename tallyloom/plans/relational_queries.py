@@ -147,7 +147,7 @@ from nation join (select c_nationkey, cast(sum(cast(c_acctbal as decimal(18,2)))
 """)
 def fanout_aggregated(spark: SparkSession, d: str) -> DataFrame:
     left, right = _key_sides(spark, d)
-    return joins.aggregated_sums(left, right, ["region_total"], ["balance"]).select(
+    return joins.aggregated_sums(left, right).select(
         F.col("join_key").alias("name"), "region_total",
         F.col("balance").cast("double").alias("balance"))
 

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.functions import cleaning as clean
+from tallyloom.operators.ordering import with_position
 from tallyloom.operators.sequences import ordered_batches
 from tallyloom.plans.registry import query
 from tallyloom.sources import files, sinks
+from tallyloom.sources.sinks import json_documents
 from tallyloom.workspace import scratch_path
 
 
@@ -127,9 +129,7 @@ def json_array(spark: SparkSession, d: str) -> DataFrame:
     part = files.read_table(spark, d, "part", "p_partkey", "p_name", "p_retailprice")
     record = F.struct(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"),
                       F.col("p_retailprice").alias("price"))
-    documents = (
-        part.groupBy(F.floor(F.col("p_partkey") / 1000).alias("chunk"))
-        .agg(F.to_json(F.collect_list(record)).alias("document")))
+    documents = json_documents(with_position(part, [], ["p_partkey"]), record, "position", 1000)
     path = scratch_path(spark, "arrays")
     documents.write.partitionBy("chunk").text(path)
     return files.read_json_documents(
@@ -199,8 +199,7 @@ with numbered as (
   from part)
 select p_type, batch, count(*) as ids,
        string_agg(cast(p_partkey as varchar), ',' order by p_partkey) as id_list,
-       regexp_replace(p_type || ' (set ' || cast(batch as varchar) || ').json', '[ ()]', '', 'g')
-         as file_name
+       'Parts' || p_type || '_Chunk' || cast(batch as varchar) || '.json' as file_name
 from numbered group by p_type, batch
 """)
 def id_batches(spark: SparkSession, d: str) -> DataFrame:
@@ -209,8 +208,7 @@ def id_batches(spark: SparkSession, d: str) -> DataFrame:
     return batches.select(
         "p_type", "batch", F.size("items").cast("long").alias("ids"),
         F.array_join("items", ",").alias("id_list"),
-        clean.safe_file_name(F.concat(
-            "p_type", F.lit(" (set "), F.col("batch").cast("string"), F.lit(").json")))
+        clean.chunk_file_name(F.concat(F.lit("Parts ("), "p_type", F.lit(")")), "batch")
         .alias("file_name"))
 
 

@@ -200,6 +200,17 @@ def static_join(spark: SparkSession, d: str) -> DataFrame:
         "word", "meaning", "n")
 
 
+@query("st_static_join_rows", """
+select event_id, user_id, c_mktsegment from events join customer on user_id = c_custkey
+""")
+def static_join_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Every row of the stream with its static customer, appended to files."""
+    customers = read_table(spark, d, "customer").select(
+        F.col("c_custkey").alias("user_id"), "c_mktsegment")
+    rows = event_stream(spark, d).select("event_id", "user_id")
+    return runner.run_to_files(transforms.with_dimension(rows, customers, "user_id"))
+
+
 @query("st_customer_join", """
 select c_mktsegment, count(*) as n from events join customer on user_id = c_custkey group by 1
 """)

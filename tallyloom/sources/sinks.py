@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -78,6 +78,12 @@ def save_csv(df: DataFrame, path: str, by: Sequence[str] = (), null_value: str =
     return path
 
 
+def json_documents(placed: DataFrame, record: Column, position: str, size: int) -> DataFrame:
+    """JSON arrays of ``size`` records each, by position: (``chunk``, ``document``)."""
+    return placed.groupBy(F.floor((F.col(position) - 1) / size).alias("chunk")).agg(
+        F.to_json(F.collect_list(record)).alias("document"))
+
+
 def attach_partitions(spark: SparkSession, table: str, path: str, columns: str,
                       by: str, first: Mapping[str, str] | None = None) -> DataFrame:
     """External table over existing partition folders: add one, then find the rest."""

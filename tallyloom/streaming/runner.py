@@ -64,6 +64,14 @@ def start_files(stream: DataFrame, path: str, by: Sequence[str] = (), fmt: str =
     return (writer.partitionBy(*by) if by else writer).start(path)
 
 
+def start_topic(stream: DataFrame, servers: str, topic: str, mode: str = "update",
+                every: str | None = None, checkpoint: str | None = None) -> StreamingQuery:
+    """Key and value text rows to a Kafka topic; needs the Spark Kafka connector."""
+    checkpoint = checkpoint or scratch_path(stream.sparkSession, "checkpoint")
+    return (_start(stream, mode, checkpoint, every).format("kafka")
+            .option("kafka.bootstrap.servers", servers).option("topic", topic).start())
+
+
 def start_batches(stream: DataFrame, path: str, mode: str, every: str | None = None,
                   checkpoint: str | None = None,
                   landed: list[int] | None = None) -> StreamingQuery:

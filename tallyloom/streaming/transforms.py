@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.operators.joins import salted_join
+
 STAMP = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -29,13 +31,17 @@ def window_bounds(counts: DataFrame) -> DataFrame:
         F.date_format("window.end", STAMP).alias("window_end"))
 
 
-def with_dimension(rows: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
+def with_dimension(rows: DataFrame, dimension: DataFrame, key: str,
+                   max_rows: int = 50_000, salts: int = 16) -> DataFrame:
     """Stream-static inner join.
 
-    No broadcast is forced: Spark broadcasts the static side while it is under
-    the session's size threshold and shuffles both sides beyond it.
+    A static side counted to have at most ``max_rows`` rows is broadcast.  A
+    larger one is joined with salted keys, because adaptive execution does not
+    split a frequent key of a stream.
     """
-    return rows.join(dimension, key)
+    if dimension.limit(max_rows + 1).count() <= max_rows:
+        return rows.join(F.broadcast(dimension), key)
+    return salted_join(rows, dimension, [key], salts)
 
 
 def daily(rows: DataFrame, at: str, day: str = "day") -> DataFrame:

@@ -17,7 +17,11 @@ if __name__ == "__main__":
     queries, statements = entry.queries(), entry.oracle_sql()
     if names:
         queries = {k: v for k, v in queries.items() if any(k.startswith(n) for n in names)}
-    spark = local_session(8)
+    if os.environ.get("CHECK_PLAIN"):  # no adaptive execution, no automatic broadcast
+        spark = local_session(4, **{
+            "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"})
+    else:
+        spark = local_session(8)
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(folder)
     bad = 0

@@ -132,7 +132,14 @@ def test_fan_out_is_the_plain_join(spark):
     left = joins.per_key(a, normal_key("k"), {"x": F.col("x")}, "left")
     right = joins.per_key(b, normal_key("k"), {"y": F.col("y")}, "right")
     assert [tuple(r) for r in joins.fanout_sums(left, right, ["x"], ["y"]).collect()] == [("a_b", 4, 6, 60)]
-    assert [tuple(r) for r in joins.aggregated_sums(left, right, ["x"], ["y"]).collect()] == [("a_b", 3, 30)]
+    assert [tuple(r) for r in joins.aggregated_sums(left, right).select("join_key", "x", "y").collect()] == [("a_b", 3, 30)]
+
+
+def test_salted_join_is_the_plain_join(spark):
+    a = spark.range(1000).select("id", (F.col("id") % 3).alias("k"))
+    b = spark.createDataFrame([(0, "x"), (1, "y"), (1, "z"), (9, "w")], "k long, v string")
+    salted, plain = joins.salted_join(a, b, ["k"], 5), a.join(b, "k")
+    assert sorted(map(tuple, salted.select("id", "k", "v").collect())) == sorted(map(tuple, plain.select("id", "k", "v").collect()))
 
 
 def test_profile(spark):

@@ -102,11 +102,13 @@ def test_page_views(spark):
     views = spark.createDataFrame([("en", "Apache_Spark", 3), ("en", "apache_x", 4), ("fr", "Apache_Spark", 9), ("en", "New_York", 5)],
                                   "project string, page string, requests int")
     assert jobs.page_requests(views, "en", "Apache_").first()["requests"] == 7
-    zips = spark.createDataFrame([("NEW YORK", 100), ("NEW YORK", 50), ("BOSTON", 7)], "city string, pop long")
-    repeated = jobs.city_requests_and_population(views, zips, "en", per_match=True).first()
-    assert (repeated["requests"], repeated["pop"]) == (10, 150)
-    single = jobs.city_requests_and_population(views, zips, "en", per_match=False).first()
-    assert (single["requests"], single["pop"]) == (5, 150)
+    zips = spark.createDataFrame([("NEW YORK", "NY", 100), ("NEW YORK", "NY", 50), ("NEW YORK", "TX", 1), ("BOSTON", "MA", 7)],
+                                 "city string, state string, pop long")
+    views = views.unionByName(spark.createDataFrame([("en", "new_york", 2)], views.schema))
+    repeated = jobs.city_requests_and_population(views, zips, "en", per_match=True).collect()
+    assert [tuple(r) for r in repeated] == [("NEW YORK", "NY", 300, 14), ("NEW YORK", "TX", 2, 7)]
+    single = jobs.city_requests_and_population(views, zips, "en", per_match=False).collect()
+    assert [tuple(r) for r in single] == [("NEW YORK", "NY", 150, 7), ("NEW YORK", "TX", 1, 7)]
 
 
 @pytest.fixture

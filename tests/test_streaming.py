@@ -69,6 +69,22 @@ def test_an_empty_folder_gives_no_rows(spark):
     assert runner.run_upsert(transforms.running_count(stream, "k"), ["k"]).count() == 0
 
 
+def test_a_large_static_side_is_salted(spark):
+    static = spark.createDataFrame([("k0", "x"), ("k1", "y")], "k string, v string")
+    stream = runner.file_stream(spark, staged(spark, 2), SCHEMA)
+    joined = runner.run_to_files(transforms.with_dimension(stream, static, "k", max_rows=1, salts=3))
+    assert sorted(map(str, joined.select("id", "k", "v").collect())) == sorted(
+        map(str, rows(spark).join(static, "k").select("id", "k", "v").collect()))
+
+
+def test_partitioned_files_are_bounded_per_value(spark):
+    stream = runner.file_stream(spark, staged(spark, 8), SCHEMA)
+    path = scratch_path(spark, "bounded")
+    runner.finish(runner.start_files(stream, path, ["k"], files_per_value=2))
+    files = spark.read.parquet(path).groupBy("k", F.input_file_name()).count().groupBy("k").count()
+    assert max(r["count"] for r in files.collect()) <= 2
+
+
 def test_memory_sink_and_interval_trigger(spark):
     name = scratch_name("seen")
     stream = transforms.running_count(runner.file_stream(spark, staged(spark, 1), SCHEMA), "k")
