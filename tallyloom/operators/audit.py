@@ -13,6 +13,17 @@ from pyspark.sql import functions as F
 from tallyloom.fixed_values import DISK_ATTRIBUTES
 from tallyloom.operators.joins import distinct_match, distinct_pair_count, run_name
 
+# Service and action names, and special users, as the log spells them.
+CREATE_CLUSTER = ("clusters", "create")
+CLUSTER_CREATED = ("clusters", "createResult")
+RUN_FAILED = ("jobs", "runFailed")
+LOGIN = ("accounts", "login")
+GRANT_PERMISSION = ("sqlPermissions", "grantPermission")
+ATTACH_NOTEBOOK = ("notebook", "attachNotebook")
+UNKNOWN_USER = "Unknown"
+JOB_LAUNCHER = "JOB_LAUNCHER"
+SUCCESS = 200
+
 
 def of_action(log: DataFrame, service: str, action: str) -> DataFrame:
     return log.filter((F.col("serviceName") == service) & (F.col("actionName") == action))
@@ -28,36 +39,36 @@ def actions_per_service(log: DataFrame) -> DataFrame:
 
 
 def cluster_creations_by_user(log: DataFrame) -> DataFrame:
-    return count_by(of_action(log, "clusters", "create"), email="userIdentity.email")
+    return count_by(of_action(log, *CREATE_CLUSTER), email="userIdentity.email")
 
 
-def creations_by_people(log: DataFrame, unknown: str = "Unknown",
-                        launcher: str = "JOB_LAUNCHER") -> DataFrame:
+def creations_by_people(log: DataFrame, unknown: str = UNKNOWN_USER,
+                        launcher: str = JOB_LAUNCHER) -> DataFrame:
     """Cluster creations that are not an unknown user acting for the job launcher."""
     by_launcher = ((F.col("userIdentity.email") == unknown)
                    & (F.col("requestParams.cluster_creator") == launcher))
-    return of_action(log, "clusters", "create").filter(~by_launcher)
+    return of_action(log, *CREATE_CLUSTER).filter(~by_launcher)
 
 
 def failed_runs_by_job(log: DataFrame) -> DataFrame:
-    return count_by(of_action(log, "jobs", "runFailed"), jobId="requestParams.jobId")
+    return count_by(of_action(log, *RUN_FAILED), jobId="requestParams.jobId")
 
 
 def failed_logins(log: DataFrame) -> DataFrame:
     return (
-        of_action(log, "accounts", "login").filter(F.col("response.statusCode") != 200)
+        of_action(log, *LOGIN).filter(F.col("response.statusCode") != SUCCESS)
         .select("userIdentity.email", "date", "requestParams.user", "response.statusCode")
         .distinct())
 
 
 def permission_grants(log: DataFrame) -> DataFrame:
-    return of_action(log, "sqlPermissions", "grantPermission").select(
+    return of_action(log, *GRANT_PERMISSION).select(
         "userIdentity.email", "requestParams.permission", "date")
 
 
 def disk_totals(log: DataFrame) -> DataFrame:
     """Disk counts and sizes per user and disk type, from JSON text inside the log."""
-    parsed = of_action(log, "clusters", "create").select(
+    parsed = of_action(log, *CREATE_CLUSTER).select(
         "userIdentity.email",
         F.from_json("requestParams.aws_attributes", DISK_ATTRIBUTES).alias("disk"))
     return (
@@ -68,13 +79,13 @@ def disk_totals(log: DataFrame) -> DataFrame:
         .orderBy(F.desc("tot_ebs_vols")))
 
 
-def failed_job_settings(log: DataFrame, launcher: str = "JOB_LAUNCHER") -> DataFrame:
+def failed_job_settings(log: DataFrame, launcher: str = JOB_LAUNCHER) -> DataFrame:
     """Cluster settings used by failed job runs, matched on the cluster's name."""
-    failed = of_action(log, "jobs", "runFailed").select(
+    failed = of_action(log, *RUN_FAILED).select(
         F.col("requestParams.jobId").alias("jobId"),
         run_name("requestParams.jobId", "requestParams.idInJob").alias("cluster_name"))
     clusters = (
-        of_action(log, "clusters", "create")
+        of_action(log, *CREATE_CLUSTER)
         .filter(F.col("requestParams.cluster_creator") == launcher)
         .select("requestParams.cluster_name", "requestParams.node_type_id",
                 "requestParams.spark_version"))
@@ -83,8 +94,8 @@ def failed_job_settings(log: DataFrame, launcher: str = "JOB_LAUNCHER") -> DataF
 
 
 def notebooks_per_cluster_name(log: DataFrame) -> DataFrame:
-    attached = of_action(log, "notebook", "attachNotebook").select(
+    attached = of_action(log, *ATTACH_NOTEBOOK).select(
         "requestParams.clusterId", "requestParams.notebookId")
-    named = of_action(log, "clusters", "createResult").select(
+    named = of_action(log, *CLUSTER_CREATED).select(
         "requestParams.clusterId", "requestParams.clusterName")
     return distinct_pair_count(attached, named, "clusterId", "notebookId", "clusterName")

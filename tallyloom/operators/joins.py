@@ -99,12 +99,18 @@ def distinct_pair_count(pairs: DataFrame, names: DataFrame, key: str, item: str,
     )
 
 
-def fill_grid(counts: DataFrame, key: str, axis: str, low: int, high: int,
-              measure: str) -> DataFrame:
-    """Every key with every value of a bounded whole-number axis, 0 where nothing was counted.
+def fill_grid(counts: DataFrame, key: str, axis: str, measure: str,
+              max_cells: int = 10_000) -> DataFrame:
+    """Every key with every step of a whole-number axis, 0 where nothing was counted.
 
-    The axis is generated next to each key, so no two tables are multiplied.
+    The axis reaches from its lowest to its highest value and is generated
+    next to each key, so no two tables are multiplied.
     """
+    low, high = counts.agg(F.min(axis), F.max(axis)).first()
+    if low is None:
+        return counts.select(key, axis, measure)
+    if high - low >= max_cells:
+        raise ValueError(f"the axis has more than {max_cells} steps")
     keys = counts.select(key).distinct()
     grid = keys.withColumn(axis, F.explode(F.sequence(F.lit(low), F.lit(high))))
     return grid.join(counts, [key, axis], "left").select(

@@ -306,6 +306,31 @@ def storm_states(spark: SparkSession, d: str) -> DataFrame:
     return damage_by_state(storm_events(storm_details(spark, d)))
 
 
+@query("job_city_requests", """
+with views as (select lower(event_type) || '_' || cast(user_id % 20 as varchar) as page,
+                      cast(json_extract_string(props, '$.k') as bigint) as requests
+               from events where event_id % 3 = 0),
+zips as (select ['click', 'VIEW', 'Sign'][c_custkey % 3 + 1] || ' ' || cast(c_nationkey as varchar) as city,
+                c_mktsegment as state, c_custkey as pop from customer)
+select city, state, cast(sum(pop) as bigint) as pop, cast(sum(requests) as bigint) as requests
+from views join zips on page = replace(lower(city), ' ', '_') group by 1, 2
+""")
+def city_requests(spark: SparkSession, d: str) -> DataFrame:
+    """Requests and population per city as the plain join of the details gives them."""
+    n = F.col("event_id")
+    views = read_table(spark, d, "events", "event_id", "event_type", "user_id", "props").select(
+        F.when(n % 3 == 0, "en").otherwise("de").alias("project"),
+        F.concat(F.initcap("event_type"), F.lit("_"), (F.col("user_id") % 20).cast("string")).alias("page"),
+        F.get_json_object("props", "$.k").cast("int").alias("requests"))
+    names = F.array(F.lit("click"), F.lit("VIEW"), F.lit("Sign"))
+    zips = read_table(spark, d, "customer", "c_custkey", "c_nationkey", "c_mktsegment").select(
+        F.concat(F.get(names, (F.col("c_custkey") % 3).cast("int")), F.lit(" "),
+                 F.col("c_nationkey").cast("string")).alias("city"),
+        F.col("c_mktsegment").alias("state"), F.col("c_custkey").alias("pop"))
+    sums = city_requests_and_population(views, zips, "en", per_match=True)
+    return sums.withColumns({c: F.col(c).cast("long") for c in ("pop", "requests")})
+
+
 def old_storm_records(spark: SparkSession, d: str) -> DataFrame:
     """Orders spelled as records of the older storm file."""
     n = F.col("o_orderkey")

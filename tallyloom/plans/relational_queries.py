@@ -225,7 +225,7 @@ with counted as (select c_nationkey, cast(year(o_orderdate) as integer) as year,
                  from orders join customer on o_custkey = c_custkey
                  where o_orderpriority = '1-URGENT' group by 1, 2),
 grid as (select * from (select distinct c_nationkey from counted)
-         cross join (select cast(unnest(range(1993, 2003)) as integer) as year))
+         cross join (select cast(unnest(range(min(year), max(year) + 1)) as integer) as year from counted))
 select c_nationkey, year, coalesce(n, 0) as n from grid left join counted using (c_nationkey, year)
 """)
 def grid(spark: SparkSession, d: str) -> DataFrame:
@@ -238,7 +238,7 @@ def grid(spark: SparkSession, d: str) -> DataFrame:
     counts = (
         per_customer.join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .groupBy("c_nationkey", "year").agg(F.sum("n").alias("n")))
-    return joins.fill_grid(counts, "c_nationkey", "year", 1993, 2002, "n")
+    return joins.fill_grid(counts, "c_nationkey", "year", "n")
 
 
 @query("agg_count", """

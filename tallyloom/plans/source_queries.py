@@ -99,10 +99,12 @@ def splittable(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("src_parquet_path", """
-select n_nationkey, n_name, n_regionkey from nation
+select o_orderpriority, count(*) as n from orders where o_orderstatus = 'F' group by 1
 """)
 def parquet_by_path(spark: SparkSession, d: str) -> DataFrame:
-    return files.read_path_sql(spark, f"{d}/nation.parquet")
+    orders = files.read_path_sql(spark, f"{d}/orders.parquet")
+    return orders.filter("o_orderstatus = 'F'").groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("n"))
 
 
 @query("src_json_nested", """

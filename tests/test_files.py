@@ -147,3 +147,12 @@ def test_profile(spark):
     got = {r["column_name"]: (r["type"], r["rows"], r["nulls"], r["distinct_values"], r["lowest"], r["highest"])
            for r in sinks.profile(df).collect()}
     assert got == {"n": ("int", 3, 0, 2, "1", "2"), "s": ("string", 3, 1, 2, "a", "b")}
+
+
+def test_grid_is_filled_between_its_ends(spark):
+    counts = spark.createDataFrame([("a", 1, 5), ("b", 3, 7)], "k string, t int, n int")
+    got = sorted(map(tuple, joins.fill_grid(counts, "k", "t", "n").collect()))
+    assert got == [("a", 1, 5), ("a", 2, 0), ("a", 3, 0), ("b", 1, 0), ("b", 2, 0), ("b", 3, 7)]
+    assert joins.fill_grid(counts.limit(0), "k", "t", "n").count() == 0
+    with pytest.raises(ValueError):
+        joins.fill_grid(counts, "k", "t", "n", max_cells=2)
