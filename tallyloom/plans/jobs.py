@@ -357,12 +357,12 @@ with impact as (
               else (o_orderkey % 40 + 0.25) / 1000 end as money
   from orders where o_orderkey % 3 < 2 and o_orderkey % 5 <> 3 and (o_orderkey + 1) % 5 <> 3)
 select "EVTYPE", "YEAR", cast(sum(people) as bigint) as "TOTPOPIMPACT",
-       round(cast(sum(money) as double), 4) as "TOTECOIMPACT"
+       round(cast(sum(money) as double), 6) as "TOTECOIMPACT"
 from impact group by 1, 2
 """)
 def storm_impact_totals(spark: SparkSession, d: str) -> DataFrame:
     totals = impact_totals(storm_impact(old_storm_records(spark, d)), "EVTYPE", "YEAR")
-    return totals.withColumn("TOTECOIMPACT", F.round("TOTECOIMPACT", 4))
+    return totals.withColumn("TOTECOIMPACT", F.round("TOTECOIMPACT", 6))
 
 
 def indicator_records(spark: SparkSession, d: str) -> DataFrame:

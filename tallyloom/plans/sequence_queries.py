@@ -75,7 +75,7 @@ def baseline(spark: SparkSession, d: str) -> DataFrame:
 with placed as (
   select event_id, user_id, row_number() over (partition by user_id order by ts, event_id) as position,
          count(*) over (partition by user_id) as len from events)
-select event_id, user_id, position, position <= floor(0.7 * len) as is_train from placed
+select event_id, user_id, position, position <= floor(0.7::double * len) as is_train from placed
 """)
 def by_time(spark: SparkSession, d: str) -> DataFrame:
     rows = read_table(spark, d, "events", "event_id", "user_id", "ts")
