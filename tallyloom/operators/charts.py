@@ -17,12 +17,12 @@ MAX_CELLS = 200
 
 def histogram(df: DataFrame, value: str, bins: int, keys: Sequence[str] = ()) -> DataFrame:
     """Counts in equal-width bins over the whole range; the maximum falls in the last bin."""
-    rows = df.select(*keys, F.col(value).alias("value")).filter("value is not null")
-    low = rows.select(F.min("value")).scalar()
-    high = rows.select(F.max("value")).scalar()
+    rows = df.select(*keys, F.col(value).alias("_value")).filter("_value is not null")
+    low = rows.select(F.min("_value")).scalar()
+    high = rows.select(F.max("_value")).scalar()
     width = (high - low) / F.lit(float(bins))
     cell = F.when(high == low, F.lit(0).cast("long")).otherwise(
-        F.least(F.floor((F.col("value") - low) / width), F.lit(bins - 1)))
+        F.least(F.floor((F.col("_value") - low) / width), F.lit(bins - 1)))
     return (
         rows.withColumn("bin", cell).groupBy(*keys, "bin")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -65,12 +65,12 @@ def box_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Quartiles, whiskers and the number of outliers per key, from the counted values."""
     slices = value_slices(df, keys, value)
     fences = small_side(box_fences(slices, keys))
-    inside = F.col("value").between(F.col("low_fence"), F.col("high_fence"))
+    inside = F.col("_value").between(F.col("low_fence"), F.col("high_fence"))
     return (
         join_on_keys(slices.values, fences, keys).groupBy(*keys, "q1", "median", "q3")
-        .agg(F.min(F.when(inside, F.col("value"))).alias("low_whisker"),
-             F.max(F.when(inside, F.col("value"))).alias("high_whisker"),
-             F.sum(F.when(~inside, F.col("n")).otherwise(0)).alias("outliers")))
+        .agg(F.min(F.when(inside, F.col("_value"))).alias("low_whisker"),
+             F.max(F.when(inside, F.col("_value"))).alias("high_whisker"),
+             F.sum(F.when(~inside, F.col("_n")).otherwise(0)).alias("outliers")))
 
 
 def box_outliers(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -111,7 +111,8 @@ def loess(df: DataFrame, x: str, y: str, span: float, cells: int = 20) -> DataFr
 
     Points are first summed per distinct x.  The neighbourhood of a grid point
     reaches to its k-th nearest point, k = ceil(span * points), found from
-    exact ranks of the distances; weights are tricube.
+    exact ranks of the distances; weights are tricube.  The work is one row
+    per distinct x and grid cell, so a finely measured x is best rounded first.
     """
     points = materialise(
         df.select(F.col(x).cast("double").alias("px"), F.col(y).cast("double").alias("py"))
@@ -124,7 +125,7 @@ def loess(df: DataFrame, x: str, y: str, span: float, cells: int = 20) -> DataFr
     slices = value_slices(placed.select("cell", "distance", "n"), ["cell"], "distance", "n")
     reach = values_at(slices, ["cell"], lambda total: F.array(F.struct(
         F.greatest(F.ceil(F.lit(float(span)) * total), F.lit(1)).alias("rank")))
-    ).select("cell", F.col("value").alias("reach"))
+    ).select("cell", F.col("_value").alias("reach"))
     # one row per grid cell, so the broadcast is bounded by MAX_CELLS
     near = placed.join(F.broadcast(reach), "cell").filter(F.col("distance") <= F.col("reach"))
     weight = F.when(F.col("reach") == 0, F.lit(1.0)).otherwise(

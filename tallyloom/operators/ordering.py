@@ -74,8 +74,8 @@ def _slice_starts(sliced: DataFrame) -> DataFrame:
 class Slices(NamedTuple):
     """Counted distinct values of a column per key, range-partitioned into slices."""
 
-    values: DataFrame  # keys, value, n, _slice
-    extents: DataFrame  # keys, _slice, before, amount, total
+    values: DataFrame  # keys, _value, _n, _slice
+    extents: DataFrame  # keys, _slice, _before, _amount, _total
 
 
 def value_slices(df: DataFrame, keys: Sequence[str], value: str,
@@ -87,46 +87,46 @@ def value_slices(df: DataFrame, keys: Sequence[str], value: str,
     """
     amount = F.sum(weight) if weight else F.count(F.lit(1))
     counts = (
-        df.withColumn("value", F.col(value)).filter("value is not null")
-        .groupBy(*keys, "value").agg(amount.alias("n")))
+        df.withColumn("_value", F.col(value)).filter("_value is not null")
+        .groupBy(*keys, "_value").agg(amount.alias("_n")))
     values = materialise(
-        counts.repartitionByRange(*keys, "value").withColumn("_slice", F.spark_partition_id()),
+        counts.repartitionByRange(*keys, "_value").withColumn("_slice", F.spark_partition_id()),
         "values")
-    sizes = values.groupBy(*keys, "_slice").agg(F.sum("n").alias("amount"))
+    sizes = values.groupBy(*keys, "_slice").agg(F.sum("_n").alias("_amount"))
     # one row per slice and key, so the window of a key is as long as the number of slices
     key = W.partitionBy(*(keys or [F.lit(0)]))
     earlier = key.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     extents = sizes.select(
-        "*", F.coalesce(F.sum("amount").over(earlier), F.lit(0)).alias("before"),
-        F.sum("amount").over(key).alias("total"))
+        "*", F.coalesce(F.sum("_amount").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_amount").over(key).alias("_total"))
     return Slices(values, extents)
 
 
 def values_at(slices: Slices, keys: Sequence[str],
               ranks: Callable[[Column], Column]) -> DataFrame:
-    """The values at wanted ranks: (keys, ``total``, ``wanted``, ``value``).
+    """The values at wanted ranks: (keys, ``_total``, ``_wanted``, ``_value``).
 
     ``ranks`` turns a key's total into an array of structs with a ``rank``
-    field, counted from 1; each comes back as ``wanted``.  Only the slices
+    field, counted from 1; each comes back as ``_wanted``.  Only the slices
     that hold a wanted rank are read and ordered.
     """
-    rank = F.col("wanted.rank")
+    rank = F.col("_wanted.rank")
     holding = (
-        slices.extents.withColumn("wanted", F.explode(ranks(F.col("total"))))
-        .filter((rank > F.col("before")) & (rank <= F.col("before") + F.col("amount")))
-        .groupBy(*keys, "_slice", "before", "total")
-        .agg(F.collect_list("wanted").alias("wanted")))
+        slices.extents.withColumn("_wanted", F.explode(ranks(F.col("_total"))))
+        .filter((rank > F.col("_before")) & (rank <= F.col("_before") + F.col("_amount")))
+        .groupBy(*keys, "_slice", "_before", "_total")
+        .agg(F.collect_list("_wanted").alias("_wanted")))
     values, few = slices.values, bounded_rows(holding, MAX_WANTED)
     if few is not None:
         numbers = sorted(set(few.column("_slice").to_pylist()))
         values = values.filter(F.col("_slice").isin(numbers))
         holding = F.broadcast(values.sparkSession.createDataFrame(few, holding.schema))
-    inside = W.partitionBy(*keys, "_slice").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
+    inside = W.partitionBy(*keys, "_slice").orderBy("_value").rowsBetween(W.unboundedPreceding, 0)
     reached = join_on_keys(values, holding, [*keys, "_slice"]).withColumn(
-        "last", F.col("before") + F.sum("n").over(inside))
-    hit = F.filter("wanted", lambda w: (w["rank"] <= F.col("last"))
-                   & (w["rank"] > F.col("last") - F.col("n")))
-    return reached.select(*keys, "total", "value", F.explode(hit).alias("wanted"))
+        "_last", F.col("_before") + F.sum("_n").over(inside))
+    hit = F.filter("_wanted", lambda w: (w["rank"] <= F.col("_last"))
+                   & (w["rank"] > F.col("_last") - F.col("_n")))
+    return reached.select(*keys, "_total", "_value", F.explode(hit).alias("_wanted"))
 
 
 def quantiles_of(slices: Slices, keys: Sequence[str],
@@ -139,13 +139,13 @@ def quantiles_of(slices: Slices, keys: Sequence[str],
             for p in probabilities for side, side_of in (("low", F.floor), ("high", F.ceil))])
 
     def side(name: str) -> Column:
-        return F.max(F.when(F.col("wanted.side") == name, F.col("value").cast("double")))
+        return F.max(F.when(F.col("_wanted.side") == name, F.col("_value").cast("double")))
 
-    at = F.col("p") * (F.col("total") - 1)
+    at = F.col("p") * (F.col("_total") - 1)
     return (
-        values_at(slices, keys, ranks).groupBy(*keys, "total", F.col("wanted.p").alias("p"))
-        .agg(side("low").alias("low"), side("high").alias("high"))
-        .select(*keys, "p", (F.col("low") + (F.col("high") - F.col("low")) * (at - F.floor(at)))
+        values_at(slices, keys, ranks).groupBy(*keys, "_total", F.col("_wanted.p").alias("p"))
+        .agg(side("low").alias("_low"), side("high").alias("_high"))
+        .select(*keys, "p", (F.col("_low") + (F.col("_high") - F.col("_low")) * (at - F.floor(at)))
                 .alias("quantile")))
 
 
@@ -163,5 +163,5 @@ def discrete_quantiles(df: DataFrame, value: str, probabilities: Sequence[float]
             for i, p in enumerate(probabilities)])
 
     rows = values_at(value_slices(df, [], value), [], ranks).select(
-        "wanted.i", F.col("value").cast("double").alias("value")).orderBy("i").collect()
+        "_wanted.i", F.col("_value").cast("double").alias("value")).orderBy("i").collect()
     return [row["value"] for row in rows]

@@ -55,6 +55,14 @@ def test_quantiles_like_numpy(skewed):
         assert row["quantile"] == pytest.approx(np.quantile(frame[frame.g == row["g"]].x, row["p"]))
 
 
+def test_names_of_keys_do_not_matter(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 5.0)], "n string, value double")
+    assert {r["n"]: r["quantile"] for r in quantiles(df, ["n"], "value", [0.5]).collect()} == {"a": 2.0, "b": 5.0}
+    swapped = df.select(F.col("n").alias("value"), F.col("value").alias("n"))
+    assert {r["value"]: r["q1"] for r in charts.box_stats(swapped, ["value"], "n").collect()} == {"a": 1.5, "b": 5.0}
+    assert charts.histogram(swapped, "n", 2, ["value"]).count() == 3
+
+
 def test_quantiles_without_the_shortcut_and_with_null_keys(spark, skewed, monkeypatch):
     monkeypatch.setattr(ordering, "MAX_WANTED", 0)
     df = skewed.withColumn("g", F.when(F.col("g") != 0, F.col("g")))
