@@ -136,8 +136,8 @@ def char_windows(df: DataFrame, text: str, length: int, stride: int) -> DataFram
         F.posexplode(F.regexp_extract_all(text, ahead, F.lit(1))).alias("_n", "_window"))
     return windows.select(
         *others, (F.col("_offset") + F.col("_n") * stride).alias("start"),
-        F.left("_window", F.lit(length)).alias("prefix"),
-        F.right("_window", F.lit(1)).alias("next_char"))
+        F.substring("_window", 1, length).alias("prefix"),
+        F.substring("_window", length + 1, 1).alias("next_char"))
 
 
 def characters(df: DataFrame, text: str) -> DataFrame:

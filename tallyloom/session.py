@@ -20,6 +20,13 @@ SETTINGS = {
 }
 
 
+# For clusters that keep large stream state: state on disk instead of in the heap.
+STREAM_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
 def local_session(cores: int | str = 8, app: str = "tallyloom", **extra: str) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")

@@ -35,7 +35,17 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/tallyloom/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tallyloom/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch tables, once no result that reads them is needed."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def scratch_name(name: str) -> str:
