@@ -23,8 +23,10 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_MODEL_CELLS = 1_000_000
+MAX_LITERAL_CELLS = 10_000
 
 
 def ols(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -51,12 +53,19 @@ def _indexers(columns: Sequence[str]) -> list[StringIndexer]:
     return [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in columns]
 
 
-def boosted_regression(categories: Sequence[str], numbers: Sequence[str], label: str,
-                       iterations: int = 20, seed: int = 1) -> Pipeline:
+def _tree_bins(rows: DataFrame, categories: Sequence[str]) -> int:
+    """Bins enough for every category, one more for unseen ones, and not below the usual 32."""
+    counts = rows.agg(*[F.count_distinct(c) for c in categories]).first()
+    return max(32, *[n + 1 for n in counts])
+
+
+def boosted_regression(rows: DataFrame, categories: Sequence[str], numbers: Sequence[str],
+                       label: str, iterations: int = 20, seed: int = 1) -> Pipeline:
     features = [f"{c}_idx" for c in categories] + list(numbers)
     return Pipeline(stages=[
         *_indexers(categories), VectorAssembler(inputCols=features, outputCol="features"),
-        GBTRegressor(featuresCol="features", labelCol=label, maxIter=iterations, seed=seed)])
+        GBTRegressor(featuresCol="features", labelCol=label, maxIter=iterations, seed=seed,
+                     maxBins=_tree_bins(rows, categories))])
 
 
 def boosted_classifier(rows: DataFrame, label: str, binned: str, categories: Sequence[str],
@@ -68,7 +77,8 @@ def boosted_classifier(rows: DataFrame, label: str, binned: str, categories: Seq
     return Pipeline(stages=[
         labels, bins, *_indexers(categories),
         VectorAssembler(inputCols=features, outputCol="features"),
-        GBTClassifier(featuresCol="features", labelCol="label_idx", maxIter=iterations, seed=seed),
+        GBTClassifier(featuresCol="features", labelCol="label_idx", maxIter=iterations, seed=seed,
+                      maxBins=_tree_bins(rows, categories)),
         IndexToString(inputCol="prediction", outputCol="predicted_label", labels=labels.labels)])
 
 
@@ -147,7 +157,14 @@ def weight_vectors(weights: DataFrame, label: str) -> dict:
 
 
 def top_classes(df: DataFrame, array: str, model: dict, k: int) -> DataFrame:
-    """The ``k`` best classes of a linear model per row, best first, without Python workers."""
+    """The ``k`` best classes of a linear model per row, best first, lower label on ties.
+
+    Small models become column expressions; larger ones go through
+    ``score_batches``, as an expression holds every weight as a literal.
+    """
+    if sum(len(w) for w in model.values()) > MAX_LITERAL_CELLS:
+        return score_batches(df, array, model, k)
+
     def score(weights: Sequence[float]) -> Column:
         products = F.zip_with(F.col(array), F.array(*[F.lit(w) for w in weights]),
                               lambda a, b: a.cast("double") * b)
@@ -160,21 +177,21 @@ def top_classes(df: DataFrame, array: str, model: dict, k: int) -> DataFrame:
         e["label"].alias("label"), (-e["cost"]).alias("score"))))
 
 
-def score_batches(df: DataFrame, key: str, array: str, model: dict) -> DataFrame:
-    """Bulk scoring: the model reaches each Python worker once, batches come through Arrow."""
+def score_batches(df: DataFrame, array: str, model: dict, k: int = 1) -> DataFrame:
+    """``top_classes`` in Arrow batches; the model reaches each Python worker once."""
+    labels = sorted(model)
     shared = df.sparkSession.sparkContext.broadcast(
-        (np.array(list(model)), np.array(list(model.values()), dtype="float64")))
+        (labels, np.array([model[c] for c in labels], dtype="float64")))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         classes, weights = shared.value
         for batch in batches:
-            if not len(batch):
-                continue
-            scores = np.stack(batch[array].to_numpy()).astype("float64") @ weights.T
-            best = scores.argmax(axis=1)
-            yield pd.DataFrame({key: batch[key], "best_class": classes[best],
-                                "score": scores[np.arange(len(best)), best]})
-
-    kinds = dict(df.dtypes)
-    return df.select(key, array).mapInPandas(
-        run, f"{key} {kinds[key]}, best_class int, score double")
+            if len(batch):
+                scores = np.stack(batch[array].to_numpy()).astype("float64") @ weights.T
+                best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+                yield batch.assign(top=[
+                    [{"label": classes[c], "score": row[c]} for c in places]
+                    for row, places in zip(scores, best)])
+
+    top = T.ArrayType(T.StructType().add("label", "integer").add("score", "double"))
+    return df.mapInPandas(run, T.StructType([*df.schema.fields, T.StructField("top", top)]))

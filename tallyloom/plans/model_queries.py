@@ -184,7 +184,7 @@ def gbt_regress(spark: SparkSession, d: str) -> DataFrame:
                        "l_quantity", "l_discount", "l_tax", "l_extendedprice")
     train = hash_bucket("l_orderkey") < 70
     model = models.boosted_regression(
-        ["l_returnflag", "l_linestatus"], ["l_quantity", "l_discount", "l_tax"],
+        lines, ["l_returnflag", "l_linestatus"], ["l_quantity", "l_discount", "l_tax"],
         "l_extendedprice", iterations=5).fit(lines.filter(train))
     scored = model.transform(lines.filter(~train))
     error = RegressionEvaluator(labelCol="l_extendedprice", metricName="rmse").evaluate(scored)
@@ -303,8 +303,9 @@ select vec_id, label as best_class, round(score, 6) as score from ranked where n
 def batch_inference(spark: SparkSession, d: str) -> DataFrame:
     rows = read_table(spark, d, "embeddings", "vec_id", "embedding", "label")
     model = models.weight_vectors(models.centroids(rows, "embedding", "label"), "label")
-    scored = models.score_batches(rows, "vec_id", "embedding", model)
-    return scored.withColumn("score", F.round("score", 6))
+    best = models.score_batches(rows.select("vec_id", "embedding"), "embedding", model)
+    return best.select("vec_id", F.col("top")[0]["label"].alias("best_class"),
+                       F.round(F.col("top")[0]["score"], 6).alias("score"))
 
 
 FACTORS = ("c_mktsegment", "c_nationkey", "o_orderpriority")

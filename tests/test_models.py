@@ -42,13 +42,22 @@ def test_svm_keeps_an_unseen_category(spark):
     assert scored.filter("c <> 'new' and prediction <> label_idx").count() == 0
 
 
-def test_top_classes_and_batches_agree(spark):
+def test_top_classes_and_batches_agree(spark, monkeypatch):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [0.7, 0.6])], "id int, v array<float>")
     model = {0: [1.0, 0.0], 1: [0.0, 1.0], 2: [0.5, 0.5]}
     top = {r["id"]: [t["label"] for t in r["top"]] for r in models.top_classes(df, "v", model, 2).collect()}
     assert top == {1: [0, 2], 2: [1, 2], 3: [0, 2]}
-    best = {r["id"]: r["best_class"] for r in models.score_batches(df, "id", "v", model).collect()}
-    assert best == {1: 0, 2: 1, 3: 0}
+    batches = {r["id"]: [t["label"] for t in r["top"]] for r in models.score_batches(df, "v", model, 2).collect()}
+    assert batches == top
+    monkeypatch.setattr(models, "MAX_LITERAL_CELLS", 1)
+    large = {r["id"]: [t["label"] for t in r["top"]] for r in models.top_classes(df, "v", model, 2).collect()}
+    assert large == top
+
+
+def test_trees_take_many_categories(spark):
+    df = spark.range(400).select((F.col("id") % 50).cast("string").alias("c"), (F.col("id") % 50 * 1.0).alias("y"))
+    pipeline = models.boosted_regression(df, ["c"], [], "y", iterations=2)
+    assert pipeline.fit(df).transform(df).count() == 400
 
 
 def test_ols_against_numpy(spark):
