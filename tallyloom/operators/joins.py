@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.workspace import small_side
+
 
 def inner_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
                keep: Sequence[str]) -> DataFrame:
@@ -68,10 +70,15 @@ def aggregated_sums(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def join_aggregate_back(df: DataFrame, group: Sequence[str], on: Sequence[str],
                         averages: dict[str, Column], keep: Sequence[str]) -> DataFrame:
-    """Group averages joined to the detail rows on some of the group's columns."""
+    """Group averages joined to the detail rows on some of the group's columns.
+
+    The result has a row for each detail row and each group it shares the
+    joined columns with, as the job asks for.  The averages are broadcast when
+    they have been counted to be few, so the details are not shuffled.
+    """
     means = df.groupBy(*group).agg(*[c.alias(name) for name, c in averages.items()])
-    details = df.select(*on, *keep)
-    return means.select(*on, *averages).join(details, list(on)).select(*averages, *keep)
+    few = small_side(means.select(*on, *averages))
+    return df.select(*on, *keep).join(few, list(on)).select(*averages, *keep)
 
 
 def run_name(job: Column | str, run: Column | str) -> Column:

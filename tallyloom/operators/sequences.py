@@ -140,14 +140,10 @@ def char_windows(df: DataFrame, text: str, length: int, stride: int) -> DataFram
         F.substring("_window", length + 1, 1).alias("next_char"))
 
 
-def characters(df: DataFrame, text: str) -> DataFrame:
-    return df.select(F.explode(F.split(F.col(text), "")).alias("character")).filter(
-        F.col("character") != "")
-
-
 def vocabulary(df: DataFrame, text: str) -> DataFrame:
     """Distinct characters with dense codes in sorted order and the scaled code."""
-    distinct = characters(df, text).distinct()
+    letters = df.select(F.explode(F.split(F.col(text), "")).alias("character"))
+    distinct = letters.filter(F.col("character") != "").distinct()
     coded = with_position(distinct, [], ["character"], "_rank", total="_size")
     return coded.select("character", (F.col("_rank") - 1).alias("code"),
                         ((F.col("_rank") - 1) / F.col("_size")).alias("scaled"))
