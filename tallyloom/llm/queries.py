@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tallyloom.llm import ann, mixing, packing, sharding, token_cache, topk_join
+from tallyloom.llm import ann, jaccard_join, mixing, packing, quality, sharding, token_cache, topk_join, toxicity
 from tallyloom.llm.registry import QUERIES, STATEMENTS, query, table  # noqa: F401
 
 _OP1 = """
@@ -72,3 +72,35 @@ def op8_nearest(spark, sf_dir):
 def op9_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"),
                                   public_tokenizers.path("word_bpe_49k.json"))
+
+
+_OP5 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS met FROM s x JOIN s y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * met >= 90 * (x.n + y.n - met)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id FROM documents d LEFT JOIN n USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) c USING (doc_id)
+"""
+
+
+@query("op5_jaccard_join", _OP5)
+def op5_jaccard_join(spark, sf_dir):
+    return jaccard_join.with_component(table(spark, sf_dir, "documents", "doc_id", "text"), 3, 90)
+
+
+@query("op6_quality")
+def op6_quality(spark, sf_dir):
+    return quality.score_documents(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                   table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark, sf_dir):
+    return toxicity.grade_documents(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                    table(spark, sf_dir, "labels", "doc_id", "toxic"))
