@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tallyloom.llm import ann, jaccard_join, mixing, packing, quality, sharding, token_cache, topk_join, toxicity
+from tallyloom.llm import ann, jaccard_join, lm_scoring, mixing, packing, quality, sharding, token_cache, topk_join, toxicity
 from tallyloom.llm.registry import QUERIES, STATEMENTS, query, table  # noqa: F401
 
 _OP1 = """
@@ -104,3 +104,8 @@ def op6_quality(spark, sf_dir):
 def op7_toxicity(spark, sf_dir):
     return toxicity.grade_documents(table(spark, sf_dir, "documents", "doc_id", "text"),
                                     table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
+@query("op10_lm_score")
+def op10_lm_score(spark, sf_dir):
+    return lm_scoring.score_texts(table(spark, sf_dir, "documents", "doc_id", "text"))
