@@ -40,6 +40,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyloom.llm.components import components
+from tallyloom.llm.mixing import WORD
 from tallyloom.llm.words import hash_words, raw_bytes, shingles, split_texts
 from tallyloom.workspace import materialise, scratch_name, scratch_path
 
@@ -230,16 +231,16 @@ def with_component(docs: DataFrame, words: int = 5, percent: int = 80, text: str
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The documents of ``docs`` that are the first of their component, once each, columns as they were.
 
-    Rows without words are all kept, equal rows among them included.
+    Rows without words and rows without an id are all kept, equal ones included.
     """
     found = with_component(docs, words, percent)
-    kept = found.where("n_shingles = 0 or doc_id = component_id").select("doc_id").distinct()
-    chosen = docs.join(kept, "doc_id", "left_semi")
-    # one id may be on several rows: of those the first by content stays
-    twice = found.where("n_shingles > 0").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    if twice.isEmpty():
-        return chosen
-    many = chosen.join(twice, "doc_id", "left_semi")
-    order = [F.xxhash64(*docs.columns)]
-    one = many.withColumn("_at", F.row_number().over(W.partitionBy("doc_id").orderBy(*order))).where("_at = 1").drop("_at")
-    return chosen.join(twice, "doc_id", "left_anti").unionByName(one)
+    first = found.where("n_shingles > 0 and doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
+    rows = docs.select(F.struct(*docs.columns).alias("_doc"), F.col("doc_id").alias("_id"))
+    wordless = F.coalesce(F.regexp_count("_doc.text", F.lit(WORD)), F.lit(0)) == 0
+    kept = rows.join(first.withColumnRenamed("doc_id", "_id"), "_id").where(~wordless)
+    # an id on several rows: equal sets or not, one row of them stays, the first by content
+    once = kept.where("_n = 1").select("_doc")
+    order = W.partitionBy("_id").orderBy(F.xxhash64("_doc"))
+    several = kept.where("_n > 1").withColumn("_at", F.row_number().over(order)).where("_at = 1").select("_doc")
+    empty = rows.where(wordless | F.col("_id").isNull()).select("_doc")
+    return once.union(several).union(empty).select("_doc.*")

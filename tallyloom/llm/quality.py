@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tallyloom.llm.labelled import SAMPLE, remainder, sample_features
 from tallyloom.llm.words import located_words, mix, raw_bytes
@@ -148,14 +149,14 @@ def with_score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     """``docs`` with a double column ``name``; a column of that name is replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = [c for c in docs.columns if c != name]
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
+    schema = StructType([*docs.select(*kept).schema.fields, StructField(name, DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             scores = [shared.value.score(g) for g in ngrams(b.column("text"))]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64())], [*b.schema.names, name])
 
-    return docs.select(*kept).mapInArrow(run, f"{schema}, `{name}` double")
+    return docs.select(*kept).mapInArrow(run, schema)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -167,4 +168,7 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = KEEP) -> DataFrame:
     """The rows of ``docs`` that score at least ``least``, columns as they were."""
-    return with_score(docs, train(docs, labels), "_quality").where(F.col("_quality") >= least).drop("_quality")
+    name = "_quality"
+    while name in docs.columns:
+        name += "_"
+    return with_score(docs, train(docs, labels), name).where(F.col(name) >= least).drop(name)

@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tallyloom.llm.labelled import SAMPLE, remainder, sample_features
 from tallyloom.llm.words import _SPACE, located_words, mix, raw_bytes
@@ -176,14 +177,14 @@ def with_severity(docs: DataFrame, model: Model, name: str = "severity") -> Data
     """``docs`` with a double column ``name`` from 0 to 3; a column of that name is replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = [c for c in docs.columns if c != name]
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
+    schema = StructType([*docs.select(*kept).schema.fields, StructField(name, DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [shared.value.severity(f) for f in features(b.column("text"))]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.float64())], [*b.schema.names, name])
 
-    return docs.select(*kept).mapInArrow(run, f"{schema}, `{name}` double")
+    return docs.select(*kept).mapInArrow(run, schema)
 
 
 def grade_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -195,4 +196,7 @@ def grade_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, labels: DataFrame, below: float = LIMIT) -> DataFrame:
     """The rows of ``docs`` whose expected severity is under ``below``, columns as they were."""
-    return with_severity(docs, train(docs, labels), "_severity").where(F.col("_severity") < below).drop("_severity")
+    name = "_severity"
+    while name in docs.columns:
+        name += "_"
+    return with_severity(docs, train(docs, labels), name).where(F.col(name) < below).drop(name)
