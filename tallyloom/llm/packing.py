@@ -8,7 +8,8 @@ weigh more, finds the most valuable configurations by a knapsack dynamic
 program, and uses them for a share of the demand.  Multiplicities are rounded
 down to whole sequences, and what is left goes best fit decreasing, a whole
 batch of equal sequences at a time, so the work depends on the number of
-lengths and not on the number of documents.  Pieces then find their sequence
+lengths and not on the number of documents.  Where keeping the whole fractional
+packing leaves pieces that fit each other badly, the rounding keeps less of it.  Pieces then find their sequence
 by length and rank among the pieces of that length.
 
 Defined results: a null text is an empty one, whose only token is the end;
@@ -35,9 +36,11 @@ from tallyloom.workspace import materialise
 CAPACITY = 2048
 END = 0
 ROUNDS = 160  # pricing rounds
-PER_ROUND = 8  # configurations taken from one dynamic program
+PER_ROUND = 32  # configurations taken from one dynamic program
 STEP = 0.5  # share of what a configuration could serve that one use takes
 RATE = 6.0  # how strongly a lag in service raises a price
+PARTS = (1.0, 0.5, 0.0)  # shares of the fractional packing that the rounding may keep
+SPARE = 2e-4  # it keeps the largest share that needs at most this much more than the least
 
 
 class Pattern(NamedTuple):
@@ -132,13 +135,18 @@ def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY) -> list[
         return []
     lengths = np.array(sorted(histogram))
     demand = np.array([histogram[int(n)] for n in lengths], dtype=np.int64)
-    out, left = [], demand.copy()
-    for config, amount in fractional(lengths, demand.astype(float), capacity).items():
-        times = int(amount)
-        if times:
-            np.subtract.at(left, list(config), times)
-            out.append(Pattern(tuple(int(lengths[i]) for i in config), times))
-    return out + best_fit(lengths, left, capacity)
+    uses = fractional(lengths, demand.astype(float), capacity)
+    plans = []
+    for part in PARTS:
+        out, left = [], demand.copy()
+        for config, amount in uses.items():
+            times = int(amount * part)
+            if times:
+                np.subtract.at(left, list(config), times)
+                out.append(Pattern(tuple(int(lengths[i]) for i in config), times))
+        plans.append(out + best_fit(lengths, left, capacity))
+    needed = [sum(p.times for p in plan) for plan in plans]
+    return next(plan for plan, n in zip(plans, needed) if n <= min(needed) * (1 + SPARE) + 1)
 
 
 class Places:
