@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 # How many thousands one unit of each money suffix is worth.
 THOUSANDS = {"K": 1.0, "M": 1_000.0, "B": 1_000_000.0}
 
-# How many millions one unit of each magnitude letter is worth.
-PROPERTY_MILLIONS = {"K": 0.001, "M": 1.0, "B": 1_000.0}
-
-
 def _column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

@@ -31,6 +31,35 @@ def summary(df: DataFrame, location: str, measure: Column) -> DataFrame:
         *[f(measure).alias(f"{how}_value") for how, f in CELL_AGGREGATES.items()])
 
 
+def partial_cells(df: DataFrame, keys: Sequence[str], measure: Column, added: Column) -> DataFrame:
+    """Sum, count, least and greatest per cell, in a form that ``merged_cells`` can put together.
+
+    ``added`` is what goes into the sum, an exact type where the order of
+    adding must not matter.
+    """
+    return df.groupBy(*keys).agg(
+        F.sum(added).alias("sum_value"), F.count(measure).alias("count_value"),
+        F.min(measure).alias("min_value"), F.max(measure).alias("max_value"))
+
+
+def merged_cells(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Cells of ``partial_cells`` added up per ``keys``, with ``avg_value``."""
+    return cells.groupBy(*keys).agg(
+        F.sum("sum_value").alias("sum_value"), F.sum("count_value").alias("count_value"),
+        F.min("min_value").alias("min_value"), F.max("max_value").alias("max_value")).withColumn(
+        "avg_value", F.try_divide(F.col("sum_value").cast("double"), F.col("count_value")))
+
+
+def pivot_cells(cells: DataFrame, key: str, series: str, values: Sequence, how: str) -> DataFrame:
+    """One row per key and one column per listed series value; a value not listed is an error.
+
+    ``how`` is sum, avg, min, max or count.
+    """
+    known = cells.withColumn(series, F.when(F.col(series).isin(list(values)) | F.col(series).isNull(), F.col(series))
+                             .otherwise(F.raise_error(F.concat(F.lit("not in the pivot: "), F.col(series).cast("string")))))
+    return merged_cells(known, [key, series]).groupBy(key).pivot(series, list(values)).agg(F.first(f"{how}_value"))
+
+
 def group_counts(df: DataFrame, *by: str, name: str = "n") -> DataFrame:
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias(name)).orderBy(F.desc(name), *by)
 

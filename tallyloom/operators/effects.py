@@ -68,7 +68,7 @@ def backfitted(cell_df: DataFrame, factors: Sequence[str], shrinkage: float,
                 "level", F.col("effect").alias(f"_{factor}"))
             current = current.drop(f"_{factor}").join(
                 F.broadcast(update) if few[factor] else update,
-                F.col(factor).cast("string") == F.col("level")).drop("level")
+                F.col(factor).cast("string").eqNullSafe(F.col("level"))).drop("level")
         current = materialise(current, f"backfit_{step}")
     return _stacked([
         current.groupBy(F.col(f).cast("string").alias("level"))

@@ -42,11 +42,11 @@ def with_category_index(df: DataFrame, column: str, name: str) -> DataFrame:
 
 
 def category_codes(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Rows with the dense code of their category in sorted order, from 0."""
+    """Rows with the dense code of their category in sorted order, from 0; -1 for a null category."""
     distinct = df.select(column).filter(F.col(column).isNotNull()).distinct()
     codes = with_position(distinct, [], [column], "_place").select(
         column, (F.col("_place") - 1).alias(name))
-    return df.join(small_side(codes), column)
+    return df.join(small_side(codes), column, "left").withColumn(name, F.coalesce(name, F.lit(-1).cast("long")))
 
 
 def tokens(text: Column | str) -> Column:

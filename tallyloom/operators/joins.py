@@ -106,19 +106,20 @@ def distinct_pair_count(pairs: DataFrame, names: DataFrame, key: str, item: str,
     )
 
 
-def fill_grid(counts: DataFrame, key: str, axis: str, measure: str,
-              max_cells: int = 10_000) -> DataFrame:
+def fill_grid(counts: DataFrame, key: str, axis: str, measure: str, run: int = 10_000) -> DataFrame:
     """Every key with every step of a whole-number axis, 0 where nothing was counted.
 
     The axis reaches from its lowest to its highest value and is generated
-    next to each key, so no two tables are multiplied.
+    next to each key, ``run`` steps at a time, so no two tables are multiplied
+    and no cell holds a long axis.
     """
     low, high = counts.agg(F.min(axis), F.max(axis)).first()
     if low is None:
         return counts.select(key, axis, measure)
-    if high - low >= max_cells:
-        raise ValueError(f"the axis has more than {max_cells} steps")
-    keys = counts.select(key).distinct()
-    grid = keys.withColumn(axis, F.explode(F.sequence(F.lit(low), F.lit(high))))
+    kind = counts.schema[axis].dataType
+    begins = counts.select(key).distinct().withColumn(
+        "_begin", F.explode(F.sequence(F.lit(low).cast("long"), F.lit(high).cast("long"), F.lit(run).cast("long"))))
+    end = F.least(F.col("_begin") + (run - 1), F.lit(high).cast("long"))
+    grid = begins.select(key, F.explode(F.sequence("_begin", end)).alias(axis)).withColumn(axis, F.col(axis).cast(kind))
     return grid.join(counts, [key, axis], "left").select(
         key, axis, F.coalesce(measure, F.lit(0)).alias(measure))

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
     HashingTF,
     IndexToString,
@@ -20,13 +21,14 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-MAX_MODEL_CELLS = 1_000_000
-MAX_LITERAL_CELLS = 10_000
+BLOCK_CELLS = 1_000_000
 
 
 def ols(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -100,20 +102,22 @@ def formula_svm(label: str, terms: str, reg: float = 0.01, iterations: int = 10)
 
 
 def text_pipeline(text: str, label: str, features: int = 1000, iterations: int = 20) -> Pipeline:
+    """Words, hashed counts and an indexed label of any number of classes into logistic regression."""
     return Pipeline(stages=[
+        StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc"),
         Tokenizer(inputCol=text, outputCol="words"),
         HashingTF(inputCol="words", outputCol="features", numFeatures=features),
-        logistic(label, maxIter=iterations)])
+        logistic("label_idx", maxIter=iterations)])
 
 
-def cross_validated(rows: DataFrame, pipeline: Pipeline, label: str, feature_counts: Sequence[int],
+def cross_validated(rows: DataFrame, pipeline: Pipeline, feature_counts: Sequence[int],
                     fold: str, folds: int) -> CrossValidatorModel:
-    """Grid search over the number of hashed features, on folds given as a column."""
+    """Grid search over the number of hashed features by accuracy, on folds given as a column."""
     hashing = next(s for s in pipeline.getStages() if isinstance(s, HashingTF))
     grid = ParamGridBuilder().addGrid(hashing.numFeatures, list(feature_counts)).build()
     return CrossValidator(
         estimator=pipeline, estimatorParamMaps=grid,
-        evaluator=BinaryClassificationEvaluator(labelCol=label),
+        evaluator=MulticlassClassificationEvaluator(labelCol="label_idx", metricName="accuracy"),
         numFolds=folds, foldCol=fold, parallelism=2).fit(rows)
 
 
@@ -139,59 +143,77 @@ def worst_rows(scored: DataFrame, predicted: str, label: str, tie: str, n: int =
 
 
 def centroids(df: DataFrame, array: str, label: str) -> DataFrame:
-    """Mean vector per label as rows (label, place, weight)."""
-    return (
-        df.select(label, F.posexplode(array).alias("place", "x"))
-        .groupBy(label, "place").agg(F.avg(F.col("x").cast("double")).alias("weight")))
-
-
-def weight_vectors(weights: DataFrame, label: str) -> dict:
-    """A linear model on the driver; refused beyond ``MAX_MODEL_CELLS`` numbers."""
-    rows = weights.orderBy(label, "place").limit(MAX_MODEL_CELLS + 1).collect()
-    if len(rows) > MAX_MODEL_CELLS:
-        raise ValueError("the model is too large to send to every task")
-    model: dict = {}
-    for row in rows:
-        model.setdefault(row[label], []).append(row["weight"])
-    return model
-
-
-def top_classes(df: DataFrame, array: str, model: dict, k: int) -> DataFrame:
-    """The ``k`` best classes of a linear model per row, best first, lower label on ties.
-
-    Small models become column expressions; larger ones go through
-    ``score_batches``, as an expression holds every weight as a literal.
-    """
-    if sum(len(w) for w in model.values()) > MAX_LITERAL_CELLS:
-        return score_batches(df, array, model, k)
-
-    def score(weights: Sequence[float]) -> Column:
-        products = F.zip_with(F.col(array), F.array(*[F.lit(w) for w in weights]),
-                              lambda a, b: a.cast("double") * b)
-        return F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
-
-    entries = F.array(*[
-        F.struct((-score(w)).alias("cost"), F.lit(c).alias("label")) for c, w in model.items()])
-    best = F.slice(F.array_sort(entries), 1, k)
-    return df.withColumn("top", F.transform(best, lambda e: F.struct(
-        e["label"].alias("label"), (-e["cost"]).alias("score"))))
-
-
-def score_batches(df: DataFrame, array: str, model: dict, k: int = 1) -> DataFrame:
-    """``top_classes`` in Arrow batches; the model reaches each Python worker once."""
-    labels = sorted(model)
-    shared = df.sparkSession.sparkContext.broadcast(
-        (labels, np.array([model[c] for c in labels], dtype="float64")))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        classes, weights = shared.value
+    """Mean vector per label as rows (label, weights); vectors with a null in them take no part."""
+    whole = df.filter(F.col(array).isNotNull() & F.forall(array, lambda x: x.isNotNull()))
+    return vector_features(whole, array).groupBy(label).agg(
+        vector_to_array(Summarizer.mean(F.col("features"))).alias("weights"))
+
+
+def _class_blocks(weights: DataFrame, label: str) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """The classes in label order, as many at a time as have ``BLOCK_CELLS`` weights."""
+    kind = to_arrow_type(weights.schema[label].dataType)
+    names, rows = [], []
+    for row in weights.select(label, "weights").orderBy(label).toLocalIterator():
+        names.append(row[label])
+        rows.append(row["weights"])
+        if sum(map(len, rows[-1:])) * len(rows) >= BLOCK_CELLS:
+            yield pa.array(names, kind), np.array(rows, dtype="float64")
+            names, rows = [], []
+    if names:
+        yield pa.array(names, kind), np.array(rows, dtype="float64")
+
+
+def _usable_rows(vectors: pa.Array, width: int) -> np.ndarray:
+    """Places of the vectors that have ``width`` numbers and no null."""
+    sizes = np.asarray(pc.fill_null(pc.list_value_length(vectors), -1))
+    right = np.flatnonzero(sizes == width)
+    holes = np.asarray(pc.is_null(pc.list_flatten(vectors.take(pa.array(right)))))
+    return right[~holes.reshape(len(right), width).any(axis=1)]
+
+
+def _score_block(array: str, k: int, shared):
+    """Merge the best classes of one block into the best found so far."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labels, weights = shared.value
         for batch in batches:
-            if len(batch):
-                scores = np.stack(batch[array].to_numpy()).astype("float64") @ weights.T
-                best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-                yield batch.assign(top=[
-                    [{"label": classes[c], "score": row[c]} for c in places]
-                    for row, places in zip(scores, best)])
-
-    top = T.ArrayType(T.StructType().add("label", "integer").add("score", "double"))
-    return df.mapInPandas(run, T.StructType([*df.schema.fields, T.StructField("top", top)]))
+            vectors = batch.column(array)
+            rows = _usable_rows(vectors, weights.shape[1])
+            x = np.asarray(pc.list_flatten(vectors.take(pa.array(rows)))).astype("float64").reshape(len(rows), weights.shape[1])
+            scores = x @ weights.T
+            places = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+            before = pc.list_flatten(batch.column("top").take(pa.array(rows)))
+            held = len(before) // max(1, len(rows))
+            # those found before come first, so that lower labels win ties
+            names = pa.concat_arrays([before.field("label"), labels.take(pa.array(places.ravel()))])
+            values = np.concatenate([np.asarray(before.field("score")).reshape(len(rows), held),
+                                     np.take_along_axis(scores, places, axis=1)], axis=1)
+            at = np.concatenate([np.arange(len(rows) * held).reshape(len(rows), held),
+                                 len(rows) * held + np.arange(places.size).reshape(places.shape)], axis=1)
+            order = np.argsort(-values, axis=1, kind="stable")[:, :k]
+            each = order.shape[1]
+            found = pa.StructArray.from_arrays(
+                [names.take(pa.array(np.take_along_axis(at, order, axis=1).ravel())),
+                 pa.array(np.take_along_axis(values, order, axis=1).ravel())], ["label", "score"])
+            usable = np.zeros(batch.num_rows, bool)
+            usable[rows] = True
+            offsets = np.concatenate([[0], np.cumsum(np.where(usable, each, 0))]).astype("int32")
+            top = pa.ListArray.from_arrays(pa.array(offsets), found, mask=pa.array(~usable))
+            yield batch.set_column(batch.schema.get_field_index("top"), "top", top)
+    return run
+
+
+def top_classes(df: DataFrame, array: str, weights: DataFrame, label: str, k: int = 1) -> DataFrame:
+    """Add ``top``: the ``k`` best classes of a linear model per row, best first, lower label on ties.
+
+    ``weights`` has a ``label`` of any type and its ``weights``.  The model is
+    applied block by block, so neither the driver nor a task holds more than
+    one block of it, whatever its size.  A vector that is null, holds a null
+    or has another length than the model gets a null.
+    """
+    kind = weights.schema[label].dataType
+    top = T.ArrayType(T.StructType([T.StructField("label", kind), T.StructField("score", T.DoubleType())]))
+    out = df.drop("top").withColumn("top", F.array().cast(top))
+    schema = T.StructType([*out.schema.fields[:-1], T.StructField("top", top)])
+    for block in _class_blocks(weights, label):
+        out = out.mapInArrow(_score_block(array, k, df.sparkSession.sparkContext.broadcast(block)), schema)
+    return out

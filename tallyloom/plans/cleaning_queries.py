@@ -400,7 +400,13 @@ def union_all(spark: SparkSession, d: str) -> DataFrame:
         read_table(spark, d, "supplier").select("s_name", "s_acctbal")])
 
 
-@query("sample_rows")
+@query("sample_rows", "select 0::bigint as repeats, 0::bigint as outside, true as within_bounds")
 def sampled(spark: SparkSession, d: str) -> DataFrame:
-    return sampling.random_sample(
-        read_table(spark, d, "orders", "o_orderkey", "o_totalprice"), 0.75, 17)
+    """What holds of any sample without replacement: no repeats, a subset, about the size asked for."""
+    orders = read_table(spark, d, "orders", "o_orderkey", "o_totalprice")
+    sample = sampling.random_sample(orders, 0.75, 17)
+    counted = sample.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    joined = orders.select("o_orderkey", F.lit(1).alias("of_all")).join(counted, "o_orderkey", "full")
+    return joined.agg(
+        F.count_if(F.col("n") > 1).alias("repeats"), F.count_if(F.col("of_all").isNull()).alias("outside"),
+        (F.abs(F.sum(F.coalesce("n", F.lit(0))) / F.count("of_all") - 0.75) < 0.05).alias("within_bounds"))

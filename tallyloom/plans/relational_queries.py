@@ -222,16 +222,14 @@ def three_way(spark: SparkSession, d: str) -> DataFrame:
 
 @query("cross_grid", """
 with counted as (select c_nationkey, cast(year(o_orderdate) as integer) as year, count(*) as n
-                 from orders join customer on o_custkey = c_custkey
-                 where o_orderpriority = '1-URGENT' group by 1, 2),
+                 from orders join customer on o_custkey = c_custkey group by 1, 2),
 grid as (select * from (select distinct c_nationkey from counted)
          cross join (select cast(unnest(range(min(year), max(year) + 1)) as integer) as year from counted))
 select c_nationkey, year, coalesce(n, 0) as n from grid left join counted using (c_nationkey, year)
 """)
 def grid(spark: SparkSession, d: str) -> DataFrame:
     """Every nation with every year, with counts where there are any."""
-    orders = read_table(spark, d, "orders", "o_custkey", "o_orderdate", "o_orderpriority").filter(
-        "o_orderpriority = '1-URGENT'")
+    orders = read_table(spark, d, "orders", "o_custkey", "o_orderdate")
     per_customer = orders.groupBy("o_custkey", F.year("o_orderdate").alias("year")).agg(
         F.count(F.lit(1)).alias("n"))
     customers = read_table(spark, d, "customer", "c_custkey", "c_nationkey")
@@ -366,11 +364,14 @@ def filtered_sum(spark: SparkSession, d: str) -> DataFrame:
 YEARS = (1995, 1996, 1997, 1998, 1999, 2000, 2001)
 
 
-def _orders_by_segment(spark: SparkSession, d: str) -> DataFrame:
+def _segment_cells(spark: SparkSession, d: str) -> DataFrame:
+    """Order prices summed per customer and year, then joined to the customer's segment and nation."""
     orders = read_table(spark, d, "orders", "o_custkey", "o_orderdate", "o_totalprice")
+    cells = aggregates.partial_cells(
+        orders.withColumn("year", F.year("o_orderdate")), ["o_custkey", "year"],
+        F.col("o_totalprice"), clean.exact("o_totalprice"))
     customers = read_table(spark, d, "customer", "c_custkey", "c_mktsegment", "c_nationkey")
-    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).withColumn(
-        "year", F.year("o_orderdate"))
+    return cells.join(customers, F.col("o_custkey") == F.col("c_custkey"))
 
 
 def _pivot_sql(cell: str, prefix: str = "") -> str:
@@ -378,8 +379,8 @@ def _pivot_sql(cell: str, prefix: str = "") -> str:
     return f"select c_mktsegment, {cells} from orders join customer on o_custkey = c_custkey group by 1"
 
 
-def _pivot(spark: SparkSession, d: str, measure: Column, how: str) -> DataFrame:
-    return aggregates.pivot(_orders_by_segment(spark, d), "c_mktsegment", "year", YEARS, measure, how)
+def _pivot(spark: SparkSession, d: str, how: str) -> DataFrame:
+    return aggregates.pivot_cells(_segment_cells(spark, d), "c_mktsegment", "year", YEARS, how)
 
 
 def _as_double(df: DataFrame) -> DataFrame:
@@ -389,15 +390,14 @@ def _as_double(df: DataFrame) -> DataFrame:
 @query("pivot_sum", _pivot_sql(
     "cast(sum(cast(o_totalprice as decimal(18,2))) filter (where year(o_orderdate) = {y}) as double)"))
 def pivot_sum(spark: SparkSession, d: str) -> DataFrame:
-    return _as_double(_pivot(spark, d, clean.exact("o_totalprice"), "sum"))
+    return _as_double(_pivot(spark, d, "sum"))
 
 
 @query("pivot_avg", _pivot_sql(
     "cast(sum(cast(o_totalprice as decimal(18,2))) filter (where year(o_orderdate) = {y}) as double)"
     " / count(*) filter (where year(o_orderdate) = {y})"))
 def pivot_avg(spark: SparkSession, d: str) -> DataFrame:
-    return _orders_by_segment(spark, d).groupBy("c_mktsegment").pivot("year", list(YEARS)).agg(
-        clean.exact_mean("o_totalprice"))
+    return _pivot(spark, d, "avg")
 
 
 @query("pivot_minmax",
@@ -405,16 +405,14 @@ def pivot_avg(spark: SparkSession, d: str) -> DataFrame:
        + ") join (" + _pivot_sql("max(o_totalprice) filter (where year(o_orderdate) = {y})", "high_")
        + ") using (c_mktsegment)")
 def pivot_minmax(spark: SparkSession, d: str) -> DataFrame:
-    rows = _orders_by_segment(spark, d)
-    wide = rows.groupBy("c_mktsegment").pivot("year", list(YEARS)).agg(
-        F.min("o_totalprice").alias("low"), F.max("o_totalprice").alias("high"))
-    return wide.select("c_mktsegment", *[
-        F.col(f"`{y}_{side}`").alias(f"{side}_{y}") for side in ("low", "high") for y in YEARS])
+    low, high = (_pivot(spark, d, how).withColumnsRenamed({str(y): f"{side}_{y}" for y in YEARS})
+                 for how, side in (("min", "low"), ("max", "high")))
+    return low.join(high, "c_mktsegment")
 
 
 @query("pivot_count", _pivot_sql("count(*) filter (where year(o_orderdate) = {y})"))
 def pivot_count(spark: SparkSession, d: str) -> DataFrame:
-    wide = _pivot(spark, d, F.lit(1), "count")
+    wide = _pivot(spark, d, "count")
     return wide.select("c_mktsegment", *[
         F.coalesce(F.col(f"`{y}`"), F.lit(0)).alias(str(y)) for y in YEARS])
 
@@ -425,9 +423,8 @@ select c_mktsegment, cast(year(o_orderdate) as integer) as year,
 from orders join customer on o_custkey = c_custkey group by 1, 2
 """)
 def pivot_long(spark: SparkSession, d: str) -> DataFrame:
-    tall = aggregates.pivot_long(_orders_by_segment(spark, d), "c_mktsegment", "year",
-                                 clean.exact("o_totalprice"), "sum", "total")
-    return tall.withColumn("total", F.col("total").cast("double"))
+    tall = aggregates.merged_cells(_segment_cells(spark, d), ["c_mktsegment", "year"])
+    return tall.select("c_mktsegment", "year", F.col("sum_value").cast("double").alias("total"))
 
 
 @query("agg_by_location", """
@@ -437,13 +434,10 @@ select c_nationkey, cast(sum(cast(o_totalprice as decimal(18,2))) as double) as
 from orders join customer on o_custkey = c_custkey group by 1
 """)
 def by_location(spark: SparkSession, d: str) -> DataFrame:
-    cells = aggregates.summary(_orders_by_segment(spark, d), "c_nationkey",
-                               clean.exact("o_totalprice"))
+    cells = aggregates.merged_cells(_segment_cells(spark, d), ["c_nationkey"])
     return cells.select(
-        "c_nationkey", F.col("sum_value").cast("double").alias("sum_value"),
-        (F.col("sum_value").cast("double") / F.col("count_value")).alias("avg_value"),
-        F.col("min_value").cast("double").alias("min_value"),
-        F.col("max_value").cast("double").alias("max_value"), "count_value")
+        "c_nationkey", F.col("sum_value").cast("double").alias("sum_value"), "avg_value",
+        "min_value", "max_value", "count_value")
 
 
 @query("share_of_total", """

@@ -154,5 +154,6 @@ def test_grid_is_filled_between_its_ends(spark):
     got = sorted(map(tuple, joins.fill_grid(counts, "k", "t", "n").collect()))
     assert got == [("a", 1, 5), ("a", 2, 0), ("a", 3, 0), ("b", 1, 0), ("b", 2, 0), ("b", 3, 7)]
     assert joins.fill_grid(counts.limit(0), "k", "t", "n").count() == 0
-    with pytest.raises(ValueError):
-        joins.fill_grid(counts, "k", "t", "n", max_cells=2)
+    assert sorted(map(tuple, joins.fill_grid(counts, "k", "t", "n", run=2).collect())) == got
+    long = spark.createDataFrame([("a", 1, 5), ("a", 25_003, 7)], "k string, t long, n int")
+    assert joins.fill_grid(long, "k", "t", "n").agg(F.count(F.lit(1)), F.count_distinct("t"), F.sum("n")).first() == (25_003, 25_003, 12)

@@ -42,16 +42,37 @@ def test_svm_keeps_an_unseen_category(spark):
     assert scored.filter("c <> 'new' and prediction <> label_idx").count() == 0
 
 
-def test_top_classes_and_batches_agree(spark, monkeypatch):
-    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [0.7, 0.6])], "id int, v array<float>")
-    model = {0: [1.0, 0.0], 1: [0.0, 1.0], 2: [0.5, 0.5]}
-    top = {r["id"]: [t["label"] for t in r["top"]] for r in models.top_classes(df, "v", model, 2).collect()}
-    assert top == {1: [0, 2], 2: [1, 2], 3: [0, 2]}
-    batches = {r["id"]: [t["label"] for t in r["top"]] for r in models.score_batches(df, "v", model, 2).collect()}
-    assert batches == top
-    monkeypatch.setattr(models, "MAX_LITERAL_CELLS", 1)
-    large = {r["id"]: [t["label"] for t in r["top"]] for r in models.top_classes(df, "v", model, 2).collect()}
-    assert large == top
+@pytest.mark.parametrize("cells", [1, 4, 1_000_000])
+@pytest.mark.parametrize("kind", ["int", "string"])
+def test_top_classes_of_any_model_size(spark, monkeypatch, cells, kind):
+    monkeypatch.setattr(models, "BLOCK_CELLS", cells)
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [0.7, 0.6]), (4, None), (5, [1.0, None]), (6, [1.0])],
+                               "id int, v array<float>")
+    rows = [(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.5, 0.5]), (3, [0.5, 0.5])]
+    weights = spark.createDataFrame(rows, "c int, weights array<double>").withColumn("c", F.col("c").cast(kind))
+    best = models.top_classes(df, "v", weights, "c", 3)
+    assert dict(best.schema["top"].dataType.elementType.jsonValue()["fields"][0])["type"] == {"int": "integer"}.get(kind, kind)
+    top = {r["id"]: r["top"] and [int(t["label"]) for t in r["top"]] for r in best.collect()}
+    assert top == {1: [0, 2, 3], 2: [1, 2, 3], 3: [0, 2, 3], 4: None, 5: None, 6: None}
+    assert {len(r["top"]) for r in models.top_classes(df.where("id < 4"), "v", weights, "c", 9).collect()} == {4}
+    assert [r["top"] for r in models.top_classes(df.where("id < 4"), "v", weights.limit(0), "c", 9).collect()] == [[]] * 3
+
+
+def test_centroids_are_means(spark):
+    df = spark.createDataFrame([("a", [1.0, 3.0]), ("a", [3.0, 5.0]), ("b", [1.0, 1.0]), ("b", None), (None, [2.0, 2.0])],
+                               "label string, v array<float>")
+    found = {r["label"]: r["weights"] for r in models.centroids(df, "v", "label").collect()}
+    assert found == {"a": [2.0, 4.0], "b": [1.0, 1.0], None: [2.0, 2.0]}
+
+
+def test_null_levels_and_categories_keep_their_rows(spark):
+    from tallyloom.operators import features
+
+    df = spark.createDataFrame([("x", 1.0), (None, 2.0), ("b", 3.0), (None, 4.0), ("b", 5.0)], "f string, y double")
+    codes = sorted(((r["f"] or "", r["code"]) for r in features.category_codes(df, "f", "code").collect()))
+    assert codes == [("", -1), ("", -1), ("b", 0), ("b", 0), ("x", 1)]
+    found = {r["level"]: r["n"] for r in effects.backfitted(effects.cells(df, ["f"], F.col("y")), ["f"], 5.0, 2).collect()}
+    assert found == {"x": 1, None: 2, "b": 2}
 
 
 def test_trees_take_many_categories(spark):
@@ -90,10 +111,3 @@ def test_backfitted_effects_against_a_loop(spark):
         at = keys[row["factor"]] == row["level"]
         assert row["n"] == at.sum()
         assert row["effect"] == pytest.approx(current[row["factor"]][at][0])
-
-
-def test_a_frozen_model_must_be_small(spark, monkeypatch):
-    monkeypatch.setattr(models, "MAX_MODEL_CELLS", 2)
-    df = spark.createDataFrame([(0, [1.0, 2.0, 3.0])], "label int, v array<double>")
-    with pytest.raises(ValueError):
-        models.weight_vectors(models.centroids(df, "v", "label"), "label")
