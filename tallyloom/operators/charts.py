@@ -12,9 +12,6 @@ from tallyloom.functions.statistics import gaussian, normal_quantile, pearson, t
 from tallyloom.operators.ordering import Slices, quantiles, quantiles_of, value_slices, values_at
 from tallyloom.workspace import join_on_keys, materialise, small_side
 
-MAX_CELLS = 200
-
-
 def histogram(df: DataFrame, value: str, bins: int, keys: Sequence[str] = ()) -> DataFrame:
     """Counts in equal-width bins over the whole range; the maximum falls in the last bin."""
     rows = df.select(*keys, F.col(value).alias("_value")).filter("_value is not null")
@@ -83,8 +80,8 @@ def box_outliers(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 def _on_grid(rows: DataFrame, low: Column, high: Column, cells: int) -> DataFrame:
     """Each row once per grid cell, with the cell's number and place."""
-    if not 2 <= cells <= MAX_CELLS:
-        raise ValueError(f"a grid has 2 to {MAX_CELLS} cells")
+    if cells < 2:
+        raise ValueError("a grid has 2 cells or more")
     step = (high - low) / F.lit(float(cells - 1))
     return (
         rows.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))))
@@ -94,16 +91,23 @@ def _on_grid(rows: DataFrame, low: Column, high: Column, cells: int) -> DataFram
 def kernel_density(df: DataFrame, value: str, bandwidth: float, cells: int = 50) -> DataFrame:
     """Gaussian kernel density of a column on an even grid over its range.
 
-    Each task adds its rows into the fixed number of grid cells, so only one
-    partial sum per cell is shuffled.
+    Equal values are counted first; then each row adds to one sum per grid
+    cell, so nothing but those sums is shuffled.
     """
-    rows = df.select(F.col(value).cast("double").alias("value")).filter("value is not null")
-    low, high = rows.select(F.min("value")).scalar(), rows.select(F.max("value")).scalar()
-    h = F.lit(float(bandwidth))
-    return (
-        _on_grid(rows, low, high, cells).groupBy("cell", "x")
-        .agg((F.sum(gaussian((F.col("x") - F.col("value")) / h)) / F.count(F.lit(1)) / h)
-             .alias("density")))
+    if cells < 2:
+        raise ValueError("a grid has 2 cells or more")
+    counted = df.select(F.col(value).cast("double").alias("value")).filter("value is not null").groupBy(
+        "value").agg(F.count(F.lit(1)).alias("n"))
+    low, high = counted.agg(F.min("value"), F.max("value")).first()
+    if low is None:
+        return df.sparkSession.createDataFrame([], "cell int, x double, density double")
+    step, h = (high - low) / (cells - 1), float(bandwidth)
+    places = [low + i * step for i in range(cells)]
+    sums = counted.agg(F.sum("n").alias("rows"), *[
+        F.sum(F.col("n") * gaussian((F.lit(x) - F.col("value")) / h)).alias(f"s{i}") for i, x in enumerate(places)])
+    return sums.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("cell"), F.lit(x).alias("x"), (F.col(f"s{i}") / F.col("rows") / h).alias("density"))
+        for i, x in enumerate(places)])))
 
 
 def loess(df: DataFrame, x: str, y: str, span: float, cells: int = 20) -> DataFrame:
@@ -126,7 +130,7 @@ def loess(df: DataFrame, x: str, y: str, span: float, cells: int = 20) -> DataFr
     reach = values_at(slices, ["cell"], lambda total: F.array(F.struct(
         F.greatest(F.ceil(F.lit(float(span)) * total), F.lit(1)).alias("rank")))
     ).select("cell", F.col("_value").alias("reach"))
-    # one row per grid cell, so the broadcast is bounded by MAX_CELLS
+    # one row per grid cell: ``cells`` bounds the broadcast
     near = placed.join(F.broadcast(reach), "cell").filter(F.col("distance") <= F.col("reach"))
     weight = F.when(F.col("reach") == 0, F.lit(1.0)).otherwise(
         tricube(F.col("distance") / F.col("reach")))

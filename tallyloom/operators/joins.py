@@ -24,14 +24,17 @@ def inner_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
     return left.join(right, same, "inner").select(*keep)
 
 
-def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], salts: int = 16) -> DataFrame:
+def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], salts: int = 16,
+                    spread_by: Sequence[str] = ()) -> DataFrame:
     """Inner equi-join that spreads every key of ``left`` over ``salts`` tasks.
 
-    Each right row is repeated once per salt, so ``right`` should be the side
+    ``spread_by`` names columns that tell rows apart, such as a message offset
+    or an id, so that rows which otherwise hold only the key are spread too; a
+    row gets the same task when a batch is run again.  Each right row is repeated once per salt, so ``right`` should be the side
     with few rows per key.  For joins adaptive execution cannot rebalance, as
     in streams; a batch join splits skewed keys by itself.
     """
-    salt = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+    salt = F.pmod(F.xxhash64(*(spread_by or left.columns)), F.lit(salts)).cast("int")
     spread = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.withColumn("_salt", salt).join(spread, [*on, "_salt"]).drop("_salt")
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators.ordering import with_position
 from tallyloom.operators.ranking import share_of_total
-from tallyloom.workspace import small_side
+from tallyloom.workspace import join_on_keys, small_side
 
 CHUNK = 4096
 # Fixed value: how many code points there are, and so how large a vocabulary can get.
@@ -50,13 +50,15 @@ def series_windows(
     value: str,
     size: int,
     overlap: int,
-    legacy_count: bool = True,
+    legacy_count: bool = False,
 ) -> DataFrame:
     """Fixed-size windows of each series: (series, ``window_id``, ``items``).
 
     ``window_id`` counts from 0 and a window starts every ``size - overlap``
     values.  The incomplete tail is dropped; the historic rule also wants a
-    series to be longer than one window.
+    series to be longer than one window.  The values of a chunk are gathered
+    once and windows are cut from them, so the work is that of the values plus
+    that of the windows, whatever the overlap.
     """
     if not 0 < size or not 0 <= overlap < size:
         raise ValueError("0 <= overlap < size is required")
@@ -74,13 +76,16 @@ def series_windows(
             F.when((F.col("_own") > 0) & (F.col("_at") % length < size - 1),
                    F.array(F.col("_own"), F.col("_own") - 1))
             .otherwise(F.array("_own")))))
-    ahead = W.partitionBy(*series, "_chunk").orderBy("_at").rowsBetween(0, size - 1)
-    window_id = F.floor(F.col("_at") / stride)
+    gathered = chunked.groupBy(*series, "_chunk").agg(
+        F.sort_array(F.collect_list(F.struct("_at", "_value"))).alias("_held"), F.max("_length").alias("_length"))
+    begin = F.col("_chunk") * length
+    first = F.ceil(begin / stride)
+    last = F.least(F.ceil((begin + length) / stride), window_count(F.col("_length"), size, stride, legacy_count)) - 1
     return (
-        chunked.withColumn("items", F.collect_list(F.struct("_value")).over(ahead))
-        .filter((F.col("_chunk") == F.col("_own")) & (F.col("_at") % stride == 0)
-                & (window_id < window_count(F.col("_length"), size, stride, legacy_count)))
-        .select(*series, window_id.alias("window_id"), F.col("items._value").alias("items"))
+        gathered.withColumns({"_first": first.cast("long"), "_last": last.cast("long")}).filter("_first <= _last")
+        .withColumn("window_id", F.explode(F.sequence("_first", "_last")))
+        .select(*series, "window_id", F.slice(
+            "_held", (F.col("window_id") * stride - begin + 1).cast("int"), F.lit(size))["_value"].alias("items"))
     )
 
 
@@ -106,10 +111,17 @@ def chronological_split(df: DataFrame, series: Sequence[str], order: Sequence[st
     ).drop("_length")
 
 
+def chronological_window_split(windows: DataFrame, series: Sequence[str], fraction: float) -> DataFrame:
+    """Mark the first ``floor(fraction * windows)`` windows of each series as training windows."""
+    counts = windows.groupBy(*series).agg(F.count(F.lit(1)).alias("_windows"))
+    return join_on_keys(windows, counts, series).withColumn(
+        "is_train", F.col("window_id") < F.floor(F.lit(fraction) * F.col("_windows"))).drop("_windows")
+
+
 def transitions(df: DataFrame, series: Sequence[str], order: Sequence[str],
                 symbol: str) -> DataFrame:
     """How often each symbol follows another, and its share of all that follow."""
-    pairs = series_windows(df, series, order, symbol, 2, 1, legacy_count=False)
+    pairs = series_windows(df, series, order, symbol, 2, 1)
     counts = pairs.groupBy(
         F.col("items")[0].alias("previous"), F.col("items")[1].alias("following")
     ).agg(F.count(F.lit(1)).alias("n"))

@@ -14,20 +14,21 @@ def _series(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, d, "events", "user_id", "ts", "event_id", "value")
 
 
-def _windows(spark: SparkSession, d: str, size: int, overlap: int) -> DataFrame:
+def _windows(spark: SparkSession, d: str, size: int, overlap: int, legacy: bool = True) -> DataFrame:
     return sequences.series_windows(
-        _series(spark, d), ["user_id"], ["ts", "event_id"], "value", size, overlap)
+        _series(spark, d), ["user_id"], ["ts", "event_id"], "value", size, overlap, legacy)
 
 
-def sql_windows(size: int, overlap: int) -> str:
+def sql_windows(size: int, overlap: int, legacy: bool = True) -> str:
     stride = size - overlap
+    count, least = (f"(len - {size - 1}) // {stride}", size + 1) if legacy else (f"(len - {size}) // {stride} + 1", size)
     return f"""
 with placed as (
   select user_id, value, row_number() over (partition by user_id order by ts, event_id) - 1 as seat,
          count(*) over (partition by user_id) as len from events),
 starts as (
-  select distinct user_id, len, unnest(range((len - {size - 1}) // {stride})) as window_id
-  from (select distinct user_id, len from placed where len > {size})),
+  select distinct user_id, len, unnest(range({count})) as window_id
+  from (select distinct user_id, len from placed where len >= {least})),
 windows as (
   select s.user_id, s.window_id, list(value order by seat) as items
   from starts s join placed p on p.user_id = s.user_id
@@ -50,6 +51,24 @@ def windows(spark: SparkSession, d: str) -> DataFrame:
     return _windows(spark, d, 5, 1).withColumn("items", _text("items"))
 
 
+@query("series_windows_all", sql_windows(5, 2, False) + f"""
+select user_id, window_id, {JOINED.format(items='items')} as items from windows
+""")
+def all_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Every complete window."""
+    return _windows(spark, d, 5, 2, False).withColumn("items", _text("items"))
+
+
+@query("window_split", sql_windows(5, 2, False) + f"""
+select user_id, window_id, {JOINED.format(items='items')} as items,
+       window_id < floor(0.7 * count(*) over (partition by user_id)) as is_train from windows
+""")
+def window_split(spark: SparkSession, d: str) -> DataFrame:
+    """The first seven tenths of each series' windows are for training."""
+    marked = sequences.chronological_window_split(_windows(spark, d, 5, 2, False), ["user_id"], 0.7)
+    return marked.withColumn("items", _text("items"))
+
+
 @query("window_features_label", sql_windows(5, 4) + f"""
 select user_id, window_id, {JOINED.format(items='items[1:4]')} as features, items[5] as label
 from windows

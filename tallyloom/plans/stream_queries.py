@@ -101,7 +101,7 @@ from events group by event_type, time_bucket(interval 10 seconds, ts)
 def tumbling(spark: SparkSession, d: str) -> DataFrame:
     rows = event_stream(spark, d).select(F.col("event_type").alias("channel"), "ts")
     counts = transforms.windowed_count(rows, "ts", "channel", length="10 seconds")
-    landed = runner.run_complete(counts.orderBy("window"))
+    landed = runner.run_complete(counts).orderBy("window", "channel")
     return landed.select("channel", F.date_format("window.start", "HH:mm:ss").alias("time"), "n")
 
 
@@ -208,7 +208,7 @@ def static_join_rows(spark: SparkSession, d: str) -> DataFrame:
     customers = read_table(spark, d, "customer").select(
         F.col("c_custkey").alias("user_id"), "c_mktsegment")
     rows = event_stream(spark, d).select("event_id", "user_id")
-    return runner.run_to_files(transforms.with_dimension(rows, customers, "user_id"))
+    return runner.run_to_files(transforms.with_dimension(rows, customers, "user_id", spread_by=["event_id"]))
 
 
 @query("st_customer_join", """

@@ -1,12 +1,13 @@
 """Starting streams and landing their results in tables.
 
-Results of complete and update mode go through ``foreachBatch`` into a folder
-per batch, written by the executors, so no result gathers on the driver.  A
-batch that is run again after a failure overwrites its own folder.
+Results of complete and update mode go through ``foreachBatch`` into one current
+folder, written by the executors, so no result gathers on the driver and none
+but the last stays.  A batch that is run again after a failure gives the same.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,16 +49,17 @@ def start_memory(stream: DataFrame, name: str, mode: str = "complete",
 
 def start_files(stream: DataFrame, path: str, by: Sequence[str] = (), fmt: str = "parquet",
                 every: str | None = None, checkpoint: str | None = None,
-                files_per_value: int = 4) -> StreamingQuery:
+                files_per_value: int = 4, spread_by: Sequence[str] = ()) -> StreamingQuery:
     """Append rows to (partitioned) files.
 
     Rows of a partition value are gathered before the write, so a batch leaves
     at most ``files_per_value`` files per value; a value that holds most rows
-    is written by that many tasks.
+    is written by that many tasks.  ``spread_by`` names columns that tell rows
+    apart; without it equal rows go to one task.
     """
     checkpoint = checkpoint or scratch_path(stream.sparkSession, "checkpoint")
     if by:
-        others = [c for c in stream.columns if c not in by] or list(by)
+        others = list(spread_by) or [c for c in stream.columns if c not in by] or list(by)
         share = F.pmod(F.xxhash64(*others), F.lit(files_per_value))
         stream = stream.repartition(*[F.col(c) for c in by], share)
     writer = _start(stream, "append", checkpoint, every).format(fmt)
@@ -72,28 +74,52 @@ def start_topic(stream: DataFrame, servers: str, topic: str, mode: str = "update
             .option("kafka.bootstrap.servers", servers).option("topic", topic).start())
 
 
-def start_batches(stream: DataFrame, path: str, mode: str, every: str | None = None,
-                  checkpoint: str | None = None,
-                  landed: list[int] | None = None) -> StreamingQuery:
-    """Write the output of every batch under ``path/batch_id=<n>``.
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, by the file system the path belongs to."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in system.listStatus(folder)] if system.exists(folder) else []
 
-    The numbers of finished batches are added to ``landed``.
+
+def _remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def current(spark: SparkSession, path: str) -> str | None:
+    """The folder that holds a stream's current result: the finished one of the last batch."""
+    done = [n for n in _children(spark, path) if n.startswith("batch=") and "_SUCCESS" in _children(spark, f"{path}/{n}")]
+    return max(done, key=lambda n: (int(n.split("=")[1].split("-")[0]), n.split("-")[1])) if done else None
+
+
+def start_current(stream: DataFrame, path: str, mode: str, keys: Sequence[str] = (), every: str | None = None,
+                  checkpoint: str | None = None) -> StreamingQuery:
+    """Keep one current result under ``path``: the whole of it in complete mode, one row per key in update mode.
+
+    A batch is written next to the result before it, merged with it where
+    there are ``keys``, and only then is the older one removed.  A batch that
+    is run again merges into what it finds and gives the same rows.
     """
-    checkpoint = checkpoint or scratch_path(stream.sparkSession, "checkpoint")
+    spark = stream.sparkSession
+    checkpoint = checkpoint or scratch_path(spark, "checkpoint")
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        if landed is not None:
-            landed.append(batch_id)
+        session = batch.sparkSession
+        before = current(session, path)
+        if keys and before:
+            values = [c for c in batch.columns if c not in keys]
+            held = session.read.schema(batch.schema).parquet(f"{path}/{before}")
+            both = held.withColumn("_new", F.lit(0)).unionByName(batch.withColumn("_new", F.lit(1)))
+            batch = both.groupBy(*keys).agg(F.max_by(F.struct(*values), "_new").alias("_row")).select(*keys, "_row.*")
+        batch.write.parquet(f"{path}/batch={batch_id:012d}-{len(_children(session, path)):04d}{uuid.uuid4().hex[:8]}")
+        kept = current(session, path)
+        for name in _children(session, path):
+            if name != kept:
+                _remove(session, f"{path}/{name}")
 
     return _start(stream, mode, checkpoint, every).foreachBatch(land).start()
 
 
-def _landed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    known = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(known).parquet(path)
-
-
 def run_to_files(stream: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Run an append stream over what is there and read its files back."""
     spark = stream.sparkSession
@@ -102,30 +128,21 @@ def run_to_files(stream: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def run_complete(stream: DataFrame) -> DataFrame:
-    """Run a complete-mode aggregate over what is there; the last batch is the result."""
+def _run_current(stream: DataFrame, mode: str, keys: Sequence[str]) -> DataFrame:
     spark = stream.sparkSession
-    path, landed = scratch_path(spark, "stream_complete"), []
-    finish(start_batches(stream, path, "complete", landed=landed))
-    if not landed:
+    path = scratch_path(spark, f"stream_{mode}")
+    finish(start_current(stream, path, mode, keys))
+    found = current(spark, path)
+    if found is None:
         return spark.createDataFrame([], stream.schema)
-    return spark.read.schema(stream.schema).parquet(f"{path}/batch_id={max(landed)}")
+    return spark.read.schema(stream.schema).parquet(f"{path}/{found}").select(*stream.columns)
 
 
-def run_upsert(stream: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Run an update-mode aggregate; the latest row of each key is the result.
-
-    ``max_by`` keeps one row per key in every task before the shuffle.
-    """
-    spark = stream.sparkSession
-    path, landed = scratch_path(spark, "stream_updates"), []
-    finish(start_batches(stream, path, "update", landed=landed))
-    if not landed:
-        return spark.createDataFrame([], stream.schema)
-    values = [c for c in stream.columns if c not in keys]
-    return (
-        _landed(spark, path, stream.schema).groupBy(*keys)
-        .agg(F.max_by(F.struct(*values), "batch_id").alias("latest"))
-        .select(*keys, "latest.*"))
+def run_complete(stream: DataFrame) -> DataFrame:
+    """Run a complete-mode aggregate over what is there; only its last result is kept."""
+    return _run_current(stream, "complete", ())
 
 
+def run_upsert(stream: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Run an update-mode aggregate into a table with one current row per key."""
+    return _run_current(stream, "update", keys)

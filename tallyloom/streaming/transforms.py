@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +34,8 @@ def window_bounds(counts: DataFrame) -> DataFrame:
 
 
 def with_dimension(rows: DataFrame, dimension: DataFrame, key: str,
-                   max_rows: int = 50_000, salts: int = 16) -> DataFrame:
-    """Stream-static inner join.
+                   max_rows: int = 50_000, salts: int = 16, spread_by: Sequence[str] = ()) -> DataFrame:
+    """Stream-static inner join; ``spread_by`` as in ``salted_join``.
 
     A static side counted to have at most ``max_rows`` rows is broadcast.  A
     larger one is joined with salted keys, because adaptive execution does not
@@ -41,7 +43,7 @@ def with_dimension(rows: DataFrame, dimension: DataFrame, key: str,
     """
     if dimension.limit(max_rows + 1).count() <= max_rows:
         return rows.join(F.broadcast(dimension), key)
-    return salted_join(rows, dimension, [key], salts)
+    return salted_join(rows, dimension, [key], salts, spread_by)
 
 
 def daily(rows: DataFrame, at: str, day: str = "day") -> DataFrame:

@@ -107,3 +107,30 @@ def test_payloads(spark):
 def test_missing_connectors_are_reported(spark):
     with pytest.raises(Exception):
         envelopes.kafka_source(spark, "nowhere:1", ["t"])
+
+
+def test_one_current_row_per_key_over_batches_and_reruns(spark, tmp_path):
+    source, path, checkpoint = f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/checkpoint"
+    for step, rows in enumerate(([("a",), ("b",)], [("a",), ("c",)], [(None,), ("a",)])):
+        spark.createDataFrame(rows, "k string").write.mode("append").parquet(source)
+        stream = runner.file_stream(spark, source, "k string", files_per_trigger=1)
+        runner.finish(runner.start_current(transforms.running_count(stream, "k"), path, "update", ["k"], checkpoint=checkpoint))
+        if step == 1:  # the last batch is run again, as after a failure before its commit
+            commits = sorted((tmp_path / "checkpoint" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+            commits[-1].unlink()
+            (commits[-1].parent / f".{commits[-1].name}.crc").unlink(missing_ok=True)
+            runner.finish(runner.start_current(transforms.running_count(runner.file_stream(spark, source, "k string", files_per_trigger=1), "k"),
+                                               path, "update", ["k"], checkpoint=checkpoint))
+    folders = runner._children(spark, path)
+    assert len(folders) == 1
+    rows = sorted((r["k"] or "", r["n"]) for r in spark.read.schema("k string, n long").parquet(f"{path}/{folders[0]}").collect())
+    assert rows == [("", 1), ("a", 3), ("b", 1), ("c", 1)]
+
+
+def test_rows_that_hold_only_the_key_are_spread(spark):
+    from tallyloom.operators.joins import salted_join
+
+    rows = spark.range(1000).select(F.lit(1).alias("k"), "id")
+    joined = salted_join(rows, spark.createDataFrame([(1, "x")], "k int, v string"), ["k"], 16, ["id"])
+    assert joined.count() == 1000
+    assert rows.select(F.pmod(F.xxhash64("id"), F.lit(16))).distinct().count() == 16
