@@ -9,8 +9,9 @@ from tallyloom.functions import cleaning as clean
 from tallyloom.functions.statistics import geometric_mean
 from tallyloom.operators import aggregates, joins, ranking
 from tallyloom.plans.registry import query
-from tallyloom.sources import files
+from tallyloom.sources import files, sinks
 from tallyloom.sources.files import read_table
+from tallyloom.workspace import scratch_path
 
 
 def revenue() -> Column:
@@ -220,6 +221,34 @@ def three_way(spark: SparkSession, d: str) -> DataFrame:
         .agg(F.sum("lines").alias("lines"), F.sum("quantity").alias("quantity")))
 
 
+@query("join_three_way_statistics", """
+select n_regionkey, count(*) as lines
+from lineitem join orders on l_orderkey = o_orderkey
+join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey
+where o_orderstatus = 'O' group by 1
+""")
+def three_way_by_statistics(spark: SparkSession, d: str) -> DataFrame:
+    """Tables with column statistics, joined in the order the optimiser finds cheapest.
+
+    The statistics are used in a session of its own, so the caller's settings stay.
+    """
+    costs = spark.newSession()
+    costs.conf.set("spark.sql.cbo.enabled", "true")
+    costs.conf.set("spark.sql.cbo.joinReorder.enabled", "true")
+    names = {}
+    for name, columns in (("lineitem", ("l_orderkey", "l_suppkey")), ("orders", ("o_orderkey", "o_orderstatus")),
+                          ("supplier", ("s_suppkey", "s_nationkey")), ("nation", ("n_nationkey", "n_regionkey"))):
+        path = scratch_path(spark, name)
+        names[name] = path.rsplit("/", 1)[1].replace("-", "_")
+        sinks.create_table_as(read_table(spark, d, name, *columns), names[name], path)
+        sinks.analyze_columns(spark, names[name])
+    return costs.sql("""
+        select n_regionkey, count(*) as lines
+        from {lineitem} join {nation} join {supplier} join {orders}
+        on l_suppkey = s_suppkey and s_nationkey = n_nationkey and l_orderkey = o_orderkey
+        where o_orderstatus = 'O' group by n_regionkey""".format(**names))
+
+
 @query("cross_grid", """
 with counted as (select c_nationkey, cast(year(o_orderdate) as integer) as year, count(*) as n
                  from orders join customer on o_custkey = c_custkey group by 1, 2),

@@ -300,11 +300,27 @@ def bucketed_table(spark: SparkSession, d: str) -> DataFrame:
     events = files.read_table(spark, d, "events", "event_id", "user_id", "ts")
     path = scratch_path(spark, "bucketed")
     table = path.rsplit("/", 1)[1].replace("-", "_")
-    saved = sinks.save_bucketed(events, table, path, "event_id", "ts", 40)
+    saved = sinks.save_bucketed(events, table, path, "user_id", "ts", 40)
     return saved.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("events"), clean.whole_total("event_id").alias("id_total"))
 
 
+@query("sink_bucketed_join", """
+select user_id, c_mktsegment, count(*) as events from events join customer on user_id = c_custkey group by 1, 2
+""")
+def bucketed_join(spark: SparkSession, d: str) -> DataFrame:
+    """Two tables bucketed alike are joined and counted where they lie."""
+    events = files.read_table(spark, d, "events", "event_id", "user_id").withColumn("user_id", F.col("user_id").cast("long"))
+    customers = files.read_table(spark, d, "customer", "c_custkey", "c_mktsegment").withColumn(
+        "c_custkey", F.col("c_custkey").cast("long"))
+    saved = []
+    for rows, key in ((events, "user_id"), (customers, "c_custkey")):
+        path = scratch_path(spark, "bucketed")
+        saved.append(sinks.save_bucketed(rows, path.rsplit("/", 1)[1].replace("-", "_"), path, key, key, 40))
+    joined = saved[0].join(saved[1].hint("merge"), F.col("user_id") == F.col("c_custkey"))
+    return joined.groupBy("user_id", "c_mktsegment").agg(F.count(F.lit(1)).alias("events"))
+
+
 @query("sink_max_records", """
 select count(*) as rows, cast(0 as bigint) as files_over_cap from lineitem
 """)
@@ -351,8 +367,10 @@ def table_profile(spark: SparkSession, d: str) -> DataFrame:
 select count(*) as rows, true as bounded from documents
 """)
 def partition_sizes(spark: SparkSession, d: str) -> DataFrame:
-    """Even partitions of bounded size; no partition is twice the size asked for."""
-    bound = 200
-    spread = sinks.bounded_partitions(files.read_table(spark, d, "documents", "doc_id"), bound)
-    sizes = spread.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.sum("n").alias("rows"), (F.max("n") <= 2 * bound).alias("bounded"))
+    """Even partitions of bounded bytes; none holds twice what was asked for and a row more."""
+    bound = 1 << 20
+    documents = files.read_table(spark, d, "documents", "doc_id", "n_chars")
+    spread = sinks.bounded_partitions(documents, F.col("n_chars"), bound)
+    sizes = spread.groupBy(F.spark_partition_id().alias("part")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("size"), F.max("n_chars").alias("largest"))
+    return sizes.agg(F.sum("n").alias("rows"), (F.max("size") <= 2 * bound + F.max("largest")).alias("bounded"))

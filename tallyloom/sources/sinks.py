@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -101,10 +102,10 @@ def analyze_columns(spark: SparkSession, table: str) -> None:
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
 
 
-def bounded_partitions(df: DataFrame, rows_per_partition: int) -> DataFrame:
-    """Even partitions of about ``rows_per_partition`` rows, for work with a memory bound."""
-    parts = max(1, -(-df.count() // rows_per_partition))
-    return df.repartition(parts)
+def bounded_partitions(df: DataFrame, size: Column, bytes_per_partition: int) -> DataFrame:
+    """Even partitions of about ``bytes_per_partition`` bytes by the rows' ``size``, for work with a memory bound."""
+    total = df.agg(F.sum(size)).first()[0] or 0
+    return df.repartition(max(1, -(-int(total) // bytes_per_partition)))
 
 
 def rows_per_file(df: DataFrame) -> DataFrame:
@@ -119,19 +120,17 @@ def save_and_reload(model: PipelineModel, path: str) -> PipelineModel:
 def profile(df: DataFrame) -> DataFrame:
     """One row per column: type, rows, nulls, distinct values, lowest and highest.
 
-    A single aggregate over the table, turned on its side afterwards.
+    Each column is read on its own and its equal values are counted first, so
+    a row is never repeated once per column.
     """
-    rows = F.count(F.lit(1)).alias("rows")
-    parts = [rows]
-    for i, (name, _) in enumerate(df.dtypes):
-        c = F.col(f"`{name}`")
-        parts += [F.count(c).alias(f"filled{i}"), F.count_distinct(c).alias(f"distinct{i}"),
-                  F.min(c).cast("string").alias(f"lowest{i}"),
-                  F.max(c).cast("string").alias(f"highest{i}")]
-    entries = [
-        F.struct(F.lit(name).alias("column_name"), F.lit(kind).alias("type"), F.col("rows"),
-                 (F.col("rows") - F.col(f"filled{i}")).alias("nulls"),
-                 F.col(f"distinct{i}").alias("distinct_values"),
-                 F.col(f"lowest{i}").alias("lowest"), F.col(f"highest{i}").alias("highest"))
-        for i, (name, kind) in enumerate(df.dtypes)]
-    return df.agg(*parts).select(F.inline(F.array(*entries)))
+    def one(name: str, kind: str) -> DataFrame:
+        counted = df.select(F.col(f"`{name}`").alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+        return counted.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
+            F.count("v").alias("distinct_values"), F.min("v").cast("string").alias("lowest"),
+            F.max("v").cast("string").alias("highest"),
+        ).select(F.lit(name).alias("column_name"), F.lit(kind).alias("type"), "rows", "nulls",
+                 "distinct_values", "lowest", "highest")
+
+    return reduce(DataFrame.unionByName, [one(name, kind) for name, kind in df.dtypes])

@@ -118,7 +118,7 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
 
 
 def test_bounded_partitions_cache_and_materialise(spark):
-    assert sinks.bounded_partitions(spark.range(1000), 100).rdd.getNumPartitions() == 10
+    assert sinks.bounded_partitions(spark.range(1000), F.lit(10), 1000).rdd.getNumPartitions() == 10
     with cached(spark.range(5)) as kept:
         assert kept.is_cached and kept.count() == 5
     assert materialise(spark.range(5), "m").count() == 5

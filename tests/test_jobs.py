@@ -152,3 +152,19 @@ def test_dates_are_real(spark):
     from tallyloom.functions.cleaning import date_parts
 
     assert tuple(df.select(*date_parts("d").values()).first()) == (2024, 2, 29)
+
+
+def test_layouts_are_used(spark, folder):
+    """No rows move for an aggregate or a join on the bucket key; clustered files hold disjoint key ranges."""
+    from pyspark.sql import functions as F
+
+    from tallyloom.plans.catalog import QUERIES
+
+    for name in ("sink_bucketed", "sink_bucketed_join"):
+        plan = QUERIES[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
+    clustered = QUERIES["ctas_cluster_by"](spark, folder)
+    ends = clustered.groupBy(F.input_file_name().alias("f")).agg(
+        F.min(F.struct("event_type", "event_id")).alias("lo"), F.max(F.struct("event_type", "event_id")).alias("hi")).orderBy("lo").collect()
+    assert all(tuple(a["hi"]) <= tuple(b["lo"]) for a, b in zip(ends, ends[1:]))
+    assert "Expand" not in QUERIES["table_profile"](spark, folder)._jdf.queryExecution().executedPlan().toString()
