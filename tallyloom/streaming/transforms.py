@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.joins import salted_join
+from tallyloom.workspace import sized
 
 STAMP = "yyyy-MM-dd HH:mm:ss"
 
@@ -34,14 +35,16 @@ def window_bounds(counts: DataFrame) -> DataFrame:
 
 
 def with_dimension(rows: DataFrame, dimension: DataFrame, key: str,
-                   max_rows: int = 50_000, salts: int = 16, spread_by: Sequence[str] = ()) -> DataFrame:
+                   max_bytes: int | None = None, salts: int = 16, spread_by: Sequence[str] = ()) -> DataFrame:
     """Stream-static inner join; ``spread_by`` as in ``salted_join``.
 
-    A static side counted to have at most ``max_rows`` rows is broadcast.  A
-    larger one is joined with salted keys, because adaptive execution does not
-    split a frequent key of a stream.
+    The static side is written when the stream is set up, so its size is known
+    and cannot grow while the stream runs.  One of at most ``max_bytes``
+    (``workspace.SMALL_BYTES``) is broadcast.  A larger one is joined with salted
+    keys, because adaptive execution does not split a frequent key of a stream.
     """
-    if dimension.limit(max_rows + 1).count() <= max_rows:
+    dimension, small = sized(dimension, max_bytes)
+    if small:
         return rows.join(F.broadcast(dimension), key)
     return salted_join(rows, dimension, [key], salts, spread_by)
 

@@ -18,6 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+_OWNERS: list[list[str]] = []
+
+# Largest table, in bytes of Parquet, that is broadcast.
+SMALL_BYTES = 8 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -34,8 +38,43 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that no other run uses."""
-    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A path under the shared folder that no other run uses; the ``scratch`` block it is made in owns it."""
+    path = f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    if _OWNERS:
+        _OWNERS[-1].append(path)
+    return path
+
+
+def table_name(path: str) -> str:
+    """The catalog name of a table kept at a scratch path."""
+    return path.rsplit("/", 1)[1].replace("-", "_")
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Owns the scratch tables made inside it and removes them at its end.
+
+    Results read those tables, so write the result inside the block.
+    """
+    made: list[str] = []
+    _OWNERS.append(made)
+    try:
+        yield
+    finally:
+        _OWNERS.remove(made)
+        for path in made:
+            spark.sql(f"DROP TABLE IF EXISTS `{table_name(path)}`")
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _bytes(spark: SparkSession, path: str) -> int:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
 
 
 def _own_folder(spark: SparkSession) -> str:
@@ -44,8 +83,7 @@ def _own_folder(spark: SparkSession) -> str:
 
 def clear_scratch(spark: SparkSession) -> None:
     """Delete this application's scratch tables, once no result that reads them is needed."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, _own_folder(spark))
 
 
 def scratch_name(name: str) -> str:
@@ -55,10 +93,14 @@ def scratch_name(name: str) -> str:
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back: cuts lineage and fixes the values."""
+    return _written(df, name)[0]
+
+
+def _written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def bounded_rows(df: DataFrame, max_rows: int) -> pa.Table | None:
@@ -70,15 +112,20 @@ def bounded_rows(df: DataFrame, max_rows: int) -> pa.Table | None:
     return table if table.num_rows <= max_rows else None
 
 
-def small_side(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
-    """A broadcast side if ``df`` has been seen to be small, else ``df`` itself.
+def sized(df: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
+    """``df`` written once, and whether its files have at most ``max_bytes`` (``SMALL_BYTES``)."""
+    kept, path = _written(df, "side")
+    return kept, _bytes(df.sparkSession, path) <= (SMALL_BYTES if max_bytes is None else max_bytes)
+
+
+def small_side(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """``df`` written once, and broadcast if it is small by ``sized``.
 
-    Beyond ``max_rows`` the join stays a shuffle join with AQE skew handling.
+    Nothing passes through the driver.  Beyond the limit the join stays a
+    shuffle join with AQE skew handling; either way ``df`` is computed once.
     """
-    table = bounded_rows(df, max_rows)
-    if table is None:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(table, df.schema))
+    kept, small = sized(df, max_bytes)
+    return F.broadcast(kept) if small else kept
 
 
 def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

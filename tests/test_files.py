@@ -33,9 +33,9 @@ def test_small_side_is_checked(spark):
     def plan(df):
         return df._jdf.queryExecution().analyzed().toString().lower()
 
-    small = small_side(spark.range(10), 10)
+    small = small_side(spark.range(10))
     assert "broadcast" in plan(small) and small.count() == 10
-    large = small_side(spark.range(11), 10)
+    large = small_side(spark.range(11), 10)  # bytes
     assert "broadcast" not in plan(large) and large.count() == 11
 
 

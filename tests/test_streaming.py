@@ -72,7 +72,7 @@ def test_an_empty_folder_gives_no_rows(spark):
 def test_a_large_static_side_is_salted(spark):
     static = spark.createDataFrame([("k0", "x"), ("k1", "y")], "k string, v string")
     stream = runner.file_stream(spark, staged(spark, 2), SCHEMA)
-    joined = runner.run_to_files(transforms.with_dimension(stream, static, "k", max_rows=1, salts=3))
+    joined = runner.run_to_files(transforms.with_dimension(stream, static, "k", max_bytes=1, salts=3))
     assert sorted(map(str, joined.select("id", "k", "v").collect())) == sorted(
         map(str, rows(spark).join(static, "k").select("id", "k", "v").collect()))
 
