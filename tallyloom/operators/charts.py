@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
+from math import ceil
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from tallyloom.functions.statistics import gaussian, normal_quantile, pearson, tricube
@@ -78,16 +80,6 @@ def box_outliers(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
         ~F.col(value).between(F.col("low_fence"), F.col("high_fence"))).select(*df.columns)
 
 
-def _on_grid(rows: DataFrame, low: Column, high: Column, cells: int) -> DataFrame:
-    """Each row once per grid cell, with the cell's number and place."""
-    if cells < 2:
-        raise ValueError("a grid has 2 cells or more")
-    step = (high - low) / F.lit(float(cells - 1))
-    return (
-        rows.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))))
-        .withColumn("x", low + F.col("cell") * step))
-
-
 def kernel_density(df: DataFrame, value: str, bandwidth: float, cells: int = 50) -> DataFrame:
     """Gaussian kernel density of a column on an even grid over its range.
 
@@ -110,41 +102,75 @@ def kernel_density(df: DataFrame, value: str, bandwidth: float, cells: int = 50)
         for i, x in enumerate(places)])))
 
 
+def _reach_bounds(slices: Sequence[Row], x: float, needed: int) -> tuple[float, float]:
+    """A radius around ``x`` that surely holds fewer than ``needed`` points, and one that surely holds as many."""
+    def count(radius: float, whole: bool) -> int:
+        low, high = x - radius, x + radius
+        return sum(s["n"] for s in slices if (low <= s["low"] and s["high"] <= high if whole
+                                              else low <= s["high"] and s["low"] <= high))
+
+    # a hair wider, so that rounding cannot leave the edge of a slice outside
+    radii = sorted({abs(e - x) * (1 + 1e-12) for s in slices for e in (s["low"], s["high"])})
+    least = bisect_left(radii, True, key=lambda r: count(r, True) >= needed)
+    most = bisect_left(radii, True, key=lambda r: count(r * (1 + 1e-12), False) >= needed)
+    return radii[most - 1] if most else -1.0, radii[min(least, len(radii) - 1)]
+
+
 def loess(df: DataFrame, x: str, y: str, span: float, cells: int = 20) -> DataFrame:
     """Local linear fit on an even grid; ``span`` is the share of points in a neighbourhood.
 
-    Points are first summed per distinct x.  The neighbourhood of a grid point
-    reaches to its k-th nearest point, k = ceil(span * points), found from
-    exact ranks of the distances; weights are tricube.  The work is one row
-    per distinct x and grid cell, so a finely measured x is best rounded first.
+    Points are first summed per distinct x and laid out in order.  The
+    neighbourhood of a grid point reaches to its k-th nearest point, k =
+    ceil(span * points).  The ends of the slices bound that reach from both
+    sides; only points between the bounds are ranked by distance, and one
+    aggregate over the points then gives the sums of all grid points.
     """
-    points = materialise(
-        df.select(F.col(x).cast("double").alias("px"), F.col(y).cast("double").alias("py"))
-        .filter("px is not null and py is not null")
-        .groupBy("px").agg(F.count(F.lit(1)).alias("n"), F.sum("py").alias("sum_y")),
-        "loess_points")
-    low, high = points.select(F.min("px")).scalar(), points.select(F.max("px")).scalar()
-    placed = _on_grid(points, low, high, cells).withColumn(
-        "distance", F.abs(F.col("px") - F.col("x")))
-    slices = value_slices(placed.select("cell", "distance", "n"), ["cell"], "distance", "n")
-    reach = values_at(slices, ["cell"], lambda total: F.array(F.struct(
-        F.greatest(F.ceil(F.lit(float(span)) * total), F.lit(1)).alias("rank")))
-    ).select("cell", F.col("_value").alias("reach"))
-    # one row per grid cell: ``cells`` bounds the broadcast
-    near = placed.join(F.broadcast(reach), "cell").filter(F.col("distance") <= F.col("reach"))
-    weight = F.when(F.col("reach") == 0, F.lit(1.0)).otherwise(
-        tricube(F.col("distance") / F.col("reach")))
-    dx = F.col("px") - F.col("x")
-    w = F.col("w")
-    sums = near.withColumns({"w": weight, "dx": dx}).groupBy("cell", "x").agg(
-        F.sum(w * F.col("n")).alias("s0"), F.sum(w * F.col("n") * F.col("dx")).alias("s1"),
-        F.sum(w * F.col("n") * F.col("dx") * F.col("dx")).alias("s2"),
-        F.sum(w * F.col("sum_y")).alias("t0"), F.sum(w * F.col("sum_y") * F.col("dx")).alias("t1"))
-    spread = F.col("s0") * F.col("s2") - F.col("s1") * F.col("s1")
-    flat = F.abs(spread) <= F.lit(1e-12) * F.col("s0") * F.col("s2")
-    return sums.select("cell", "x", F.when(
-        flat | (F.col("s2") == 0), F.try_divide(F.col("t0"), F.col("s0"))).otherwise(
-        F.try_divide(F.col("s2") * F.col("t0") - F.col("s1") * F.col("t1"), spread)).alias("fitted"))
+    if cells < 2:
+        raise ValueError("a grid has 2 cells or more")
+    spark = df.sparkSession
+    counted = df.select(F.col(x).cast("double").alias("px"), F.col(y).cast("double").alias("py")).filter(
+        "px is not null and py is not null").groupBy("px").agg(F.count(F.lit(1)).alias("n"), F.sum("py").alias("sum_y"))
+    points = materialise(counted.repartitionByRange("px").withColumn("_slice", F.spark_partition_id()), "loess_points")
+    # one row per slice
+    slices = points.groupBy("_slice").agg(F.min("px").alias("low"), F.max("px").alias("high"), F.sum("n").alias("n")).collect()
+    if not slices:
+        return spark.createDataFrame([], "cell int, x double, fitted double")
+    low, high, total = min(s["low"] for s in slices), max(s["high"] for s in slices), sum(s["n"] for s in slices)
+    step = (high - low) / (cells - 1)
+    grid = [low + i * step for i in range(cells)]
+    needed = max(ceil(float(span) * total), 1)
+    bounds = [_reach_bounds(slices, g, needed) for g in grid]
+
+    def distance(i: int) -> Column:
+        return F.abs(F.col("px") - F.lit(grid[i]))
+
+    inner = points.agg(*[F.coalesce(F.sum(F.when(distance(i) <= F.lit(bounds[i][0]), F.col("n"))), F.lit(0)).alias(f"c{i}")
+                         for i in range(cells)]).first()
+    between = F.array(*[F.struct(F.lit(i).alias("cell"), distance(i).alias("distance"),
+                                 ((distance(i) > F.lit(a)) & (distance(i) <= F.lit(b))).alias("in"))
+                        for i, (a, b) in enumerate(bounds)])
+    open_points = points.select("n", F.filter(between, lambda c: c["in"]).alias("c")).filter("size(c) > 0").select("n", F.inline("c"))
+    wanted = F.create_map(*[F.lit(v) for i in range(cells) for v in (i, needed - inner[i])])
+    found = values_at(value_slices(open_points, ["cell"], "distance", "n"), ["cell"],
+                      lambda _: F.array(F.struct(F.element_at(wanted, F.col("cell")).alias("rank"))))
+    reach = {r["cell"]: r["_value"] for r in found.select("cell", "_value").collect()}
+
+    sums = []
+    for i in range(cells):
+        dx, r = F.col("px") - F.lit(grid[i]), reach[i]
+        weight = F.when(distance(i) <= F.lit(r), F.lit(1.0) if r == 0 else tricube(distance(i) / F.lit(r))).otherwise(0.0)
+        w = weight * F.col("n")
+        t = weight * F.col("sum_y")
+        sums += [F.sum(e).alias(f"{name}_{i}") for name, e in (
+            ("s0", w), ("s1", w * dx), ("s2", w * dx * dx), ("t0", t), ("t1", t * dx))]
+    fits = []
+    for i, g in enumerate(grid):
+        s0, s1, s2, t0, t1 = (F.col(f"{name}_{i}") for name in ("s0", "s1", "s2", "t0", "t1"))
+        spread = s0 * s2 - s1 * s1
+        flat = (F.abs(spread) <= F.lit(1e-12) * s0 * s2) | (s2 == 0)
+        fits.append(F.struct(F.lit(i).alias("cell"), F.lit(g).alias("x"), F.when(flat, F.try_divide(t0, s0)).otherwise(
+            F.try_divide(s2 * t0 - s1 * t1, spread)).alias("fitted")))
+    return points.agg(*sums).select(F.inline(F.array(*fits)))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
