@@ -14,6 +14,7 @@ from tallyloom.functions import cleaning as clean
 from tallyloom.operators import sampling
 from tallyloom.plans.registry import query
 from tallyloom.sources.files import read_table
+from tallyloom.workspace import scratch_name
 
 SQL_K = "cast(json_extract_string(props, '$.k') as integer)"
 
@@ -331,10 +332,10 @@ def keep_list(spark: SparkSession, d: str) -> DataFrame:
 select o_orderkey from orders where o_orderkey % 2 = 1
 """)
 def sql_function(spark: SparkSession, d: str) -> DataFrame:
-    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION is_odd(n BIGINT) RETURNS BOOLEAN "
-              "RETURN n % 2 = 1")
-    read_table(spark, d, "orders", "o_orderkey").createOrReplaceTempView("order_keys")
-    return spark.sql("SELECT o_orderkey FROM order_keys WHERE is_odd(o_orderkey)")
+    is_odd = scratch_name("is_odd")
+    spark.sql(f"CREATE TEMPORARY FUNCTION {is_odd}(n BIGINT) RETURNS BOOLEAN RETURN n % 2 = 1")
+    return spark.sql(f"SELECT o_orderkey FROM {{orders}} WHERE {is_odd}(o_orderkey)",
+                     orders=read_table(spark, d, "orders", "o_orderkey"))
 
 
 @query("map_partitions_schema", """

@@ -133,7 +133,7 @@ def json_array(spark: SparkSession, d: str) -> DataFrame:
                       F.col("p_retailprice").alias("price"))
     documents = json_documents(with_position(part, [], ["p_partkey"]), record, "position", 1000)
     path = scratch_path(spark, "arrays")
-    documents.write.partitionBy("chunk").text(path)
+    documents.select("document").write.option("maxRecordsPerFile", 1).text(path)  # one array per file
     return files.read_json_documents(
         spark, path, "id long, name string, price double").select("id", "name", "price")
 

@@ -82,9 +82,9 @@ def read_labelled_files(spark: SparkSession, folders: Mapping[str, str],
     return first
 
 
-def read_images(spark: SparkSession, path: str) -> DataFrame:
-    """Image structs; files that are no image are dropped."""
-    return (spark.read.format("image").option("dropInvalid", True).load(path)
+def read_images(spark: SparkSession, path: str, keep_invalid: bool = False) -> DataFrame:
+    """Image structs; files that are no image are dropped, or kept with width -1."""
+    return (spark.read.format("image").option("dropInvalid", not keep_invalid).load(path)
             .select(F.col("image.origin").alias("file_path"), "image"))
 
 

@@ -32,10 +32,10 @@ def as_kafka(df: DataFrame, key: Column, value: Column, topic: Column, offset: C
         c.cast(f.dataType).alias(f.name) for c, f in zip(parts, KAFKA_ENVELOPE.fields)])
 
 
-def value_text(envelope: DataFrame) -> DataFrame:
-    """Envelopes with the payload as text; rows without a payload are dropped."""
-    return envelope.filter(F.col("value").isNotNull()).withColumn(
-        "value", F.col("value").cast("string"))
+def value_text(envelope: DataFrame, keep_empty: bool = False) -> DataFrame:
+    """Envelopes with the payload as text; rows without a payload are dropped unless ``keep_empty``."""
+    rows = envelope if keep_empty else envelope.filter(F.col("value").isNotNull())
+    return rows.withColumn("value", F.col("value").cast("string"))
 
 
 def json_paths(envelope: DataFrame, paths: Mapping[str, str], *keep: str) -> DataFrame:

@@ -99,6 +99,7 @@ def test_payloads(spark):
         spark.createDataFrame([("a", '{"zip":"1"}'), ("b", None), ("c", "{bad")], "k string, v string"),
         F.col("k"), F.col("v"), F.lit("t"), F.lit(1), F.current_timestamp())
     assert envelopes.value_text(df).count() == 2
+    assert envelopes.value_text(df, keep_empty=True).count() == df.count()
     assert sorted(str(r["zip"]) for r in envelopes.json_paths(df, {"zip": "$.zip"}).collect()) == ["1", "None", "None"]
     words = spark.createDataFrame([(bytearray(b"HeLLo"),)], "data binary")
     assert envelopes.payload_words(words).first()["word"] == "hello"
