@@ -177,4 +177,4 @@ def nearest(table: DataFrame, wanted: Column, k: int, id_column: str = "vec_id",
     found = data.select(*block, "_other", "_of", "_vec").groupBy(*block).cogroup(
         ask.select(*block, "_vid", "_vec").groupBy(*block)).applyInArrow(
         _solve(cells.width, k), "_vid long, _other long, _of long, _score double")
-    return best(found, asking, vectors, k)
+    return best(found, asking, vectors, k, TABLES)

@@ -37,13 +37,16 @@ def query_vectors(rows: DataFrame, wanted: Column, vectors: DataFrame) -> DataFr
     return materialise(asking.join(vectors.select("_vid", "_vec"), "_vec").select("_query", "_vid"), "queries")
 
 
-def best(found: DataFrame, asking: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
+def best(found: DataFrame, asking: DataFrame, vectors: DataFrame, k: int, times: int = 1) -> DataFrame:
     """query_id, rank, vec_id, score from scored vectors ``found`` (_vid of the query, _other, _score, _of).
 
-    ``found`` has some k + 1 rows for each block a query vector met, some of
-    them twice; ``_of`` is the smallest id of the vector found.
+    ``found`` has some k + 1 rows for each block a query vector met, and a
+    vector up to ``times`` times; ``_of`` is the smallest id of the vector
+    found.  Each task drops what cannot be among the best before rows move.
     """
-    top = found.groupBy("_vid").agg(F.slice(F.array_sort(F.collect_set(F.struct(
+    order = W.partitionBy("_vid").orderBy(F.col("_score").desc(), "_of", "_other")
+    few = found.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= (k + 1) * times)
+    top = few.groupBy("_vid").agg(F.slice(F.array_sort(F.collect_set(F.struct(
         (-F.col("_score")).alias("worse"), F.col("_of").alias("of"), F.col("_other").alias("other")))), 1, k + 1).alias("_top"))
     pairs = asking.join(top, "_vid").select("_query", F.explode("_top").alias("_t"))
     spread = pairs.join(vectors.select("_vid", "_ids"), F.col("_t.other") == F.col("_vid")).select(
