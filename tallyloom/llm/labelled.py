@@ -29,7 +29,7 @@ def sample_features(docs: DataFrame, labels: DataFrame, label: str,
     features of the chosen ones come to the driver.
     """
     chosen = (labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (remainder(F.col("doc_id"), 4) != 2))
-              .select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_label"))
+              .select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_label")).distinct()
               .orderBy(F.xxhash64("_id"), "_id", "_label").limit(most))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
