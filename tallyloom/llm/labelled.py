@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 #: Most labelled rows a classifier is fitted on.  They are the first by a hash of the id, so any
 #: larger set of labels gives a sample of the same make-up.
-SAMPLE = 8_000
+SAMPLE = 5_000
 
 
 def remainder(doc_id: Column, by: int) -> Column:

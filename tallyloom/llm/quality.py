@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tallyloom.llm.labelled import SAMPLE, remainder, sample_features
-from tallyloom.llm.words import located_words, mix, raw_bytes
+from tallyloom.llm.words import few_rows, located_words, mix, raw_bytes
 
 BITS = 18
 GRAM = 4
@@ -81,7 +81,7 @@ def descend(rows: list[np.ndarray], scale: np.ndarray, sign: np.ndarray, cost: n
     """Weights and bias of the hinge-loss model over indicator rows scaled by ``scale``, by dual coordinate descent."""
     weight, bias = np.zeros(len(scale)), 0.0
     alpha = np.zeros(len(rows))
-    values = [scale[r] / max(1.0, len(r)) ** 0.5 for r in rows]
+    values = [(scale[r] / max(1.0, len(r)) ** 0.5).astype(np.float32) for r in rows]
     norms = np.array([float(v @ v) + 1 for v in values])
     random = np.random.default_rng(1)
     for _ in range(passes):
@@ -127,8 +127,9 @@ def fit(rows: list[np.ndarray], good: np.ndarray) -> Model:
     test = np.arange(len(rows)) % 5 == 4
     if len(set(good[test].tolist())) < 2 or len(set(good[~test].tolist())) < 2:
         test[:] = False
-    counts = {c: 1 + np.bincount(np.concatenate([rows[i] for i in np.flatnonzero((good == c) & ~test)]), minlength=1 << BITS)
-              for c in (0, 1)}
+    counts = np.ones((2, 1 << BITS))
+    for i in np.flatnonzero(~test):
+        counts[good[i], rows[i]] += 1
     ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
     ratio[(counts[0] == 1) & (counts[1] == 1)] = 0  # never seen
     train = np.flatnonzero(~test)
@@ -152,7 +153,7 @@ def with_score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     schema = StructType([*docs.select(*kept).schema.fields, StructField(name, DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in few_rows(batches):
             scores = [shared.value.score(g) for g in ngrams(b.column("text"))]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64())], [*b.schema.names, name])
 

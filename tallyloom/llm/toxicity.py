@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tallyloom.llm.labelled import SAMPLE, remainder, sample_features
-from tallyloom.llm.words import _SPACE, located_words, mix, raw_bytes
+from tallyloom.llm.words import few_rows, located_words, mix, raw_bytes
 
 BITS = 20
 GRADES = 4
@@ -45,19 +45,19 @@ STEPS, RATE, SHRINK = 400, 0.15, 1e-6
 
 _MARKS_TO_SPACE = np.arange(256, dtype=np.uint8)
 _MARKS_TO_SPACE[[b for b in range(33, 127) if not chr(b).isalnum()]] = 32
+_LOW = np.arange(256, dtype=np.uint8)
+_LOW[65:91] += 32
 
 
 def features(texts: pa.Array) -> Iterator[np.ndarray]:
     """Feature numbers below 2**BITS of each text in turn, once per occurrence: words, then their begins."""
     data, cuts = raw_bytes(texts)
-    data = _MARKS_TO_SPACE[data]
-    low = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint64)
-    low = np.concatenate([low, np.zeros(BEGIN, np.uint64)])
+    data = np.append(_MARKS_TO_SPACE[data], np.zeros(BEGIN, np.uint8))
     shift = np.uint64(64 - BITS)
-    for at, to, hashes, counts, begins, ends in located_words(data, cuts):
+    for at, to, hashes, counts, begins, ends in located_words(data[:-BEGIN], cuts):
         code = np.zeros(len(begins), np.uint64)
         for j in range(BEGIN):
-            code |= np.where(begins + j < ends, low[begins + j], 0).astype(np.uint64) << np.uint64(8 * j)
+            code |= np.where(begins + j < ends, _LOW[data[begins + j]], 0).astype(np.uint64) << np.uint64(8 * j)
         heads = mix(code + np.uint64(1)) >> shift
         words = hashes >> shift
         long = ends - begins > BEGIN
@@ -180,7 +180,7 @@ def with_severity(docs: DataFrame, model: Model, name: str = "severity") -> Data
     schema = StructType([*docs.select(*kept).schema.fields, StructField(name, DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in few_rows(batches):
             found = [shared.value.severity(f) for f in features(b.column("text"))]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.float64())], [*b.schema.names, name])
 

@@ -7,7 +7,7 @@ place), so two different words agree with a chance of about 2**-64.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -113,14 +113,8 @@ def shingles(words: np.ndarray, size: int) -> np.ndarray:
     return np.unique(mix(sums))
 
 
-def crc(value) -> int:
-    """crc32 of a number written as text, 0 for null."""
-    import zlib
-
-    return 0 if value is None else zlib.crc32(str(value).encode())
-
-
-def batches_of(frames: Iterator[pa.RecordBatch], columns: Sequence[str]) -> Iterator[list[pa.Array]]:
-    for frame in frames:
-        if frame.num_rows:
-            yield [frame.column(c) for c in columns]
+def few_rows(batches: Iterator[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that what is made of one at a time stays small."""
+    for b in batches:
+        for begin in range(0, b.num_rows, rows):
+            yield b.slice(begin, rows)
