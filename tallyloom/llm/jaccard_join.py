@@ -16,6 +16,8 @@ word shingles.  The steps:
    large group of near copies becomes one component by a number of checks in
    proportion to its size.  Then every pair of sets in *different* components
    that shares enough prefix shingles is checked.  No list is cut short.
+   Before a text is moved for a check, a small parity map of each set rules
+   out most pairs that differ too much; it never rules out a link.
 5. Links become components as tables.
 
 Shingles and sets are known by 64-bit hashes.  Defined results: a text
@@ -29,6 +31,7 @@ from __future__ import annotations
 
 from collections import OrderedDict
 from collections.abc import Iterator
+from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
@@ -41,12 +44,15 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.components import components
 from tallyloom.llm.mixing import WORD
-from tallyloom.llm.words import hash_words, raw_bytes, shingles, split_texts
-from tallyloom.workspace import materialise, scratch_name, scratch_path
+from tallyloom.llm.words import few_rows, hash_words, raw_bytes, shingles, split_texts
+from tallyloom.workspace import materialise, scratch_path, table_name
 
 CELL_BITS = 20  # counters of hashed shingles
 PART_BITS = 14  # counters in one row while they are added up
-MATCHES = (1, 2, 4, 8)
+MATCHES = (1, 2, 4, 8, 16, 32)
+LENGTHEN = 0.25  # the share by which a prefix may grow
+USUAL = 0.5  # other sets that a rare shingle is taken to lead to
+MAP_ROWS = 1_000  # shingles of a set up to which parity maps rule out unrelated sets
 CHECK_COST = 20.0  # of verifying a pair, in posting rows read
 
 
@@ -105,18 +111,43 @@ def prefix(found: np.ndarray, excess: np.ndarray, percent: int) -> tuple[np.ndar
     level = np.floor(np.log2(1 + often))
     order = np.lexsort((found, level))
     least = -(-percent * n // 100)  # shared by any link
-    met = np.cumsum(often[order])
-    choice = [(matches, n - least + matches) for matches in MATCHES if matches <= least]
+    met = np.cumsum(often[order] + USUAL)
+    longest = max(1, int(LENGTHEN * (n - least)))
+    choice = [(matches, n - least + matches) for matches in MATCHES if matches <= min(least, longest)]
     cost = [met[length - 1] * (1 + CHECK_COST / matches) + 0.05 * length for matches, length in choice]
     matches, length = choice[int(np.argmin(cost))]
     return found[order[:length]], matches
 
 
+def map_columns(percent: int) -> list[str]:
+    """The columns of a parity map, 64 bits each: unrelated sets of MAP_ROWS shingles differ in more bits than linked ones may."""
+    differ = 2 * MAP_ROWS * (100 - percent) / (100 + percent)
+    return [f"_p{i}" for i in range(max(2, round(differ / 0.43 / 64)))]
+
+
+def parity_map(found: np.ndarray, words: int) -> list[int]:
+    """64 * words bits, each telling whether an odd number of the set's shingles fall on it.
+
+    Shingles of both sets cancel out, so two maps differ in at most as many
+    bits as the sets differ in shingles.
+    """
+    bits = 64 * words
+    odd = np.bincount((found % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
+def _may_link(one: str, other: str, percent: int) -> Column:
+    """Whether sets with columns of these suffixes can link, by size and parity map; never wrong about a link."""
+    n, m = F.col(f"_n{one}"), F.col(f"_n{other}")
+    differ = reduce(Column.__add__, [F.bit_count(F.col(p + one).bitwiseXOR(F.col(p + other))) for p in map_columns(percent)])
+    return _fits(n, m, percent) & (differ * (100 + percent) <= (n + m) * (100 - percent))
+
+
 def _prefixes(words: int, percent: int, excess):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(3)
-        for b in batches:
-            key, size, least, first, body = [], [], [], [], []
+        pack, columns = zstandard.ZstdCompressor(3), map_columns(percent)
+        for b in few_rows(batches):
+            key, size, least, first, body, maps = [], [], [], [], [], []
             texts = b.column("_text")
             for i, found in enumerate(shingles(w, words) for w in split_texts(texts)):
                 if len(found):
@@ -126,10 +157,12 @@ def _prefixes(words: int, percent: int, excess):
                     least.append(matches)
                     first.append(tokens.view(np.int64))
                     body.append(pack.compress(texts[i].as_py().encode()))
+                    maps.append(parity_map(found, len(columns)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key, pa.int64()), pa.array(size, pa.int64()), pa.array(least, pa.int32()),
-                 pa.array(first, pa.list_(pa.int64())), pa.array(body, pa.binary())],
-                ["_set", "_n", "_matches", "_prefix", "_body"])
+                 pa.array(first, pa.list_(pa.int64())), pa.array(body, pa.binary()),
+                 *[pa.array([m[w] for m in maps], pa.int64()) for w in range(len(columns))]],
+                ["_set", "_n", "_matches", "_prefix", "_body", *columns])
     return run
 
 
@@ -154,7 +187,7 @@ class _Bodies(OrderedDict):
 def _verify(words: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Bodies(words)
-        for b in batches:
+        for b in few_rows(batches):
             keep = []
             for y, x, by, bx in zip(*(b.column(c).to_pylist() for c in ("y", "x", "_by", "_bx"))):
                 one, other = held.of(y, by), held.of(x, bx)
@@ -177,30 +210,40 @@ def linked_sets(classes: DataFrame, words: int, percent: int) -> DataFrame:
     posts = materialise(classes.select("_set", "_n", "_matches", F.explode("_prefix").alias("_token"))
                         .join(shared, "_token"), "posts")
 
-    def links(pairs: DataFrame) -> DataFrame:
+    def maps(name: str, suffix: str) -> DataFrame:
+        return classes.select(F.col("_set").alias(name), *[F.col(c).alias(c + suffix) for c in ("_n", *map_columns(percent))])
+
+    def links(pairs: DataFrame, checked: bool = False) -> DataFrame:
+        """The pairs that link.  Sizes and maps rule out most of the others before any text is moved."""
+        if not checked:
+            pairs = pairs.join(maps("x", "1"), "x").join(maps("y", "2"), "y").where(_may_link("1", "2", percent))
         pairs = materialise(pairs.select("x", "y"), "pairs")
         left = pairs.join(classes.select(F.col("_set").alias("x"), F.col("_body").alias("_bx")), "x")
         right = pairs.select("y").distinct().join(classes.select(F.col("_set").alias("y"), F.col("_body").alias("_by")), "y")
         return materialise(left.join(right, "y").select("x", "y", "_bx", "_by").mapInArrow(
             _verify(words, percent), "a long, b long"), "links")
 
-    hub = [F.min(F.struct(F.xxhash64(F.lit(s), "_set").alias("p"), F.col("_set").alias("y"), F.col("_n").alias("m"))).alias(f"h{s}")
+    hub = [F.min(F.struct(F.xxhash64(F.lit(s), "_set").alias("p"), F.col("_set").alias("y"), F.col("_n").alias("m"), F.col("_matches").alias("l"))).alias(f"h{s}")
            for s in (1, 2)]
     hubs = posts.groupBy("_token").agg(*hub).select("_token", F.explode(F.array("h1", "h2")).alias("h"))
     near = posts.join(hubs, "_token").where((F.col("_set") != F.col("h.y")) & _fits(F.col("_n"), F.col("h.m"), percent))
-    first = links(near.select(F.least("_set", "h.y").alias("x"), F.greatest("_set", "h.y").alias("y")).distinct())
+    met = near.groupBy(F.least("_set", "h.y").alias("x"), F.greatest("_set", "h.y").alias("y")).agg(
+        F.count(F.lit(1)).alias("_met"), F.first(F.least("_matches", "h.l")).alias("_least"))
+    first = links(met.where("_met >= _least"))
     groups = components(first)
 
     named = posts.join(groups.withColumnRenamed("node", "_set"), "_set", "left").withColumn("_root", F.coalesce("root", "_set"))
     mixed = named.groupBy("_token").agg(F.min("_root").alias("lo"), F.max("_root").alias("hi")).where("lo <> hi").select("_token")
     # a set alone in a list against every other, two sets of one component never
-    apart = materialise(named.join(mixed, "_token").select("_token", "_set", "_n", "_matches", "_root"), "apart")
-    one, other = (apart.select("_token", *[F.col(c).alias(c + s) for c in ("_set", "_n", "_matches", "_root")]) for s in "12")
+    kept = ("_set", "_n", "_matches", "_root", *map_columns(percent))
+    apart = materialise(named.join(mixed, "_token").select("_token", "_set", "_matches", "_root").join(
+        maps("_set", ""), "_set").select("_token", *kept), "apart")
+    one, other = (apart.select("_token", *[F.col(c).alias(c + s) for c in kept]) for s in "12")
     meets = one.join(other, "_token").where(
-        (F.col("_set1") < F.col("_set2")) & (F.col("_root1") != F.col("_root2")) & _fits(F.col("_n1"), F.col("_n2"), percent))
+        (F.col("_set1") < F.col("_set2")) & (F.col("_root1") != F.col("_root2")) & _may_link("1", "2", percent))
     pairs = meets.groupBy("_set1", "_set2").agg(
         F.count(F.lit(1)).alias("_met"), F.first(F.least("_matches1", "_matches2")).alias("_least")).where("_met >= _least")
-    second = links(pairs.select(F.col("_set1").alias("x"), F.col("_set2").alias("y")))
+    second = links(pairs.select(F.col("_set1").alias("x"), F.col("_set2").alias("y")), checked=True)
     return components(first.union(second))
 
 
@@ -213,12 +256,14 @@ def with_component(docs: DataFrame, words: int = 5, percent: int = 80, text: str
     sets = passed.where("_part is null").select("_id", "_n", "_set")
     excess = spark.sparkContext.broadcast(frequencies(passed.where("_part is not null").select("_part", "_task", "_counts")))
     distinct = rows.select("_text").mapInArrow(
-        _prefixes(words, percent, excess), "_set long, _n long, _matches int, _prefix array<long>, _body binary"
-    ).groupBy("_set").agg(*[F.first(c).alias(c) for c in ("_n", "_matches", "_prefix", "_body")])
+        _prefixes(words, percent, excess),
+        "_set long, _n long, _matches int, _prefix array<long>, _body binary, " + ", ".join(f"{p} long" for p in map_columns(percent))
+    ).groupBy("_set").agg(*[F.first(c).alias(c) for c in ("_n", "_matches", "_prefix", "_body", *map_columns(percent))])
     # laid out by set, so that texts join candidates where they lie
-    name = scratch_name("text_sets")
+    path = scratch_path(spark, "text-sets")
+    name = table_name(path)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    distinct.write.bucketBy(buckets, "_set").option("path", scratch_path(spark, "text-sets")).saveAsTable(name)
+    distinct.write.bucketBy(buckets, "_set").option("path", path).saveAsTable(name)
     groups = linked_sets(spark.table(name), words, percent)
     lowest = sets.where("_set is not null").groupBy("_set").agg(F.min("_id").alias("_low"))
     rooted = lowest.join(groups.withColumnRenamed("node", "_set"), "_set", "left").select(
@@ -234,7 +279,8 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     Rows without words and rows without an id are all kept, equal ones included.
     """
     found = with_component(docs, words, percent)
-    first = found.where("n_shingles > 0 and doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
+    first = found.where("n_shingles > 0").groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("_n"), F.bool_or(F.col("doc_id") == F.col("component_id")).alias("_first")).where("_first")
     rows = docs.select(F.struct(*docs.columns).alias("_doc"), F.col("doc_id").alias("_id"))
     wordless = F.coalesce(F.regexp_count("_doc.text", F.lit(WORD)), F.lit(0)) == 0
     kept = rows.join(first.withColumnRenamed("doc_id", "_id"), "_id").where(~wordless)

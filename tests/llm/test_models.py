@@ -129,13 +129,23 @@ def test_prefixes_lose_no_match():
     for trial in range(60):
         a = np.unique(random.integers(0, 1 << 63, 100, dtype=np.uint64))
         b = np.unique(np.concatenate([a[random.random(len(a)) < 0.95], random.integers(0, 1 << 63, trial % 8, dtype=np.uint64)]))
-        excess[(random.choice(a, 60) >> np.uint64(44)).astype(int)] = random.integers(0, 5000, 60)
+        excess[(random.choice(a, 60) >> np.uint64(64 - jaccard_join.CELL_BITS)).astype(int)] = random.integers(0, 5000, 60)
         (pa, la), (pb, lb) = (jaccard_join.prefix(x, excess, 90) for x in (a, b))
         both = len(np.intersect1d(a, b))
         if 100 * both >= 90 * (len(a) + len(b) - both):
             assert len(np.intersect1d(pa, pb)) >= min(la, lb)
 
 
+def test_parity_maps_never_exceed_the_difference():
+    random = np.random.default_rng(5)
+    for n in (1, 5, 100, 3000):
+        a = np.unique(random.integers(0, 1 << 63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[random.random(len(a)) < 0.9], random.integers(0, 1 << 63, n // 10, dtype=np.uint64)]))
+        bits = sum((x ^ y).bit_count() if x ^ y >= 0 else ((x ^ y) & (1 << 64) - 1).bit_count()
+                   for x, y in zip(jaccard_join.parity_map(a, 4), jaccard_join.parity_map(b, 4)))
+        assert bits <= len(np.setxor1d(a, b))
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, j) for j in range(101, 160)] + [(300, 200), (7, 7)]
     found = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
