@@ -20,6 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyloom.operators.ordering import with_position
+from tallyloom.workspace import materialise
 
 UNIT_BITS = 20
 WORD = r"[^\x20\x09-\x0D]+"
@@ -91,6 +92,7 @@ def mix_sources(docs: DataFrame, seed: str = "mix", cap: int = 3) -> DataFrame:
 
 def mix_report(docs: DataFrame, seed: str = "mix") -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken."""
-    narrow = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("hash"))
+    narrow = materialise(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
+                                     F.xxhash64("text").alias("hash")), "sizes")  # the texts are read once
     return with_copies(narrow, F.col("size"), F.col("source"), F.struct("doc_id", "hash"), seed).select(
         "_doc.doc_id", F.col("_size").alias("size"), "source_size", "target", (F.col("_copies") * F.col("_size")).alias("taken"))
