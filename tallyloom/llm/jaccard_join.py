@@ -52,7 +52,7 @@ PART_BITS = 14  # counters in one row while they are added up
 MATCHES = (1, 2, 4, 8, 16, 32)
 LENGTHEN = 0.25  # the share by which a prefix may grow
 USUAL = 0.5  # other sets that a rare shingle is taken to lead to
-MAP_ROWS = 1_000  # shingles of a set up to which parity maps rule out unrelated sets
+MAP_ROWS = 2_000  # shingles of a set up to which parity maps rule out unrelated sets
 CHECK_COST = 20.0  # of verifying a pair, in posting rows read
 
 
