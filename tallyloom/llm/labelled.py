@@ -41,6 +41,6 @@ def sample_features(docs: DataFrame, labels: DataFrame, label: str,
     rows = (docs.select(F.col("doc_id").alias("_doc"), F.col("text").alias("_text"))
             .join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).select("_id", "_label", "_text")
             .mapInArrow(run, "_id long, _label int, _features binary").limit(2 * most).toArrow())
-    rows = rows.sort_by([("_id", "ascending"), ("_label", "ascending")])
-    return ([np.frombuffer(x, "<u4") for x in rows.column("_features").to_pylist()],
-            rows.column("_label").to_numpy())
+    order = np.lexsort((rows.column("_label").to_numpy(), rows.column("_id").to_numpy()))
+    features_of = rows.column("_features")
+    return [np.frombuffer(features_of[int(i)].as_buffer(), "<u4") for i in order], rows.column("_label").to_numpy()[order]
