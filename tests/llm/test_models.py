@@ -11,7 +11,7 @@ import corpus_pipeline
 from tallyloom.llm import jaccard_join, lm_scoring, quality, toxicity
 from tallyloom.llm.components import components
 from tallyloom.llm.queries import QUERIES
-from tallyloom.llm.recurrent import GatedModel, Streams, lanes
+from tallyloom.llm.recurrent import GatedModel, Slices, Streams, lanes
 from tests.llm.conftest import LONG
 
 MIDDLE = "/root/testdata/sf0.01"
@@ -253,6 +253,24 @@ def test_gradients():
         assert abs(ratio / scale - 1) < 0.02
 
 
+def test_slices_hold_every_token_once():
+    sizes = np.array([3, 4000, 1, 500])
+    slices = Slices(np.zeros(4504, int), np.zeros(4504, int), sizes, 64)
+    found = np.concatenate([p.ravel() for p in slices.windows(24)])
+    assert sorted(found[found >= 0]) == list(range(4504))
+    assert np.ptp(np.diff(slices.edges)) <= 1
+
+
+def test_tails_of_long_texts_are_learned(spark):
+    random = np.random.default_rng(6)
+    held = [zlib.crc32(str(d).encode()) % 7 == 2 for d in range(100)]
+    ring = " ".join(f"q{i % 10}" for i in range(60_000))
+    long = " ".join(f"p{i}" for i in random.integers(0, 200, 165_000)) + " " + ring
+    rows = [(held.index(False), long), (held.index(True), " ".join(f"q{i % 10}" for i in range(500)))]
+    found = lm_scoring.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).where("held_out").first()
+    assert found.n_known == found.n_tokens == 501 and found.score > found.base_score
+
+
 def test_pipeline(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "toxicity", "n-gram Jaccard join",
                                                       "mixing sources to target weights", "best-fit packing"]
