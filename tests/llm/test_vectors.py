@@ -98,3 +98,35 @@ def test_cells_keep_their_size():
     assert (cells.probes(data[:10])[:, :, 0] >= 0).all() and codes.shape == (2000, ann.TABLES)
     turned = ann.hadamard(data[:5])
     assert np.allclose(np.linalg.norm(turned, axis=1), np.linalg.norm(data[:5], axis=1))
+
+
+def _simulated(data, queries, k=20):
+    """Recall of the chosen tables and probes for other queries, and the share of rows they visit."""
+    longest = float(np.linalg.norm(data, axis=1).max())
+    band = ann._band_of(np.linalg.norm(data, axis=1), longest)
+    sizes = {int(b): (int((band == b).sum()), float(np.linalg.norm(data[band == b], axis=1).max())) for b in np.unique(band)}
+
+    def true(asked):
+        score = data[asked] @ data.T
+        score[np.arange(len(asked)), asked] = -np.inf
+        return np.argsort(-score, axis=1)[:, :k]
+
+    tried = np.arange(100)
+    bands = ann.chosen(ann.Bands(data.shape[1], longest, sizes), data[tried], np.repeat(tried, k), data[true(tried).ravel()])
+    codes, seen = bands.of(data)[1], np.zeros((len(queries), len(data)), bool)
+    for b, cells in bands.cells.items():
+        looked, mine = cells.probes(data[queries]), np.flatnonzero(band == b)
+        for i in range(len(queries)):
+            for t in range(bands.tables):
+                seen[i, mine] |= np.isin(codes[mine, t], looked[i, t])
+    return np.take_along_axis(seen, true(queries), 1).mean(), seen.mean()
+
+
+@pytest.mark.parametrize(("factor", "cell"), [(1, 20), (20, ann.CELL)])
+def test_recall_where_few_rows_are_visited(monkeypatch, factor, cell):
+    monkeypatch.setattr(ann, "CELL", cell)  # small cells: as many as a table 16 times as large has
+    data = np.random.default_rng(8).standard_normal((40_000, 32))
+    data /= np.linalg.norm(data, axis=1)[:, None]
+    data[500] *= factor  # one vector many times longer
+    recall, visited = _simulated(data, np.arange(1000, 1040))
+    assert recall >= 0.95 and visited < 0.75
