@@ -5,7 +5,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tallyloom.llm import ann, jaccard_join, lm_scoring, mixing, packing, quality, sharding, token_cache, topk_join, toxicity
+from tallyloom.llm import (
+    ann,
+    jaccard_join,
+    lm_scoring,
+    mixing,
+    packing,
+    quality,
+    sharding,
+    suffix_dedup,
+    token_cache,
+    topk_join,
+    toxicity,
+)
 from tallyloom.llm.registry import QUERIES, STATEMENTS, query, table  # noqa: F401
 
 _OP1 = """
@@ -109,3 +121,25 @@ def op7_toxicity(spark, sf_dir):
 @query("op10_lm_score")
 def op10_lm_score(spark, sf_dir):
     return lm_scoring.score_texts(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+_OP11 = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+p AS (SELECT r, unnest(range(0, octet_length(b) - 199)) AS i,
+  unnest(list_transform(range(0, octet_length(b) - 199), lambda i: md5(array_slice(b, i + 1, i + 200)))) AS k FROM d),
+w AS (SELECT r, i, count(*) OVER (PARTITION BY k) AS n FROM p),
+m AS (SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 200 THEN 0 ELSE 1 END AS opens FROM w WHERE n > 1),
+g AS (SELECT r, i, sum(opens) OVER (PARTITION BY r ORDER BY i) AS g FROM m),
+s AS (SELECT r, min(i) AS s, max(i) + 200 AS e FROM g GROUP BY r, g),
+o AS (SELECT r, s, e, coalesce(lag(e) OVER (PARTITION BY r ORDER BY s), 0) AS done FROM s),
+k AS (SELECT o.r, sum(e - s)::BIGINT AS n_removed, count(*)::BIGINT AS n_spans, max(e) AS done,
+  string_agg(hex(array_slice(b, done + 1, s)), '' ORDER BY s) AS kept FROM o JOIN d ON o.r = d.r GROUP BY o.r)
+SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept, '') || hex(array_slice(b, coalesce(done, 0) + 1, octet_length(b))))) AS kept_sha256
+FROM d LEFT JOIN k ON d.r = k.r
+"""
+
+
+@query("op11_suffix_dedup", _OP11)
+def op11_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.repeat_report(table(spark, sf_dir, "documents", "doc_id", "text"))
