@@ -66,9 +66,13 @@ def anchors(data: np.ndarray, ends: np.ndarray) -> Anchors:
         grams = _grams(part)
         # ties go to the left: the place stands below the hash
         least = _least((grams & ~_PLACE) | np.arange(len(grams), dtype=np.uint64))
-        start = begin + np.arange(len(least))
-        inside = start + WINDOW <= ends[np.searchsorted(ends, start, side="right")]
-        start, place = start[inside], (least[inside] & _PLACE).astype(np.int64)
+        low, high = np.searchsorted(ends, (begin, begin + len(least) - 1), side="right")
+        stops = np.minimum(ends[low: high + 1] - begin, len(least))
+        room = np.maximum(ends[low: high + 1] - begin - WINDOW + 1, 0)  # windows end inside their text
+        own = np.diff(stops, prepend=0)
+        inside = np.arange(len(least)) < np.repeat(room, own)
+        start = np.flatnonzero(inside) + begin
+        place = (least[inside] & _PLACE).astype(np.int64)
         new = np.flatnonzero(np.diff(place, prepend=-1))
         if len(new):
             stop = np.append(new[1:], len(place)) - 1
