@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 from tallyloom.llm.front_coding import WINDOW, Anchors, anchors, opened, page, repeated_windows, sorted_run
 from tallyloom.workspace import materialise, scratch_path, table_name
 
-BLOCK = 8 << 20
-PART = 24 << 20
+BLOCK = 4 << 20
+PART = 8 << 20
 SUFFIX = 270  # bytes of an anchor's suffix and of what stands before it, on average
 SEEN = 200_000  # digests a task remembers
 
@@ -133,7 +133,7 @@ def _cut(bodies: bool):
             start = block.begins[ranges.column("_text").to_numpy()] if ranges.num_rows else np.zeros(0, np.int64)
             np.add.at(depth, start + ranges.column("_from").to_numpy(), 1)
             np.add.at(depth, start + ranges.column("_to").to_numpy(), -1)
-            gone = np.cumsum(depth[:-1]) > 0
+            gone = np.cumsum(depth, out=depth)[:-1] > 0
             for key, n, begin, end in zip(block.table.column("_digest").to_pylist(), block.table.column("_n").to_pylist(),
                                           block.begins.tolist(), block.ends.tolist()):
                 own = gone[begin:end] if n < 2 or end - begin < WINDOW else np.ones(end - begin, bool)
@@ -180,7 +180,7 @@ def distinct_cut(docs: DataFrame, text: str = "text", bodies: bool = False) -> D
     by_block = texts.groupBy("_block")
     pages = by_block.cogroup(live.select("_block", "_gram").groupBy("_block")).applyInArrow(
         _pages(parts), "_part long, _block long, _page binary")
-    ranges = pages.groupBy("_part").applyInArrow(_repeats, "_block long, _text long, _from long, _to long")
+    ranges = pages.repartition(parts, "_part").groupBy("_part").applyInArrow(_repeats, "_block long, _text long, _from long, _to long")
     schema = "_digest binary, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept_sha256 string"
     return texts.groupBy("_block").cogroup(ranges.groupBy("_block")).applyInArrow(
         _cut(bodies), schema + (", kept binary" if bodies else ""))
