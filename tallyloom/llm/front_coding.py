@@ -108,7 +108,7 @@ def common_prefixes(ordered: list[bytes]) -> np.ndarray:
 def sorted_run(data: np.ndarray, begins: np.ndarray, texts: np.ndarray, found: Anchors) -> Run:
     """The anchors' suffixes in order; ``texts`` are their texts, which begin at ``begins``."""
     raw = data.tobytes()
-    heads = found.gram.astype(">u8").tobytes()
+    heads = (found.gram * _ODD).astype(">u8").tobytes()  # anchors have small hashes; these are evenly spread
     suffixes = [heads[HEAD * i: HEAD * i + HEAD] + raw[a: e] for i, (a, e) in enumerate(
         zip(found.at.tolist(), (found.last + WINDOW).tolist()))]
     order = sorted(range(len(suffixes)), key=suffixes.__getitem__)
