@@ -17,6 +17,7 @@ from tallyloom.llm import (
     token_cache,
     topk_join,
     toxicity,
+    whitening,
 )
 from tallyloom.llm.registry import QUERIES, STATEMENTS, query, table  # noqa: F401
 
@@ -143,3 +144,8 @@ FROM d LEFT JOIN k ON d.r = k.r
 @query("op11_suffix_dedup", _OP11)
 def op11_suffix_dedup(spark, sf_dir):
     return suffix_dedup.repeat_report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op12_whitening")
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), 8)
