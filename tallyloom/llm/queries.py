@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm import (
     ann,
+    hard_negatives,
     jaccard_join,
     lm_scoring,
     mixing,
@@ -149,3 +150,28 @@ def op11_suffix_dedup(spark, sf_dir):
 @query("op12_whitening")
 def op12_whitening(spark, sf_dir):
     return whitening.whiten(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), 8)
+
+
+_OP13 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS c FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS anchor_id, o.vec_id, q.label = o.label AS alike,
+    list_sum(list_transform(list_zip(q.c, o.c), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v q JOIN v o ON q.vec_id % 50 = 0 AND o.vec_id <> q.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)::INT AS rank
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.alike
+    AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
+
+@query("op13_hard_negatives", _OP13)
+def op13_hard_negatives(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", shifted), F.col("_id") % 50 == 0)
