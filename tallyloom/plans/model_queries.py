@@ -426,3 +426,53 @@ def effects_compare(spark: SparkSession, d: str) -> DataFrame:
                             ["factor", "level"], "effect", "effect")
     return same.select("factor", "levels", F.round("correlation", 4).alias("correlation"),
                        F.round("largest_difference", 2).alias("largest_difference"))
+
+
+def _mixed_sql(passes: int) -> str:
+    """The passes of the mixed model written out: effects of each factor, its variance, then level, slope and noise."""
+    steps = ["""means as (
+  select avg(o_totalprice / 1000) as my, avg((o_orderstatus = 'F')::int) as mx from orders join customer on o_custkey = c_custkey),
+cells as (
+  select c_mktsegment, c_nationkey, o_orderpriority, count(*) as n, sum(y) as y, sum(x) as x, sum(y * y) as yy, sum(x * x) as xx,
+         sum(x * y) as xy
+  from (select c_mktsegment, c_nationkey, o_orderpriority, o_totalprice / 1000 - my as y, (o_orderstatus = 'F')::int - mx as x
+        from orders join customer on o_custkey = c_custkey cross join means) group by 1, 2, 3),
+p0 as (select 0.0::double as m, 0.0::double as b, sum(yy) / sum(n) / 4 as noise from cells)"""]
+    steps += [f"v0_{f} as (select noise as v from p0)" for f in FACTORS]
+    latest: dict[str, str] = {}
+    for k in range(1, passes + 1):
+        for factor in FACTORS:
+            others = [f for f in FACTORS if f != factor and f in latest]
+            joins = "".join(f" join {latest[f]} on cells.{f} = {latest[f]}.{f}" for f in others)
+            expected = " + ".join(["m", *[f"{latest[f]}.effect" for f in others]])
+            name = f"e{k}_{factor}"
+            steps.append(f"""{name} as (
+  select {factor}, size, excess / (size + noise / v) as effect, noise / (size + noise / v) as width
+  from (select cells.{factor}, sum(n) as size, sum(y - b * x - n * ({expected})) as excess
+        from cells cross join p{k - 1}{joins} group by 1) cross join p{k - 1} cross join v{k - 1}_{factor})""")
+            steps.append(f"v{k}_{factor} as (select avg(effect * effect + width) as v from {name})")
+            latest[factor] = name
+        joins = "".join(f" join {latest[f]} on cells.{f} = {latest[f]}.{f}" for f in FACTORS)
+        offset = " + ".join(f"{latest[f]}.effect" for f in FACTORS)
+        widths = " + ".join(f"(select sum(size * width) from {latest[f]})" for f in FACTORS)
+        steps.append(f"""left{k} as (
+  select sum(n) as n, sum(y - n * o) as y, sum(x) as x, sum(xx) as xx, sum(xy - x * o) as xy, sum(yy - 2 * o * y + n * o * o) as yy
+  from (select cells.*, {offset} as o from cells{joins})),
+fit{k} as (select *, (n * xy - x * y) / (n * xx - x * x) as b from left{k}),
+p{k} as (
+  select (y - b * x) / n as m, b,
+    (yy - 2 * (y - b * x) / n * y - 2 * b * xy + pow((y - b * x) / n, 2) * n + 2 * (y - b * x) / n * b * x + b * b * xx + {widths}) / n as noise
+  from fit{k})""")
+    terms = [f"select 'intercept' as term, my + m - b * mx as estimate from p{passes}, means", f"select 'slope', b from p{passes}",
+             *[f"select 'variance {f}', v from v{passes}_{f}" for f in FACTORS], f"select 'variance residual', noise from p{passes}"]
+    return "with " + ",\n".join(steps) + "\nselect term, round(estimate, 3) as estimate from (" + " union all ".join(terms) + ")"
+
+
+@query("group_effects_variance", _mixed_sql(3))
+def group_effects_variance(spark: SparkSession, d: str) -> DataFrame:
+    """Variances of three crossed factors of order prices, besides a level and the slope of a finished order."""
+    rows = read_table(spark, d, "orders", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderstatus").join(
+        read_table(spark, d, "customer", "c_custkey", "c_mktsegment", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    fit = effects.mixed_model(rows, FACTORS, F.col("o_totalprice") / 1000, (F.col("o_orderstatus") == "F").cast("int"),
+                              passes=3, tolerance=0)
+    return fit.terms.withColumn("estimate", F.round("estimate", 3))

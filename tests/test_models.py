@@ -111,3 +111,47 @@ def test_backfitted_effects_against_a_loop(spark):
         at = keys[row["factor"]] == row["level"]
         assert row["n"] == at.sum()
         assert row["effect"] == pytest.approx(current[row["factor"]][at][0])
+
+
+def _planted(spark, seed=5, rows=6000):
+    rng = np.random.default_rng(seed)
+    a, b = rng.integers(0, 60, rows), rng.integers(0, 50, rows)
+    u, v = rng.normal(0, 2.0, 60), rng.normal(0, 1.0, 50)
+    x = rng.integers(0, 2, rows)
+    y = 1000 + 1.5 * x + u[a] + v[b] + rng.normal(0, 0.7, rows)
+    df = spark.createDataFrame([(int(p), f"b{q}", int(r), float(s)) for p, q, r, s in zip(a, b, x, y)], "a int, b string, x int, y double")
+    return df, u, v
+
+
+def test_mixed_model_recovers_planted_variances(spark):
+    df, u, v = _planted(spark)
+    fit = effects.mixed_model(df.repartition(3), ["a", "b"], F.col("y"), F.col("x"))
+    found = {r["term"]: r["estimate"] for r in fit.terms.collect()}
+    assert fit.passes < 50
+    assert found["slope"] == pytest.approx(1.5, abs=0.08)
+    assert found["variance a"] == pytest.approx(u.var(), rel=0.1)
+    assert found["variance b"] == pytest.approx(v.var(), rel=0.1)
+    assert found["variance residual"] == pytest.approx(0.49, rel=0.05)
+    assert found["intercept"] == pytest.approx(1000 + u.mean() + v.mean(), abs=0.3)
+    rows = {(r["factor"], r["level"]): r for r in fit.levels.collect()}
+    assert len(rows) == 110 and sum(r["n"] for k, r in rows.items() if k[0] == "a") == 6000
+    assert np.corrcoef([rows["a", str(i)]["effect"] for i in range(60)], u)[0, 1] > 0.99
+    assert all(0 < r["deviation"] < 0.3 for r in rows.values())
+
+
+def test_mixed_model_sees_no_effect_where_there_is_none(spark):
+    df, _, _ = _planted(spark)
+    shuffled = df.withColumn("a", (F.xxhash64("y", "x") % 60).cast("int"))
+    found = {r["term"]: r["estimate"] for r in effects.mixed_model(shuffled, ["a"], F.col("y"), F.col("x")).terms.collect()}
+    assert found["variance a"] < 0.05 * found["variance residual"]
+
+
+def test_mixed_model_edges(spark):
+    rows = [("p", 1.0, 0), ("p", 2.0, 0), (None, 5.0, 0), (None, 6.0, 0), ("q", None, 0), ("q", 3.0, None)]
+    df = spark.createDataFrame(rows, "a string, y double, x int")
+    fit = effects.mixed_model(df, ["a"], F.col("y"), F.col("x"), passes=5)
+    assert {r["level"]: r["n"] for r in fit.levels.collect()} == {"p": 2, None: 2}
+    assert {r["term"]: r["estimate"] for r in fit.terms.collect()}["slope"] == 0  # x never changes
+    assert effects.mixed_model(df.where("y > 99"), ["a"], F.col("y"), F.col("x")) is None
+    same = effects.mixed_model(df.withColumn("y", F.lit(2.0)), ["a"], F.col("y"), F.lit(1))
+    assert all(abs(r["estimate"]) < 1e-9 or r["term"] == "intercept" for r in same.terms.collect())
