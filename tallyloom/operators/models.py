@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import math
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-BLOCK_CELLS = 1_000_000
+from tallyloom.workspace import materialise
+
+BLOCK_CELLS = 1_000_000  # weights of a block of a model
+BLOCK_ROWS = 4096  # rows of a block, at least
 
 
 def ols(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -149,71 +153,65 @@ def centroids(df: DataFrame, array: str, label: str) -> DataFrame:
         vector_to_array(Summarizer.mean(F.col("features"))).alias("weights"))
 
 
-def _class_blocks(weights: DataFrame, label: str) -> Iterator[tuple[pa.Array, np.ndarray]]:
-    """The classes in label order, as many at a time as have ``BLOCK_CELLS`` weights."""
-    kind = to_arrow_type(weights.schema[label].dataType)
-    names, rows = [], []
-    for row in weights.select(label, "weights").orderBy(label).toLocalIterator():
-        names.append(row[label])
-        rows.append(row["weights"])
-        if sum(map(len, rows[-1:])) * len(rows) >= BLOCK_CELLS:
-            yield pa.array(names, kind), np.array(rows, dtype="float64")
-            names, rows = [], []
-    if names:
-        yield pa.array(names, kind), np.array(rows, dtype="float64")
-
-
-def _usable_rows(vectors: pa.Array, width: int) -> np.ndarray:
-    """Places of the vectors that have ``width`` numbers and no null."""
-    sizes = np.asarray(pc.fill_null(pc.list_value_length(vectors), -1))
-    right = np.flatnonzero(sizes == width)
-    holes = np.asarray(pc.is_null(pc.list_flatten(vectors.take(pa.array(right)))))
-    return right[~holes.reshape(len(right), width).any(axis=1)]
-
-
-def _score_block(array: str, k: int, shared):
-    """Merge the best classes of one block into the best found so far."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labels, weights = shared.value
-        for batch in batches:
-            vectors = batch.column(array)
-            rows = _usable_rows(vectors, weights.shape[1])
-            x = np.asarray(pc.list_flatten(vectors.take(pa.array(rows)))).astype("float64").reshape(len(rows), weights.shape[1])
-            scores = x @ weights.T
-            places = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-            before = pc.list_flatten(batch.column("top").take(pa.array(rows)))
-            held = len(before) // max(1, len(rows))
-            # those found before come first, so that lower labels win ties
-            names = pa.concat_arrays([before.field("label"), labels.take(pa.array(places.ravel()))])
-            values = np.concatenate([np.asarray(before.field("score")).reshape(len(rows), held),
-                                     np.take_along_axis(scores, places, axis=1)], axis=1)
-            at = np.concatenate([np.arange(len(rows) * held).reshape(len(rows), held),
-                                 len(rows) * held + np.arange(places.size).reshape(places.shape)], axis=1)
-            order = np.argsort(-values, axis=1, kind="stable")[:, :k]
-            each = order.shape[1]
-            found = pa.StructArray.from_arrays(
-                [names.take(pa.array(np.take_along_axis(at, order, axis=1).ravel())),
-                 pa.array(np.take_along_axis(values, order, axis=1).ravel())], ["label", "score"])
-            usable = np.zeros(batch.num_rows, bool)
-            usable[rows] = True
-            offsets = np.concatenate([[0], np.cumsum(np.where(usable, each, 0))]).astype("int32")
-            top = pa.ListArray.from_arrays(pa.array(offsets), found, mask=pa.array(~usable))
-            yield batch.set_column(batch.schema.get_field_index("top"), "top", top)
+def _block_product(width: int, k: int, kind: pa.DataType):
+    """The ``k`` best classes of one block of the model for each row of one block of rows."""
+    found = pa.struct([("worse", pa.float64()), ("label", kind)])
+
+    def run(rows: pa.Table, model: pa.Table) -> pa.Table:
+        if not rows.num_rows or not model.num_rows:
+            return pa.table({"_row": pa.array([], pa.int64()), "_best": pa.array([], pa.list_(found))})
+        # in label order, so that lower labels win ties
+        model = model.take(pc.sort_indices(model, sort_keys=[("_label", "ascending")], null_placement="at_start"))
+        x, w = (np.asarray(pc.list_flatten(t.column(c).combine_chunks())).reshape(-1, width)
+                for t, c in ((rows, "_vector"), (model, "_weights")))
+        scores = x @ w.T
+        places = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+        best = pa.StructArray.from_arrays(
+            [pa.array(-np.take_along_axis(scores, places, axis=1).ravel()),
+             model.column("_label").combine_chunks().take(pa.array(places.ravel()))], fields=list(found))
+        ends = np.arange(len(x) + 1, dtype="int32") * places.shape[1]
+        return pa.table({"_row": rows.column("_row"), "_best": pa.ListArray.from_arrays(pa.array(ends), best)})
     return run
 
 
 def top_classes(df: DataFrame, array: str, weights: DataFrame, label: str, k: int = 1) -> DataFrame:
     """Add ``top``: the ``k`` best classes of a linear model per row, best first, lower label on ties.
 
-    ``weights`` has a ``label`` of any type and its ``weights``.  The model is
-    applied block by block, so neither the driver nor a task holds more than
-    one block of it, whatever its size.  A vector that is null, holds a null
-    or has another length than the model gets a null.
+    ``weights`` has a ``label`` of any type and its ``weights``, all of one
+    length.  Rows and model are cut into blocks, every pair of blocks meets in
+    one task that multiplies them, and a row's best classes of all blocks are
+    merged.  No part of the model passes through the driver, and the plan is
+    the same for any number of classes.  A vector that is null, holds a null
+    or has another length than the model gets a null; a model without classes
+    gives every row an empty array.
     """
     kind = weights.schema[label].dataType
     top = T.ArrayType(T.StructType([T.StructField("label", kind), T.StructField("score", T.DoubleType())]))
-    out = df.drop("top").withColumn("top", F.array().cast(top))
-    schema = T.StructType([*out.schema.fields[:-1], T.StructField("top", top)])
-    for block in _class_blocks(weights, label):
-        out = out.mapInArrow(_score_block(array, k, df.sparkSession.sparkContext.broadcast(block)), schema)
-    return out
+    names = [c for c in df.columns if c != "top"]
+    model = materialise(weights.select(
+        F.col(label).alias("_label"), F.col("weights").cast("array<double>").alias("_weights")), "model")
+    classes, width = model.agg(F.count(F.lit(1)), F.max(F.size("_weights"))).first()
+    if not classes:
+        return df.select(*names, F.array().cast(top).alias("top"))
+    rows = materialise(df.select(F.struct(*names).alias("_doc"), F.monotonically_increasing_id().alias("_row")), "rows")
+    vector = F.col("_doc").getField(array)
+    usable = (F.size(vector) == width) & ~F.exists(vector, lambda x: x.isNull())
+    vectors = rows.where(usable).select("_row", vector.cast("array<double>").alias("_vector"))
+    cuts = max(1, math.ceil(classes * width / BLOCK_CELLS))
+    # a row travels once per block of the model, the model no more often than makes as many rows
+    parts = max(1, math.ceil(rows.count() / max(BLOCK_ROWS, math.ceil(classes / cuts))))
+
+    def numbers(count: int) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long")))
+
+    left = vectors.withColumn("_part", F.pmod(F.xxhash64("_row"), F.lit(parts))).withColumn("_cut", numbers(cuts))
+    right = model.withColumn("_cut", F.pmod(F.xxhash64("_label"), F.lit(cuts))).withColumn("_part", numbers(parts))
+    schema = T.StructType([T.StructField("_row", T.LongType()), T.StructField("_best", T.ArrayType(
+        T.StructType([T.StructField("worse", T.DoubleType()), T.StructField("label", kind)])))])
+    found = left.groupBy("_part", "_cut").cogroup(right.groupBy("_part", "_cut")).applyInArrow(
+        _block_product(width, k, to_arrow_type(kind)), schema)
+    if cuts > 1:
+        found = found.groupBy("_row").agg(F.slice(F.sort_array(F.flatten(F.collect_list("_best"))), 1, k).alias("_best"))
+    best = F.transform("_best", lambda s: F.struct(s["label"].alias("label"), (-s["worse"]).alias("score")))
+    return rows.join(found, "_row", "left").select(
+        *[F.col("_doc").getField(c).alias(c) for c in names], best.cast(top).alias("top"))

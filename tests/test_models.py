@@ -58,6 +58,26 @@ def test_top_classes_of_any_model_size(spark, monkeypatch, cells, kind):
     assert [r["top"] for r in models.top_classes(df.where("id < 4"), "v", weights.limit(0), "c", 9).collect()] == [[]] * 3
 
 
+def test_block_product_has_one_python_stage_and_is_brute_force(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x, w = rng.normal(size=(120, 4)).round(1), rng.normal(size=(30, 4)).round(1)
+    df = spark.createDataFrame([(i, [float(v) for v in r], "kept") for i, r in enumerate(x)], "id int, v array<float>, _row string").repartition(5)
+    weights = spark.createDataFrame([(f"c{i:02}", [float(v) for v in r]) for i, r in enumerate(w)], "c string, weights array<double>")
+    plans = []
+    for cells, rows in ((1_000_000, 4096), (8, 4096), (8, 7)):
+        monkeypatch.setattr(models, "BLOCK_CELLS", cells)
+        monkeypatch.setattr(models, "BLOCK_ROWS", rows)
+        best = models.top_classes(df, "v", weights, "c", 3)
+        plans.append(best._jdf.queryExecution().executedPlan().toString())
+        for r in best.collect():
+            scores = np.array([sum(np.float64(np.float32(a)) * b for a, b in zip(x[r["id"]], q)) for q in w])
+            order = sorted(range(30), key=lambda i: (-scores[i].round(9), i))[:3]
+            assert [t["score"] for t in r["top"]] == pytest.approx([scores[i] for i in order])
+            assert r["_row"] == "kept"
+    for plan in plans:
+        assert plan.count("FlatMapCoGroupsInArrow") == 1 and "MapInArrow" not in plan.replace("FlatMapCoGroupsInArrow", "")
+
+
 def test_centroids_are_means(spark):
     df = spark.createDataFrame([("a", [1.0, 3.0]), ("a", [3.0, 5.0]), ("b", [1.0, 1.0]), ("b", None), (None, [2.0, 2.0])],
                                "label string, v array<float>")
