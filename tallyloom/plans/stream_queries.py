@@ -10,7 +10,7 @@ from tallyloom.functions import cleaning as clean
 from tallyloom.plans.cleaning_queries import TYPE_CODES, TYPE_LABELS
 from tallyloom.plans.registry import query
 from tallyloom.sources.files import read_table
-from tallyloom.streaming import envelopes, runner, transforms
+from tallyloom.streaming import envelopes, runner, transforms, upserts
 from tallyloom.workspace import scratch_name, scratch_path
 
 EVENTS = ("event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
@@ -264,7 +264,7 @@ def upsert(spark: SparkSession, d: str) -> DataFrame:
     read_table(spark, d, "events", "event_id", "props").repartition(4).write.parquet(path)
     stream = runner.file_stream(spark, path, "event_id long, props string", "parquet", 1)
     zips = stream.select(F.get_json_object("props", "$.k").alias("zip"))
-    return runner.run_upsert(transforms.running_count(zips, "zip"), ["zip"])
+    return upserts.run_upsert(transforms.running_count(zips, "zip"), ["zip"])
 
 
 @query("st_kv_projection", """

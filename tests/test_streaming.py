@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.streaming import envelopes, runner, transforms
+from tallyloom.streaming import envelopes, runner, transforms, upserts
 from tallyloom.workspace import scratch_name, scratch_path
 
 SCHEMA = "id long, k string, ts timestamp"
@@ -135,3 +135,61 @@ def test_rows_that_hold_only_the_key_are_spread(spark):
     joined = salted_join(rows, spark.createDataFrame([(1, "x")], "k int, v string"), ["k"], 16, ["id"])
     assert joined.count() == 1000
     assert rows.select(F.pmod(F.xxhash64("id"), F.lit(16))).distinct().count() == 16
+
+
+def _table_rows(spark, path):
+    return {r["k"]: r["n"] for r in upserts.read_upserted(spark, path, spark.createDataFrame([], "k string, n long").schema).collect()}
+
+
+def _files(tmp_path, now):
+    return {b: sorted(p.name for p in (tmp_path / "t" / "data" / f).glob("*.parquet")) for b, f in now.folders.items()}
+
+
+def test_a_batch_rewrites_only_its_buckets(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    first = spark.createDataFrame([(f"k{i}", i) for i in range(40)] + [(None, 7)], "k string, n long")
+    upserts.upsert_batch(first, 0, path, ["k"], 8)
+    before = upserts.manifest(spark, path)
+    files = _files(tmp_path, before)
+    assert len(files) == 8 and all(len(f) == 1 for f in files.values())
+    upserts.upsert_batch(spark.createDataFrame([("k3", 300), ("new", 1)], "k string, n long"), 1, path, ["k"], 8)
+    after = upserts.manifest(spark, path)
+    changed = [b for b in after.folders if after.folders[b] != before.folders[b]]
+    assert 1 <= len(changed) <= 2
+    assert all(_files(tmp_path, after)[b] == files[b] for b in files if b not in changed)
+    expected = {f"k{i}": i for i in range(40)} | {None: 7, "k3": 300, "new": 1}
+    assert _table_rows(spark, path) == expected
+    # a batch run again finds itself in the manifest and changes nothing
+    upserts.upsert_batch(spark.createDataFrame([("k3", -1)], "k string, n long"), 1, path, ["k"], 8)
+    assert upserts.manifest(spark, path) == after and _table_rows(spark, path) == expected
+    # a batch without rows is counted as done
+    upserts.upsert_batch(first.limit(0), 2, path, ["k"], 8)
+    assert upserts.manifest(spark, path).batch == 2 and _table_rows(spark, path) == expected
+
+
+def test_a_reader_that_has_begun_keeps_its_files_and_a_torn_batch_leaves_no_trace(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/t"
+    rows = spark.createDataFrame([(f"k{i}", i) for i in range(20)], "k string, n long")
+    upserts.upsert_batch(rows, 0, path, ["k"], 4)
+    begun = upserts.read_upserted(spark, path, rows.schema)
+    with monkeypatch.context() as m:
+        def torn(*_):
+            raise OSError("lost before the manifest")
+        m.setattr(upserts, "_put", torn)
+        with pytest.raises(OSError):
+            upserts.upsert_batch(rows.withColumn("n", -F.col("n")), 1, path, ["k"], 4)
+    assert _table_rows(spark, path) == {f"k{i}": i for i in range(20)}
+    upserts.upsert_batch(rows.withColumn("n", F.col("n") + 100), 1, path, ["k"], 4)
+    assert {r["k"]: r["n"] for r in begun.collect()} == {f"k{i}": i for i in range(20)}
+    assert _table_rows(spark, path) == {f"k{i}": i + 100 for i in range(20)}
+    # two states at most, and nothing of the torn batch
+    assert len(upserts._names(spark, f"{path}/data")) == 2 and len(upserts._names(spark, f"{path}/manifests")) == 2
+
+
+def test_upserted_stream_over_restarts(spark, tmp_path):
+    source, path, checkpoint = f"{tmp_path}/in", f"{tmp_path}/t", f"{tmp_path}/checkpoint"
+    for keys in (["a", "b"], ["a", "c"], [None, "a"]):
+        spark.createDataFrame([(k,) for k in keys], "k string").write.mode("append").parquet(source)
+        stream = transforms.running_count(runner.file_stream(spark, source, "k string", files_per_trigger=1), "k")
+        runner.finish(upserts.start_upsert(stream, path, ["k"], checkpoint=checkpoint))
+    assert _table_rows(spark, path) == {None: 1, "a": 3, "b": 1, "c": 1}
