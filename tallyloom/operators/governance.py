@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.workspace import small_side
+from tallyloom.workspace import materialise, small_side
 
 # The privileges that ALL PRIVILEGES stands for.
 PRIVILEGES = ("SELECT", "CREATE", "MODIFY", "READ_METADATA", "CREATE_NAMED_FUNCTION")
@@ -38,28 +38,52 @@ def standing_grants(log: DataFrame) -> DataFrame:
         .filter(F.col("last_action") == "GRANT").drop("last_action"))
 
 
+def closed_members(members: DataFrame, max_depth: int = 1000) -> DataFrame:
+    """(group, user) with the members of groups that are members themselves, at any depth.
+
+    Pairs are followed one membership further in each round, and only those not
+    known yet go on, so groups that hold each other end the search and many
+    ways to one member count once.  Each round is a written table; there are as
+    many as groups are nested.
+    """
+    edges = materialise(members.select("group", "user").where("group is not null and user is not null").distinct(), "edges")
+    known = frontier = edges
+    for _ in range(max_depth):
+        further = frontier.join(edges.select(F.col("group").alias("user"), F.col("user").alias("_next")), "user").select(
+            "group", F.col("_next").alias("user")).distinct()
+        frontier = materialise(further.join(known, ["group", "user"], "left_anti"), "frontier")
+        if frontier.isEmpty():
+            return known
+        known = materialise(known.unionByName(frontier), "members")
+    raise RuntimeError(f"groups are nested more than {max_depth} deep")
+
+
 def effective_grants(log: DataFrame, members: DataFrame, tables: DataFrame,
                      owners: DataFrame) -> DataFrame:
-    """(user, privilege, table) after expanding groups and databases and adding owners.
+    """(user, privilege, table) after expanding groups, databases and catalogs and adding owners.
 
-    ``members`` has group and user, ``tables`` has database and table, and
-    ``owners`` has owner and table.
+    ``members`` has group and user, where a user may be a group of its own;
+    ``tables`` has database and table (or view), and catalog where there are
+    several; ``owners`` has owner and table.  A grant on a CATALOG reaches all
+    tables and views in it, one on a DATABASE those of the database, one on a
+    TABLE or VIEW that one.  Groups are named in the result next to users.
     """
     standing = standing_grants(log)
     direct = standing.select(F.col("principal").alias("user"), "privilege", "object_type", "object")
     through_group = (
-        standing.join(members, standing["principal"] == members["group"])
+        standing.join(closed_members(members), F.col("principal") == F.col("group"))
         .select("user", "privilege", "object_type", "object"))
-    held = direct.unionByName(through_group).distinct()
-    on_table = held.filter("object_type = 'TABLE'").select(
+    held = materialise(direct.unionByName(through_group).distinct(), "held")
+    on_table = held.filter("object_type in ('TABLE', 'VIEW')").select(
         "user", "privilege", F.col("object").alias("table"))
-    on_database = (
-        held.filter("object_type = 'DATABASE'")
-        .join(tables, F.col("object") == F.col("database"))
-        .select("user", "privilege", "table"))
+    places = ("DATABASE", "CATALOG") if "catalog" in tables.columns else ("DATABASE",)
+    contained = tables.select("table", F.explode(F.array(*[
+        F.struct(F.lit(p).alias("object_type"), F.col(p.lower()).alias("object")) for p in places])).alias("_in")).select(
+        "table", "_in.*").distinct()
+    inside = held.join(contained, ["object_type", "object"]).select("user", "privilege", "table")
     owned = owners.select(F.col("owner").alias("user"), F.explode(
         F.array(*[F.lit(p) for p in PRIVILEGES])).alias("privilege"), "table")
-    return on_table.unionByName(on_database).unionByName(owned).distinct()
+    return on_table.unionByName(inside).unionByName(owned).distinct()
 
 
 def entitled_rows(df: DataFrame, grants: DataFrame, user: str, object_column: str,

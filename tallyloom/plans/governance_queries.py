@@ -222,6 +222,75 @@ def resolved_grants(spark: SparkSession, d: str) -> DataFrame:
     return governance.effective_grants(*grant_tables(spark, d))
 
 
+def nested_grant_tables(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
+    """As ``grant_tables``, with grants on views and a catalog, and groups in groups of which two hold each other."""
+    log, members, tables, owners = grant_tables(spark, d)
+    number = F.regexp_extract("object", "[0-9]+$", 0).cast("int")
+    on_table = F.col("object_type") == "TABLE"
+    log = log.withColumns({
+        "object_type": F.when(on_table & (number % 3 == 1), "VIEW").when(on_table & (number == 15), "CATALOG")
+        .otherwise(F.col("object_type")),
+        "object": F.when(on_table & (number % 3 == 1), F.concat(F.lit("VIEW_"), number.cast("string")))
+        .when(on_table & (number == 15), F.lit("main")).otherwise(F.col("object")),
+        "principal": F.when(F.col("principal").isin("group1", "group2"), F.concat(F.lit("team"), (F.col("seq") % 4).cast("string")))
+        .otherwise(F.col("principal"))})
+    nested = spark.createDataFrame(NESTED_GROUPS, "group string, user string")
+    views = read_table(spark, d, "nation").select(
+        F.concat(F.lit("db"), F.col("n_regionkey").cast("string")).alias("database"),
+        F.concat(F.lit("VIEW_"), F.col("n_nationkey").cast("string")).alias("table"))
+    placed = tables.unionByName(views).withColumn(
+        "catalog", F.when(F.col("database").isin("db0", "db1"), "main").otherwise("other"))
+    return log, members.unionByName(nested), placed, owners
+
+
+NESTED_GROUPS = [("team0", "group1"), ("team1", "team0"), ("team1", "team2"), ("team2", "team1"), ("team2", "group0"), ("team3", "team2")]
+
+
+NESTED = """
+with recursive raw as (
+  select event_id, event_type, user_id, cast(json_extract_string(props, '$.k') as integer) as k
+  from events),
+names(privilege) as (values ('SELECT'), ('CREATE'), ('MODIFY'), ('READ_METADATA'),
+                            ('CREATE_NAMED_FUNCTION')),
+single as (
+  select raw.*, names.privilege from raw join names on
+    case when k % 7 = 0 then true when k % 2 = 0 then names.privilege = 'SELECT'
+         else names.privilege = 'MODIFY' end),
+log as (
+  select event_id, event_type <> 'error' as granted, privilege,
+         case when user_id % 5 = 0 and user_id % 3 = 0 then 'group0'
+              when user_id % 5 = 0 then 'team' || cast(event_id % 4 as varchar)
+              else 'user' || cast(user_id as varchar) end as principal,
+         case when k % 10 = 9 then 'DATABASE' when k % 25 % 3 = 1 then 'VIEW' when k % 25 = 15 then 'CATALOG' else 'TABLE' end as kind,
+         case when k % 10 = 9 then 'db' || cast(k % 5 as varchar) when k % 25 % 3 = 1 then 'VIEW_' || cast(k % 25 as varchar)
+              when k % 25 = 15 then 'main' else 'NATION_' || cast(k % 25 as varchar) end as object
+  from single),
+standing as (
+  select principal, privilege, kind, object from log
+  qualify row_number() over (partition by principal, privilege, kind, object order by event_id desc) = 1 and granted),
+member as (
+  select 'group' || cast(c_custkey % 3 as varchar) as grp, 'user' || cast(c_custkey as varchar) as usr from customer where c_custkey % 4 = 1
+  union select * from (values """ + ", ".join(f"('{g}', '{u}')" for g, u in NESTED_GROUPS) + """)),
+closed as (select grp, usr from member union select closed.grp, member.usr from closed join member on closed.usr = member.grp),
+held as (
+  select principal as usr, privilege, kind, object from standing
+  union select usr, privilege, kind, object from standing join closed on principal = grp),
+placed as (
+  select n_name as name, n_regionkey as r from nation
+  union all select 'VIEW_' || cast(n_nationkey as varchar), n_regionkey from nation)
+select usr as "user", privilege, object as "table" from held where kind in ('TABLE', 'VIEW')
+union select usr, privilege, name from held join placed on kind = 'DATABASE' and object = 'db' || cast(r as varchar)
+union select usr, privilege, name from held join placed on kind = 'CATALOG' and object = case when r < 2 then 'main' else 'other' end
+union select 'user' || cast(n_nationkey as varchar), privilege, n_name from nation cross join names
+"""
+
+
+@query("effective_grants_nested", NESTED)
+def nested_grants(spark: SparkSession, d: str) -> DataFrame:
+    """Grants on catalogs, databases, tables and views through groups of any nesting."""
+    return governance.effective_grants(*nested_grant_tables(spark, d))
+
+
 @query("entitled_rows", GRANTS + """
 select c_custkey, n_name from customer join nation on c_nationkey = n_nationkey
 where n_name in (select "table" from effective where "user" = 'user1' and privilege = 'SELECT')

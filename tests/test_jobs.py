@@ -132,6 +132,32 @@ def test_effective_grants(grants):
     assert ("olga", "MODIFY", "t3") in held
 
 
+def test_groups_in_groups_views_and_catalogs(spark):
+    log = spark.createDataFrame([
+        (1, "GRANT", "all", "SELECT", "CATALOG", "main"), (2, "GRANT", "a", "MODIFY", "VIEW", "v1"), (3, "GRANT", "b", "CREATE", "DATABASE", "db2"),
+        (4, "GRANT", "b", "SELECT", "TABLE", "v1"), (5, "REVOKE", "b", "SELECT", "TABLE", "v1")],
+        "seq int, action string, principal string, privilege string, object_type string, object string")
+    members = spark.createDataFrame([("all", "a"), ("a", "b"), ("b", "a"), ("b", "eve"), ("b", "eve"), (None, "x"), ("a", None)],
+                                    "group string, user string")
+    tables = spark.createDataFrame([("main", "db1", "t1"), ("main", "db1", "v1"), ("other", "db2", "t2")], "catalog string, database string, table string")
+    owners = spark.createDataFrame([], "owner string, table string")
+    held = {tuple(r) for r in governance.effective_grants(log, members, tables, owners).select("user", "privilege", "table").collect()}
+    everyone = ("all", "a", "b", "eve")
+    expected = {(u, "SELECT", t) for u in everyone for t in ("t1", "v1")}
+    expected |= {(u, "MODIFY", "v1") for u in ("a", "b", "eve")} | {(u, "CREATE", "t2") for u in ("a", "b", "eve")}
+    assert held == expected
+    pairs = {tuple(r) for r in governance.closed_members(members).select("group", "user").collect()}
+    assert pairs == {(g, u) for g in ("all", "a", "b") for u in ("a", "b", "eve")}
+
+
+def test_closure_of_a_long_chain(spark):
+    chain = spark.createDataFrame([(f"g{i}", f"g{i + 1}") for i in range(5)], "group string, user string")
+    assert governance.closed_members(chain).count() == 15
+    with pytest.raises(RuntimeError):
+        governance.closed_members(chain, max_depth=2)
+    assert governance.closed_members(chain.limit(0)).count() == 0
+
+
 def test_entitled_rows(spark, grants):
     rows = spark.createDataFrame([("t1", 1), ("t2", 2), ("t3", 3)], "name string, x int")
     assert sorted(r["x"] for r in governance.entitled_rows(rows, grants, "eve", "name").collect()) == [1, 2]
