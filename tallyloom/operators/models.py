@@ -142,6 +142,11 @@ def rmse(predicted: Column, label: Column) -> Column:
     return F.sqrt(F.avg((predicted - label) * (predicted - label)))
 
 
+def r_squared(predicted: Column, label: Column) -> Column:
+    """Share of the label's variance that the prediction explains; below 0 where it is worse than the mean."""
+    return 1 - F.sum((predicted - label) * (predicted - label)) / (F.var_pop(label) * F.count(label))
+
+
 def worst_rows(scored: DataFrame, predicted: str, label: str, tie: str, n: int = 10) -> DataFrame:
     return scored.orderBy(F.abs(F.col(predicted) - F.col(label)).desc(), tie).limit(n)
 

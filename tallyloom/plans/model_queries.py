@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import HashingTF, Tokenizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -193,24 +192,27 @@ def metric_rmse(spark: SparkSession, d: str) -> DataFrame:
 BUCKET = "({key} % 2147483648 * 2654435761 % 4294967296) % 100"
 
 
+def _held_out(key: str, share: int) -> tuple:
+    """Conditions for rows to fit and rows kept from the fit."""
+    return hash_bucket(key) < share, hash_bucket(key) >= share
+
+
 @query("ml_gbt_regress", f"""
-select count(*) as test_rows, true as as_good_as_mean from lineitem where {BUCKET.format(key='l_orderkey')} >= 70
+select count(*) as test_rows, true as explains_most from lineitem where {BUCKET.format(key='l_orderkey')} >= 70
 """)
 def gbt_regress(spark: SparkSession, d: str) -> DataFrame:
-    """Boosted trees on line prices, against the mean, on rows kept from the fit; within two percent of it or better."""
+    """Boosted trees on the price after discount; on rows kept from the fit they explain over 80 % of its variance."""
     lines = read_table(spark, d, "lineitem", "l_orderkey", "l_returnflag", "l_linestatus",
-                       "l_quantity", "l_discount", "l_tax", "l_extendedprice")
-    train = hash_bucket("l_orderkey") < 70
+                       "l_quantity", "l_discount", "l_extendedprice")
+    return regression_fact(lines.withColumn("target", F.col("l_extendedprice") * (1 - F.col("l_discount"))))
+
+
+def regression_fact(lines: DataFrame) -> DataFrame:
+    train, test = _held_out("l_orderkey", 70)
     model = models.boosted_regression(
-        lines, ["l_returnflag", "l_linestatus"], ["l_quantity", "l_discount", "l_tax"],
-        "l_extendedprice").fit(lines.filter(train))
-    scored = model.transform(lines.filter(~train))
-    error = RegressionEvaluator(labelCol="l_extendedprice", metricName="rmse").evaluate(scored)
-    mean = lines.filter(train).select(F.avg("l_extendedprice")).scalar()
-    return (
-        lines.filter(~train).withColumn("mean", mean)
-        .agg(F.count(F.lit(1)).alias("test_rows"),
-             (models.rmse(F.col("mean"), F.col("l_extendedprice")) * 1.02 > F.lit(error)).alias("as_good_as_mean")))
+        lines, ["l_returnflag", "l_linestatus"], ["l_quantity", "l_discount", "l_extendedprice"], "target").fit(lines.filter(train))
+    return model.transform(lines.filter(test)).agg(
+        F.count(F.lit(1)).alias("test_rows"), (models.r_squared(F.col("prediction"), F.col("target")) > 0.8).alias("explains_most"))
 
 
 def _labelled_documents(spark: SparkSession, d: str, *columns: str) -> DataFrame:
@@ -221,75 +223,86 @@ def _labelled_documents(spark: SparkSession, d: str, *columns: str) -> DataFrame
 
 
 @query("ml_gbt_classify", f"""
-select case when quality = 1 then 'good' else 'poor' end as quality, count(*) as n, true as known_labels, true as useful
-from labels join documents using (doc_id) where {BUCKET.format(key='doc_id')} >= 70 group by 1
+with middle as (select quantile_cont(n_chars, 0.5) as m from documents)
+select case when n_chars > m and lang <> 'en' then 'yes' else 'no' end as kind, count(*) as n, true as known_labels, true as accurate
+from documents cross join middle where {BUCKET.format(key='doc_id')} >= 70 group by 1
 """)
 def gbt_classify(spark: SparkSession, d: str) -> DataFrame:
-    """Document quality from language, source and length bins; useful: not far below always saying the usual label."""
-    rows = _labelled_documents(spark, d, "lang", "source", "n_chars").withColumn(
-        "quality", F.when(F.col("quality") == 1, "good").otherwise("poor"))
-    train = hash_bucket("doc_id") < 70
-    model = models.boosted_classifier(rows, "quality", "n_chars", ["lang", "source"]).fit(
-        rows.filter(train))
-    scored = materialise(model.transform(rows.filter(~train)).select("quality", "predicted_label"), "scored")
-    share = scored.agg(
-        F.avg((F.col("quality") == F.col("predicted_label")).cast("double")) + 0.15
-        >= F.greatest(*[F.avg((F.col("quality") == x).cast("double")) for x in ("good", "poor")])).scalar()
-    return scored.groupBy("quality").agg(
-        F.count(F.lit(1)).alias("n"), F.bool_and(F.col("predicted_label").isin("good", "poor")).alias("known_labels")
-    ).withColumn("useful", share)
-
-
-def _vectors(spark: SparkSession, d: str) -> DataFrame:
-    rows = read_table(spark, d, "embeddings", "vec_id", "embedding", "label").withColumn(
-        "target", (F.col("label") < 5).cast("double"))
-    return models.vector_features(rows, "embedding")
+    """Long documents that are not English, by boosted trees on length bins and categories; over 90 % right on rows kept from the fit."""
+    rows = read_table(spark, d, "documents", "doc_id", "lang", "source", "n_chars")
+    middle = quantiles(rows, [], "n_chars", [0.5]).select("quantile").scalar()
+    kind = F.when((F.col("n_chars") > middle) & (F.col("lang") != "en"), "yes").otherwise("no")
+    return classification_fact(materialise(rows.withColumn("kind", kind), "kinds"))
+
+
+def classification_fact(rows: DataFrame) -> DataFrame:
+    train, test = _held_out("doc_id", 70)
+    model = models.boosted_classifier(rows, "kind", "n_chars", ["lang", "source"]).fit(rows.filter(train))
+    scored = materialise(model.transform(rows.filter(test)).select("kind", "predicted_label"), "scored")
+    right = scored.agg(models.accuracy(F.col("predicted_label"), F.col("kind"))).scalar()
+    return scored.groupBy("kind").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and(F.col("predicted_label").isin("yes", "no")).alias("known_labels")
+    ).withColumn("accurate", right > 0.9)
 
 
 @query("ml_logistic", f"""
-select count(*) as test_rows, true as sums_to_one, true as useful
+select count(*) as test_rows, true as sums_to_one, true as accurate
 from embeddings where {BUCKET.format(key='vec_id')} >= 70
 """)
 def ml_logistic(spark: SparkSession, d: str) -> DataFrame:
-    """Logistic regression on vectors, judged on rows kept from the fit; useful: not far below the usual label."""
-    rows = _vectors(spark, d)
-    train = hash_bucket("vec_id") < 70
-    model = models.logistic("target", maxIter=20, regParam=0.05, elasticNetParam=0.3).fit(rows.filter(train))
-    scored = models.class_probabilities(model.transform(rows.filter(~train)))
-    usual = F.greatest(F.avg("target"), 1 - F.avg("target"))
+    """On which side of a plane a vector lies, by logistic regression; over 85 % right on rows kept from the fit."""
+    rows = read_table(spark, d, "embeddings", "vec_id", "embedding")
+    side = (F.aggregate("embedding", F.lit(0.0), lambda s, x: F.lit(-0.5) * s + x) > 0).cast("double")
+    return logistic_fact(models.vector_features(rows.withColumn("target", side), "embedding"))
+
+
+def logistic_fact(rows: DataFrame) -> DataFrame:
+    train, test = _held_out("vec_id", 70)
+    model = models.logistic("target", maxIter=50, regParam=0.001).fit(rows.filter(train))
+    scored = models.class_probabilities(model.transform(rows.filter(test)))
     return scored.agg(
         F.count(F.lit(1)).alias("test_rows"), F.bool_and(F.abs(F.col("p0") + F.col("p1") - 1) < 1e-9).alias("sums_to_one"),
-        (models.accuracy(F.col("prediction"), F.col("target")) + 0.15 >= usual).alias("useful"))
+        (models.accuracy(F.col("prediction"), F.col("target")) > 0.85).alias("accurate"))
 
 
 @query("ml_linear_svm", f"""
-select o_orderstatus, count(*) as n, true as known_labels from orders
-where o_orderstatus in ('F', 'O') and {BUCKET.format(key='o_orderkey')} >= 75 group by 1
+with middle as (select quantile_cont(o_totalprice, 0.5) as m from orders)
+select case when o_totalprice > m then 'high' else 'low' end as price, count(*) as n, true as known_labels, true as accurate
+from orders cross join middle where {BUCKET.format(key='o_orderkey')} >= 75 group by 1
 """)
 def linear_svm(spark: SparkSession, d: str) -> DataFrame:
-    """Every test row gets one of the two labels."""
-    rows = read_table(spark, d, "orders", "o_orderkey", "o_orderstatus", "o_totalprice",
-                      "o_orderpriority").filter(F.col("o_orderstatus").isin("F", "O"))
-    train = hash_bucket("o_orderkey") < 75
-    model = models.formula_svm("o_orderstatus", "o_totalprice + o_orderpriority").fit(
-        rows.filter(train))
-    scored = model.transform(rows.filter(~train))
-    return scored.groupBy("o_orderstatus").agg(
-        F.count(F.lit(1)).alias("n"), F.bool_and(F.col("prediction").isin(0.0, 1.0)).alias("known_labels"))
+    """Orders above the middle price by a support vector machine on a formula; over 90 % right on rows kept from the fit."""
+    rows = read_table(spark, d, "orders", "o_orderkey", "o_totalprice", "o_orderpriority")
+    middle = quantiles(rows, [], "o_totalprice", [0.5]).select("quantile").scalar()
+    return svm_fact(rows.withColumn("price", F.when(F.col("o_totalprice") > middle, "high").otherwise("low")))
+
+
+def svm_fact(rows: DataFrame) -> DataFrame:
+    train, test = _held_out("o_orderkey", 75)
+    model = models.formula_svm("price", "o_totalprice + o_orderpriority", iterations=50).fit(rows.filter(train))
+    scored = materialise(model.transform(rows.filter(test)).select("price", "prediction", "label_idx"), "scored")
+    right = scored.agg(models.accuracy(F.col("prediction"), F.col("label_idx"))).scalar()
+    return scored.groupBy("price").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and(F.col("prediction").isin(0.0, 1.0)).alias("known_labels")
+    ).withColumn("accurate", right > 0.9)
 
 
 @query("ml_cross_validate", """
-select unnest([1000, 2000]) as features, true as useful,
-  (select count(*) from documents join labels using (doc_id)) as scored_rows
+select unnest([1000, 2000]) as features, true as accurate,
+  (select count(*) from documents) as scored_rows
 """)
 def cross_validate(spark: SparkSession, d: str) -> DataFrame:
-    """Accuracy by number of hashed text features over four classes, and the best model over all rows."""
-    rows = _labelled_documents(spark, d, "text", "lang").withColumn("fold", hash_bucket("doc_id", 3).cast("int"))
+    """Languages told apart by hashed text features, over 80 % right in every setting, and the best model over all rows."""
+    rows = materialise(read_table(spark, d, "documents", "doc_id", "text", "lang"), "texts")
+    return cross_validation_facts(rows.withColumn("fold", hash_bucket("doc_id", 3).cast("int")))
+
+
+def cross_validation_facts(rows: DataFrame) -> DataFrame:
     sizes = [1000, 2000]
     tuned = models.cross_validated(rows, models.text_pipeline("text", "lang"), sizes, "fold", 3)
     scored = tuned.bestModel.transform(rows).filter(F.col("prediction").isNotNull()).count()
-    return spark.range(1).select(F.inline(F.array(*[
-        F.struct(F.lit(n).alias("features"), F.lit(bool(m > 0.5)).alias("useful"), F.lit(scored).cast("long").alias("scored_rows"))
+    return rows.sparkSession.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(n).alias("features"), F.lit(bool(m > 0.8)).alias("accurate"), F.lit(scored).cast("long").alias("scored_rows"))
         for n, m in zip(sizes, tuned.avgMetrics)])))
 
 

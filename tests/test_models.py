@@ -175,3 +175,30 @@ def test_mixed_model_edges(spark):
     assert effects.mixed_model(df.where("y > 99"), ["a"], F.col("y"), F.col("x")) is None
     same = effects.mixed_model(df.withColumn("y", F.lit(2.0)), ["a"], F.col("y"), F.lit(1))
     assert all(abs(r["estimate"]) < 1e-9 or r["term"] == "intercept" for r in same.terms.collect())
+
+
+def _noise(*columns):
+    return F.pmod(F.xxhash64(*columns, F.lit("noise")), F.lit(2)) == 0
+
+
+def test_facts_fail_for_labels_that_nothing_predicts(spark, folder):
+    from tallyloom.plans import model_queries as q
+    from tallyloom.sources.files import read_table
+
+    lines = read_table(spark, folder, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_quantity", "l_discount",
+                       "l_extendedprice")
+    target = F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(1000)).cast("double")
+    assert not q.regression_fact(lines.withColumn("target", target)).first()["explains_most"]
+    docs = read_table(spark, folder, "documents", "doc_id", "lang", "source", "n_chars")
+    kinds = q.classification_fact(docs.withColumn("kind", F.when(_noise("doc_id"), "yes").otherwise("no"))).collect()
+    assert not any(r["accurate"] for r in kinds)
+    vectors = models.vector_features(read_table(spark, folder, "embeddings", "vec_id", "embedding"), "embedding")
+    assert not q.logistic_fact(vectors.withColumn("target", _noise("vec_id").cast("double"))).first()["accurate"]
+    orders = read_table(spark, folder, "orders", "o_orderkey", "o_totalprice", "o_orderpriority")
+    prices = q.svm_fact(orders.withColumn("price", F.when(_noise("o_orderkey"), "high").otherwise("low"))).collect()
+    assert not any(r["accurate"] for r in prices)
+
+
+def test_r_squared(spark):
+    df = spark.createDataFrame([(1.0, 1.0, 2.5), (2.0, 2.0, 2.5), (3.0, 3.0, 2.5), (4.0, 4.0, 2.5)], "y double, right double, mean double")
+    assert tuple(df.agg(models.r_squared(F.col("right"), F.col("y")), models.r_squared(F.col("mean"), F.col("y"))).first()) == (1.0, 0.0)
