@@ -10,6 +10,7 @@ from tallyloom.functions import cleaning as clean
 from tallyloom.operators.ordering import with_position
 from tallyloom.operators.sequences import ordered_batches
 from tallyloom.plans.registry import query
+from tallyloom.sources.json_arrays import read_json_array
 from tallyloom.sources import files, sinks
 from tallyloom.sources.sinks import json_documents
 from tallyloom.workspace import scratch_path
@@ -134,8 +135,7 @@ def json_array(spark: SparkSession, d: str) -> DataFrame:
     documents = json_documents(with_position(part, [], ["p_partkey"]), record, "position", 1000)
     path = scratch_path(spark, "arrays")
     documents.select("document").write.option("maxRecordsPerFile", 1).text(path)  # one array per file
-    return files.read_json_documents(
-        spark, path, "id long, name string, price double").select("id", "name", "price")
+    return read_json_array(spark, path, "id long, name string, price double")
 
 
 @query("src_range", """

@@ -157,3 +157,45 @@ def test_grid_is_filled_between_its_ends(spark):
     assert sorted(map(tuple, joins.fill_grid(counts, "k", "t", "n", run=2).collect())) == got
     long = spark.createDataFrame([("a", 1, 5), ("a", 25_003, 7)], "k string, t long, n int")
     assert joins.fill_grid(long, "k", "t", "n").agg(F.count(F.lit(1)), F.count_distinct("t"), F.sum("n")).first() == (25_003, 25_003, 12)
+
+
+RECORDS = [{"id": i, "s": s, "n": {"a": [i, {"b": "}"}]}} for i, s in enumerate([
+    "plain", "}", "{", "]", "[,", 'quote " and } brace', "back\\slash", 'end \\"', "\\\\", "line\nbreak }", "é中}", "", "a,b", '"}",{"id":9}'] * 40)]
+
+
+def _parsed(spark, path):
+    from tallyloom.sources.json_arrays import read_json_array
+
+    rows = read_json_array(spark, str(path), "id long, s string, n struct<a: array<string>>, missing int")
+    return rows
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+def test_one_json_array_is_read_by_many_tasks(spark, tmp_path, indent):
+    import json
+
+    from tallyloom.sources.json_arrays import _pieces
+
+    (tmp_path / "one.json").write_text(json.dumps(RECORDS, indent=indent, ensure_ascii=False))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert _pieces(spark, str(tmp_path)).select("_split").distinct().count() > 8
+        rows = sorted(_parsed(spark, tmp_path).collect(), key=lambda r: r["id"])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert [(r["id"], r["s"]) for r in rows] == [(r["id"], r["s"]) for r in RECORDS]
+    assert all(r["n"]["a"][0] == str(r["id"]) and json.loads(r["n"]["a"][1]) == {"b": "}"} and r["missing"] is None for r in rows)
+
+
+def test_json_files_of_every_shape(spark, tmp_path):
+    for name, text in {"empty": "", "none": "[]", "spaces": " [ \n ] ", "object": '{"id": 1, "n": {"a": ["x"]}}', "several": '{"id": 2}\n{"id": 3}\n',
+                       "array": '[{"id": 4},{"id":5}]', "torn": '[{"id": 6}, {"id": 7', "bad": '[{"id": "no"}]'}.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    found = {}
+    for file in tmp_path.iterdir():
+        found[file.stem] = sorted((r["id"] for r in _parsed(spark, file).collect()), key=str)
+    assert found == {"empty": [], "none": [], "spaces": [], "object": [1], "several": [2, 3], "array": [4, 5], "torn": [6, None], "bad": [None]}
+    assert sorted(r["id"] or 0 for r in _parsed(spark, tmp_path).collect()) == [0, 0, 1, 2, 3, 4, 5, 6]
