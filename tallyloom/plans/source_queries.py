@@ -10,6 +10,7 @@ from tallyloom.functions import cleaning as clean
 from tallyloom.operators.ordering import with_position
 from tallyloom.operators.sequences import ordered_batches
 from tallyloom.plans.registry import query
+from tallyloom.sources import avro_payloads as avro
 from tallyloom.sources.json_arrays import read_json_array
 from tallyloom.sources import files, sinks
 from tallyloom.sources.sinks import json_documents
@@ -234,6 +235,29 @@ def versioned_payload(spark: SparkSession, d: str) -> DataFrame:
         "event_id", "str1", F.col("int1").cast("double").alias("int1"))
 
 
+AVRO_SCHEMAS = {
+    1: '{"type": "record", "name": "r", "fields": [{"name": "str1", "type": "string"}]}',
+    2: '{"type": "record", "name": "r", "fields": [{"name": "int1", "type": ["null", "int"]}, {"name": "str1", "type": "string"}]}'}
+
+
+@query("decode_avro_payload", """
+select event_id, case when event_id % 11 <> 0 then event_type end as str1,
+       case when event_id % 11 <> 0 and event_id % 2 = 0 then cast(json_extract_string(props, '$.k') as double) end as int1
+from events
+""")
+def avro_payload(spark: SparkSession, d: str) -> DataFrame:
+    """Binary payloads of two schema versions; every eleventh has lost its last byte."""
+    events = files.read_table(spark, d, "events", "event_id", "event_type", "props")
+    k = F.get_json_object("props", "$.k").cast("int")
+    branch = F.when(k.isNull(), avro.avro_number(F.lit(0))).otherwise(F.concat(avro.avro_number(F.lit(1)), avro.avro_number(F.coalesce(k, F.lit(0)))))
+    whole = F.when(F.col("event_id") % 2 == 0, avro.avro_payload(2, branch, avro.avro_text(F.col("event_type")))).otherwise(
+        avro.avro_payload(1, avro.avro_text(F.col("event_type"))))
+    payload = F.when(F.col("event_id") % 11 == 0, F.substring(whole, 1, F.octet_length(whole) - 1)).otherwise(whole)
+    reader = T.StructType().add("str1", "string").add("int1", "double")
+    decoded = avro.decode_avro_payloads(events.select("event_id", payload.alias("payload")), "payload", AVRO_SCHEMAS, reader)
+    return decoded.select("event_id", "record.str1", "record.int1")
+
+
 PRIORITY_TOTALS = """
 select o_orderpriority, count(*) as orders,
        cast(sum(cast(o_totalprice as decimal(18,2))) as double) as total

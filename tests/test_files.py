@@ -199,3 +199,53 @@ def test_json_files_of_every_shape(spark, tmp_path):
         found[file.stem] = sorted((r["id"] for r in _parsed(spark, file).collect()), key=str)
     assert found == {"empty": [], "none": [], "spaces": [], "object": [1], "several": [2, 3], "array": [4, 5], "torn": [6, None], "bad": [None]}
     assert sorted(r["id"] or 0 for r in _parsed(spark, tmp_path).collect()) == [0, 0, 1, 2, 3, 4, 5, 6]
+
+
+def _zigzag(n):
+    z, out = (n << 1) ^ (n >> 63), b""
+    z &= (1 << 64) - 1
+    while z > 127:
+        out, z = out + bytes([z & 127 | 128]), z >> 7
+    return out + bytes([z])
+
+
+def test_avro_payloads_of_every_kind(spark):
+    import json
+    import struct
+
+    from tallyloom.sources import avro_payloads as avro
+
+    fields = [("b", "boolean"), ("i", "int"), ("l", "long"), ("f", "float"), ("d", "double"), ("s", "string"), ("y", "bytes"),
+              ("e", {"type": "enum", "name": "e", "symbols": ["A", "B"]}), ("x", {"type": "fixed", "name": "x", "size": 3}),
+              ("u", ["null", "string"]), ("r", {"type": "record", "name": "q", "fields": [{"name": "n", "type": ["long", "null"]}]})]
+    old = json.dumps({"type": "record", "name": "t", "fields": [{"name": n, "type": t} for n, t in fields]})
+    new = json.dumps({"type": "record", "name": "t", "fields": [{"name": "l", "type": "int"}, {"name": "s", "type": "string"}]})
+
+    def text(x):
+        return _zigzag(len(x)) + x
+
+    def one(b, i, n, f, d, s, y, e, u, r):
+        body = bytes([b]) + _zigzag(i) + _zigzag(n) + struct.pack("<f", f) + struct.pack("<d", d) + text(s.encode()) + text(y) + _zigzag(e) + b"xyz"
+        return b"\0\0\0\0\x07" + body + (_zigzag(0) if u is None else _zigzag(1) + text(u.encode())) + (
+            _zigzag(1) if r is None else _zigzag(0) + _zigzag(r))
+
+    rows = [(True, -5, 2**62, 0.5, -1e300, "é中", b"\xff", 1, None, -(2**63)), (False, 2**31 - 1, -1, -2.0, 0.1, "", b"", 0, "u", None),
+            (True, -(2**31), 0, 0.0, 0.0, "long " * 50, b"a" * 300, 0, "", 7)]
+    good = [one(*r) for r in rows] + [b"\0\0\0\0\x09" + _zigzag(3) + text(b"z")]
+    bad = [None, b"", b"\0\0\0", b"\1" + good[0][1:], b"\0\0\0\0\x08" + good[0][5:], good[0] + b"\0", b"\0\0\0\0\x09" + b"\xff" * 11,
+           b"\0\0\0\0\x09" + _zigzag(2**40) + text(b"z"), b"\0\0\0\0\x09" + _zigzag(3) + _zigzag(-4), b"\0\0\0\0\x09" + _zigzag(3) + text(b"\xff\xfe"),
+           one(True, 1, 1, 0, 0, "", b"", 2, None, None), b"\0\0\0\0\x09" + _zigzag(1)]
+    bad += [good[0][:n] for n in range(5, len(good[0]))]
+    reader = "struct<b:boolean,i:int,l:long,f:float,d:double,s:string,y:binary,e:string,x:binary,u:string,r:struct<n:bigint>,none:int>"
+    df = spark.createDataFrame([(i, p, 1) for i, p in enumerate(good + bad)], "id int, p binary, record int").repartition(3)
+    schema = spark.createDataFrame([], f"x {reader}").schema["x"].dataType
+    found = {r["id"]: r["record"] for r in avro.decode_avro_payloads(df, "p", {7: old, 9: new}, schema).collect()}
+    for i, (b, n, m, f, d, s, y, e, u, r) in enumerate(rows):
+        assert tuple(found[i]) == (b, n, m, f, d, s, bytearray(y), "AB"[e], bytearray(b"xyz"), u, (r,), None)
+    assert (found[3]["l"], found[3]["s"], found[3]["b"], found[3]["r"]) == (3, "z", None, None)
+    assert [found[i] for i in range(4, len(found))] == [None] * len(bad)
+    with pytest.raises(ValueError):
+        avro.decode_avro_payloads(df, "p", {1: '{"type": "record", "name": "a", "fields": [{"name": "m", "type": {"type": "map", "values": "int"}}]}'}, schema)
+    numbers = [0, -1, 1, 63, 64, -65, 2**31, -(2**31), 2**63 - 1, -(2**63)]
+    written = spark.createDataFrame([(n,) for n in numbers], "n long").select("n", avro.avro_number(F.col("n")).alias("b")).collect()
+    assert all(bytes(r["b"]) == _zigzag(r["n"]) for r in written)
