@@ -411,3 +411,13 @@ def sampled(spark: SparkSession, d: str) -> DataFrame:
     return joined.agg(
         F.count_if(F.col("n") > 1).alias("repeats"), F.count_if(F.col("of_all").isNull()).alias("outside"),
         (F.abs(F.sum(F.coalesce("n", F.lit(0))) / F.count("of_all") - 0.75) < 0.05).alias("within_bounds"))
+
+
+@query("sample_exact", """
+select o_orderkey, o_totalprice from orders
+qualify row_number() over (order by (o_orderkey % 2147483648) * 2654435761 % 4294967296, o_orderkey)
+  <= floor(0.8 * count(*) over ())
+""")
+def sampled_exactly(spark: SparkSession, d: str) -> DataFrame:
+    """Exactly eight tenths of the orders."""
+    return sampling.sample_exact(read_table(spark, d, "orders", "o_orderkey", "o_totalprice"), "o_orderkey", fraction=0.8)

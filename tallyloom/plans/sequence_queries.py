@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.operators import sequences
+from tallyloom.operators import autoregression, sequences
 from tallyloom.plans.registry import query
 from tallyloom.sources.files import read_table
 
@@ -90,6 +90,29 @@ def baseline(spark: SparkSession, d: str) -> DataFrame:
         F.round(F.sqrt(F.avg(F.col("error") * F.col("error"))), 6).alias("rmse"))
 
 
+@query("one_step_autoregression", sql_windows(3, 2, False) + """,
+sums as (
+  select user_id, count(*) as n, avg(items[1]) as m1, avg(items[2]) as m2, avg(items[3]) as my,
+    var_pop(items[1]) as s11, var_pop(items[2]) as s22, covar_pop(items[1], items[2]) as s12,
+    covar_pop(items[1], items[3]) as s1y, covar_pop(items[2], items[3]) as s2y, var_pop(items[3]) as syy,
+    avg((items[2] - items[3]) * (items[2] - items[3])) as last
+  from windows group by 1),
+fits as (
+  select *, n >= 4 and s11 > 0 and s22 > 0 and s11 * s22 - s12 * s12 > 1e-9 * s11 * s22 as fitted,
+    (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) as b1, (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) as b2 from sums)
+select user_id, n as windows, round(case when fitted then my - b1 * m1 - b2 * m2 end, 4) as intercept,
+  round(case when fitted then b1 end, 5) as lag2, round(case when fitted then b2 end, 5) as lag1,
+  round(case when fitted then sqrt(greatest(syy - b1 * s1y - b2 * s2y, 0)) end, 4) as rmse, round(sqrt(last), 4) as last_value_rmse
+from fits
+""")
+def one_step_autoregression(spark: SparkSession, d: str) -> DataFrame:
+    """Each user's next value from the two before it, next to the error of taking the last value."""
+    fits = autoregression.fit_autoregression(_series(spark, d), ["user_id"], ["ts", "event_id"], "value", 2)
+    return fits.select(
+        "user_id", "windows", F.round("intercept", 4).alias("intercept"), F.round(F.col("coefficients")[0], 5).alias("lag2"),
+        F.round(F.col("coefficients")[1], 5).alias("lag1"), F.round("rmse", 4).alias("rmse"), F.round("last_value_rmse", 4).alias("last_value_rmse"))
+
+
 @query("split_chronological", """
 with placed as (
   select event_id, user_id, row_number() over (partition by user_id order by ts, event_id) as position,

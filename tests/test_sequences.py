@@ -87,3 +87,56 @@ def test_one_hot_and_corruption(spark):
         (0, 0, 0), (0, 1, 1), (1, 0, 1), (1, 1, 2)]
     variants = sequences.corrupted(samples, "prefix", 2).orderBy("start", "place").collect()
     assert [r["variant"] for r in variants] == ["?b", "a?", "?c", "b?"]
+
+
+def test_autoregression_against_least_squares(spark):
+    import numpy as np
+
+    from tallyloom.operators.autoregression import fit_autoregression, predicted_next
+
+    rng = np.random.default_rng(4)
+    series = {"a": [10.0, 12.0], "b": [500.0, 501.0], "c": [3.0] * 9, "d": [1.0, 2.0, 4.0], "e": [float(i % 2) for i in range(12)]}
+    for name, (x, y) in {"a": (0.5, 0.3), "b": (-0.4, 0.9)}.items():
+        for _ in range(200):
+            series[name].append(x * series[name][-2] + y * series[name][-1] + 7 + rng.normal())
+    rows = [(k, i, v) for k, vs in series.items() for i, v in enumerate(vs)] + [("f", 0, None), ("f", 1, 2.0), ("f", 2, 3.0)]
+    df = spark.createDataFrame(rows, "k string, t int, v double").repartition(4)
+    fits = fit_autoregression(df, ["k"], ["t"], "v", 2)
+    found = {r["k"]: r for r in fits.collect()}
+    for name in "ab":
+        v = np.array(series[name])
+        design = np.column_stack([np.ones(len(v) - 2), v[:-2], v[1:-1]])
+        best, left, *_ = np.linalg.lstsq(design, v[2:], rcond=None)
+        got = found[name]
+        assert [got["intercept"], *got["coefficients"]] == pytest.approx(best, rel=1e-6)
+        assert got["rmse"] == pytest.approx(np.sqrt(left[0] / len(design)), rel=1e-6)
+        assert got["last_value_rmse"] == pytest.approx(np.sqrt(((v[2:] - v[1:-1]) ** 2).mean()), rel=1e-6)
+        assert got["rmse"] < got["last_value_rmse"]
+    # values that never change, too few windows, and lags that tell the same are not fitted
+    assert [found[k]["coefficients"] for k in "cde"] == [None] * 3 and found["c"]["last_value_rmse"] == 0
+    assert found["e"]["last_value_rmse"] == pytest.approx(1) and "f" not in found
+    told = {r["k"]: r["prediction"] for r in predicted_next(df, fits, ["k"], ["t"], "v", 2).collect()}
+    a, v = found["a"], series["a"]
+    assert told["a"] == pytest.approx(a["intercept"] + a["coefficients"][0] * v[-2] + a["coefficients"][1] * v[-1])
+    assert (told["c"], told["d"]) == (3.0, 4.0)
+
+
+@pytest.mark.parametrize("size", [0, 1, 7, 250, 299, 300, 400])
+def test_exact_samples(spark, size):
+    from tallyloom.operators.sampling import sample_exact
+
+    keys = [i * 37 - 2000 for i in range(200)] + [5] * 60 + [None] * 40
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k long, i int").repartition(5)
+    rows = sample_exact(df, "k", size).collect()
+    assert len(rows) == min(size, 300) == len({r["i"] for r in rows})
+    order = sorted(keys, key=lambda k: ((k % 2147483648) * 2654435761 % 4294967296 if k is not None else 1 << 32, k or 0))
+    assert sorted((r["k"] for r in rows), key=str) == sorted(order[:size], key=str)
+    assert df.columns == (rows[0].__fields__ if rows else df.columns)
+
+
+def test_exact_fraction_is_the_same_for_every_layout(spark):
+    from tallyloom.operators.sampling import sample_exact
+
+    df = spark.range(1003)
+    first, second = ({r[0] for r in sample_exact(d, "id", fraction=0.8).collect()} for d in (df, df.repartition(13)))
+    assert first == second and len(first) == 802
