@@ -195,6 +195,42 @@ def binary_files(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("label").agg(F.sum("length").alias("bytes"))
 
 
+def bitmap_text(width: int, height: int, values: Column) -> Column:
+    """An uncompressed bitmap of channel values below 128, which are the same bytes as text."""
+    # The header of a bitmap file of 24 bits a pixel; sizes are below 128 here.
+    head = [66, 77, 54 + 3 * width * height, 0, 0, 0, 0, 0, 0, 0, 54, 0, 0, 0, 40, 0, 0, 0, width, 0, 0, 0, height, 0, 0, 0, 1, 0, 24, *[0] * 25]
+    return F.concat(F.lit("".join(map(chr, head))), F.array_join(F.transform(values, lambda v: F.char(v)), ""))
+
+
+@query("src_images", """
+with pixels as (
+  select s_suppkey, unnest(range(48)) as i from supplier where s_suppkey % 10 <> 0),
+found as (
+  select s_suppkey, sum(case when i < 3 then (s_suppkey // pow(100, i)::bigint) % 100 else (s_suppkey * (i + 1)) % 120 end) as total
+  from pixels group by 1)
+select 'image' as kind, s_suppkey as id, 16::bigint as pixels, total::bigint as total from found
+union all select 'broken', -1, 0, count(*) from supplier where s_suppkey % 10 = 0
+""")
+def images(spark: SparkSession, d: str) -> DataFrame:
+    """Bitmaps of four by four pixels, one file each, read as images; a tenth of the files are none."""
+    key = F.col("s_suppkey")
+    values = F.transform(F.sequence(F.lit(0), F.lit(47)), lambda i: F.when(
+        i < 3, F.floor(key / F.pow(F.lit(100), i)) % 100).otherwise((key * (i + 1)) % 120).cast("int"))
+    text = F.when(key % 10 == 0, F.lit("no image")).otherwise(bitmap_text(4, 4, values))
+    path = scratch_path(spark, "images")
+    files.read_table(spark, d, "supplier", "s_suppkey").select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    read = files.read_images(spark, path, keep_invalid=True).withColumn("values", files.image_values())
+    # rows of a bitmap go from the bottom up, so the key is in the first pixel of the last row
+    first = F.slice("values", 37, 3)
+    marked = read.select(
+        F.when(F.col("values").isNull(), "broken").otherwise("image").alias("kind"),
+        F.coalesce(first[0] + 100 * first[1] + 10000 * first[2], F.lit(-1)).cast("long").alias("id"),
+        F.coalesce(F.col("image.width") * F.col("image.height"), F.lit(0)).alias("area"),
+        F.coalesce(F.aggregate("values", F.lit(0), lambda s, x: s + x), F.lit(1)).alias("total"))
+    return marked.groupBy("kind", "id").agg(
+        F.max(F.when(F.col("kind") == "image", F.col("area")).otherwise(0)).cast("long").alias("pixels"), F.sum("total").alias("total"))
+
+
 @query("batch_ids", """
 with numbered as (
   select p_type, p_partkey,

@@ -10,7 +10,7 @@ from tallyloom.functions import cleaning as clean
 from tallyloom.plans.cleaning_queries import TYPE_CODES, TYPE_LABELS
 from tallyloom.plans.registry import query
 from tallyloom.sources.files import read_table
-from tallyloom.streaming import envelopes, runner, transforms, upserts
+from tallyloom.streaming import corrections, envelopes, runner, transforms, upserts
 from tallyloom.workspace import scratch_name, scratch_path
 
 EVENTS = ("event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
@@ -273,3 +273,17 @@ select event_type as key, event_type || ':' || cast(count(*) as varchar) as valu
 def key_values(spark: SparkSession, d: str) -> DataFrame:
     counts = transforms.running_count(event_stream(spark, d), "event_type")
     return runner.run_upsert(transforms.key_value_text(counts, "event_type", "n"), ["key"])
+
+
+@query("st_corrections", """
+select event_type as key, date_diff('second', timestamp '1970-01-01', time_bucket(interval '1 hour', ts::timestamp)) as window_second,
+  count(*) as n, count(*) as latest from events group by 1, 2
+""")
+def window_corrections(spark: SparkSession, d: str) -> DataFrame:
+    """Hourly counts added up from the corrections that four batches gave, and the last count each window was given."""
+    path = scratch_path(spark, "stream_corrections_in")
+    read_table(spark, d, "events", "event_type", "ts").repartition(4).write.parquet(path)
+    stream = runner.file_stream(spark, path, spark.read.parquet(path).schema, "parquet", 1)
+    changes = runner.run_to_files(corrections.window_corrections(stream, "ts", "event_type", 3600, 10 * 365 * 86400))
+    return changes.groupBy("key", F.unix_timestamp("window_start").alias("window_second")).agg(
+        F.sum(F.col("after") - F.col("before")).alias("n"), F.max("after").alias("latest"))

@@ -83,11 +83,41 @@ def read_labelled_files(spark: SparkSession, folders: Mapping[str, str],
 
 
 def read_images(spark: SparkSession, path: str, keep_invalid: bool = False) -> DataFrame:
-    """Image structs; files that are no image are dropped, or kept with width -1."""
+    """Image structs; files that are no image are dropped, or kept with width -1.  Spark skips files without bytes."""
     return (spark.read.format("image").option("dropInvalid", not keep_invalid).load(path)
             .select(F.col("image.origin").alias("file_path"), "image"))
 
 
+def image_values(image: str = "image") -> Column:
+    """The channel values of an image struct as whole numbers, row by row; null for a file that is no image."""
+    data = F.col(image)["data"]
+    places = F.sequence(F.lit(1), F.octet_length(data))
+    values = F.transform(places, lambda i: F.conv(F.hex(F.substring(data, i, F.lit(1))), 16, 10).cast("int"))
+    return F.when(F.col(image)["width"] > 0, values)
+
+
+def image_features(images: DataFrame, side: int, image: str = "image") -> DataFrame:
+    """Adds ``brightness``: the mean channel value, 0 to 1, of each cell of a ``side`` x ``side`` grid over the image.
+
+    The array has ``side * side`` numbers whatever the image's size, so it can
+    go into a model; it is null for a file that is no image, and a cell
+    without pixels is 0.
+    """
+    shape = F.col(image)
+    width, channels = shape["width"] * shape["nChannels"], shape["nChannels"]
+
+    def cell(at: Column) -> Column:
+        row, column = F.floor(at / width), F.floor((at % width) / channels)
+        return F.floor(row * side / shape["height"]) * side + F.floor(column * side / shape["width"])
+
+    def mean(values: Column, place: Column) -> Column:
+        own = F.filter(values, lambda _, at: cell(at) == place)
+        return F.coalesce(F.try_divide(F.aggregate(own, F.lit(0.0), lambda s, x: s + x), F.size(own) * 255.0), F.lit(0.0))
+
+    return images.withColumn("_values", image_values(image)).withColumn("brightness", F.when(
+        F.col("_values").isNotNull(), F.transform(F.sequence(F.lit(0), F.lit(side * side - 1)), lambda p: mean(F.col("_values"), p)))).drop("_values")
+
+
 def inline_dimension(spark: SparkSession, rows: Mapping[str, str],
                      names: Sequence[str]) -> DataFrame:
     """A two-column dimension of literal rows; its size is fixed in the code."""

@@ -249,3 +249,37 @@ def test_avro_payloads_of_every_kind(spark):
     numbers = [0, -1, 1, 63, 64, -65, 2**31, -(2**31), 2**63 - 1, -(2**63)]
     written = spark.createDataFrame([(n,) for n in numbers], "n long").select("n", avro.avro_number(F.col("n")).alias("b")).collect()
     assert all(bytes(r["b"]) == _zigzag(r["n"]) for r in written)
+
+
+def test_images_become_arrays_and_feed_a_classifier(spark, tmp_path):
+    import struct
+
+    from tallyloom.operators import models
+    from tallyloom.sources import files
+
+    def bitmap(width, height, pixel):
+        rows = b""
+        for y in reversed(range(height)):  # from the bottom up, each row filled to four bytes
+            row = b"".join(bytes(pixel(x, y)) for x in range(width))
+            rows += row + b"\0" * (-len(row) % 4)
+        return b"BM" + struct.pack("<IHHIIiiHHIIiiII", 54 + len(rows), 0, 0, 54, 40, width, height, 1, 24, 0, len(rows), 0, 0, 0, 0) + rows
+
+    for i in range(40):
+        bright = i % 2
+        shape = (5 + i % 3, 4 + i % 4)
+        (tmp_path / f"{i:02}_{bright}.bmp").write_bytes(bitmap(*shape, lambda x, y: [200 if bright == (x < 2) else 30 + i, 10, 255]))
+    (tmp_path / "90_0.bmp").write_bytes(b"x")
+    (tmp_path / "91_0.bmp").write_bytes(bitmap(4, 4, lambda x, y: [1, 2, 3])[:40])
+    read = files.read_images(spark, str(tmp_path), keep_invalid=True).withColumn("values", files.image_values())
+    name = F.regexp_extract("file_path", "([0-9]+)_([0-9])[.]bmp", 1).cast("int")
+    rows = {r["i"]: r for r in read.select(name.alias("i"), "values", "image.width", "image.height").collect()}
+    assert len(rows) == 42 and [rows[i]["values"] for i in (90, 91)] == [None, None]
+    assert (rows[3]["width"], rows[3]["height"]) == (5, 7) and len(rows[3]["values"]) == 105
+    assert rows[3]["values"][:9] == [200, 10, 255, 200, 10, 255, 33, 10, 255]
+    assert files.read_images(spark, str(tmp_path)).count() == 40
+    featured = files.image_features(read, 2).select(
+        F.regexp_extract("file_path", "_([0-9])[.]bmp", 1).cast("double").alias("y"), "brightness")
+    assert featured.where("brightness is null").count() == 2 and featured.where("size(brightness) = 4").count() == 40
+    df = models.vector_features(featured.where("brightness is not null"), "brightness")
+    scored = models.logistic("y", maxIter=30).fit(df).transform(df)
+    assert scored.agg(models.accuracy(F.col("prediction"), F.col("y"))).first()[0] == 1.0

@@ -193,3 +193,24 @@ def test_upserted_stream_over_restarts(spark, tmp_path):
         stream = transforms.running_count(runner.file_stream(spark, source, "k string", files_per_trigger=1), "k")
         runner.finish(upserts.start_upsert(stream, path, ["k"], checkpoint=checkpoint))
     assert _table_rows(spark, path) == {None: 1, "a": 3, "b": 1, "c": 1}
+
+
+def test_corrections_over_batches_late_rows_and_a_restart(spark, tmp_path):
+    from tallyloom.streaming import corrections
+
+    source, target, checkpoint = f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/checkpoint"
+    seen = []
+    for batch in ([("a", 5), ("a", 20), ("b", 70), (None, 3), ("a", None)], [("a", 30), ("b", 130)],
+                  [("a", 10), ("b", 75), ("c", 900)], [("a", 1), ("c", 901)]):
+        rows = spark.createDataFrame(batch, "k string, s long").select("k", F.timestamp_seconds("s").alias("ts"))
+        rows.coalesce(1).write.mode("append").parquet(source)
+        stream = runner.file_stream(spark, source, "k string, ts timestamp", files_per_trigger=1)
+        runner.finish(runner.start_files(corrections.window_corrections(stream, "ts", "k", 60, 120), target, checkpoint=checkpoint))
+        found = {(r["key"], r["second"], r["before"], r["after"]) for r in spark.read.parquet(target).select(
+            "key", F.unix_timestamp("window_start").alias("second"), "before", "after").collect()}
+        seen.append(found)
+    assert seen[0] == {("a", 0, 0, 2), ("b", 60, 0, 1), (None, 0, 0, 1)}
+    assert seen[1] - seen[0] == {("a", 0, 2, 3), ("b", 120, 0, 1)}
+    assert seen[2] - seen[1] == {("a", 0, 3, 4), ("b", 60, 1, 2), ("c", 900, 0, 1)}
+    # by now the first windows are forgotten, and what comes for them is too late
+    assert seen[3] - seen[2] == {("c", 900, 1, 2)}
