@@ -11,10 +11,10 @@ from tallyloom.operators.ordering import with_position
 from tallyloom.operators.sequences import ordered_batches
 from tallyloom.plans.registry import query
 from tallyloom.sources import avro_payloads as avro
-from tallyloom.sources.json_arrays import read_json_array
 from tallyloom.sources import files, sinks
+from tallyloom.sources.json_arrays import read_json_array
 from tallyloom.sources.sinks import json_documents
-from tallyloom.workspace import scratch_path
+from tallyloom.workspace import cached, materialise, scratch_path, table_name
 
 
 @query("src_csv_schema", """
@@ -342,6 +342,41 @@ def create_partitioned(spark: SparkSession, d: str) -> DataFrame:
                    "o_orderpriority")
 
 
+@query("catalog_scan", PRIORITY_TOTALS)
+def catalog_scan(spark: SparkSession, d: str) -> DataFrame:
+    """A table read by its name in the catalog."""
+    path = scratch_path(spark, "named")
+    sinks.create_table_as(_orders(spark, d), table_name(path), path)
+    return _totals(spark.table(table_name(path)), "o_orderpriority")
+
+
+@query("ctas_literal", """
+select r_name, count(*) as nations from nation join region on n_regionkey = r_regionkey where r_name <> 'ASIA' group by 1
+""")
+def literal_table(spark: SparkSession, d: str) -> DataFrame:
+    """Nations per region through a table made from literal rows, which replaces an older one of its name."""
+    path = scratch_path(spark, "literal")
+    names = files.read_table(spark, d, "region", "r_regionkey", "r_name")
+    sinks.create_table_as(spark.range(3), table_name(path), f"{path}/old")
+    rows = files.inline_dimension(spark, {"AFRICA": "kept", "AMERICA": "kept", "EUROPE": "kept", "MIDDLE EAST": "kept"}, ["r_name", "use"])
+    kept = sinks.replace_table(rows, table_name(path), f"{path}/new")
+    nations = files.read_table(spark, d, "nation", "n_regionkey")
+    return nations.join(names, F.col("n_regionkey") == F.col("r_regionkey")).join(kept, "r_name").groupBy("r_name").agg(
+        F.count(F.lit(1)).alias("nations"))
+
+
+@query("cached_reuse", """
+select o_orderpriority, count(*) as orders, (select count(*) from orders where o_totalprice > 1000) as of_all
+from orders where o_totalprice > 1000 group by 1
+""")
+def cached_reuse(spark: SparkSession, d: str) -> DataFrame:
+    """Two results of one set of rows that is kept in memory meanwhile."""
+    with cached(_orders(spark, d).where("o_totalprice > 1000").select("o_orderpriority")) as kept:
+        total = kept.count()
+        counts = materialise(kept.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("orders")), "counts")
+    return counts.withColumn("of_all", F.lit(total).cast("long"))
+
+
 @query("ctas_cluster_by", """
 select event_id, event_type, value from events
 """)
