@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyloom.llm.vectors import leading, matrix, usable
+from tallyloom.llm.vectors import NO_SCORE, leading, matrix, moderate, scaled_whole, usable, whole_products
 from tallyloom.workspace import materialise
 
 SCALE = 256
@@ -52,30 +52,6 @@ BINS = 128  # of a list's bounds
 SLACK = 1e-9
 TURN = 1e-7  # what rounding can change in an angle
 
-_NONE = 1 - (1 << 63)  # no score; its negative is a long too
-
-
-def whole_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products of whole numbers given as doubles; ``_NONE`` where no long holds them."""
-    if not len(a) or not len(b):
-        return np.zeros((len(a), len(b)), np.int64)
-    reach = np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * a.shape[1]
-    if reach < 2.0**53:
-        return (a @ b.T).astype(np.int64)
-    large = [np.abs(x).max(1) * math.sqrt(x.shape[1]) >= 2.0**26 for x in (a, b)]
-    out = np.empty((len(a), len(b)), np.int64)
-    small = [~x for x in large]
-    out[np.ix_(small[0], small[1])] = (a[small[0]] @ b[small[1]].T).astype(np.int64)
-    for rows, cols in ((large[0], small[1] | large[1]), (small[0], large[1])):
-        if rows.any() and cols.any():
-            exact = _integers(a[rows]) @ _integers(b[cols]).T
-            out[np.ix_(rows, cols)] = [[v if _NONE < v < 1 << 63 else _NONE for v in row] for row in exact]
-    return out
-
-
-def _integers(x: np.ndarray) -> np.ndarray:
-    return np.array([[int(v) for v in row] for row in x], object)
-
 
 def _angles(x: np.ndarray, directions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Lengths, and angles to each direction (0 for a zero vector)."""
@@ -202,7 +178,7 @@ def _walk(width: int, k: int, same: bool):
         who = np.repeat(np.arange(len(q)), np.diff(questions.offsets.to_numpy()))
         cap = questions.flatten().to_numpy()
         low, stop = (members.column(c).combine_chunks().flatten().to_numpy() for c in ("_lows", "_stops"))
-        best = np.full((len(who), k), _NONE, np.int64)
+        best = np.full((len(who), k), NO_SCORE, np.int64)
         parts = []
         for begin in range(0, len(o), STEP):
             least = np.maximum(stop, best[:, -1]).astype(float)
@@ -213,13 +189,13 @@ def _walk(width: int, k: int, same: bool):
             people, place = np.unique(who[going], return_inverse=True)
             scores = whole_products(q[people], o[begin: begin + STEP])[place]
             alike = mine[who[going]][:, None] == label[begin: begin + STEP]
-            fits = (alike == same) & (scores <= cap[going][:, None]) & (scores >= low[going][:, None]) & (scores > _NONE)
-            scores = np.where(fits, scores, _NONE)
+            fits = (alike == same) & (scores <= cap[going][:, None]) & (scores >= low[going][:, None]) & (scores > NO_SCORE)
+            scores = np.where(fits, scores, NO_SCORE)
             row, col = leading(scores, first[begin: begin + STEP], k)
-            real = scores[row, col] > _NONE
+            real = scores[row, col] > NO_SCORE
             row, col = row[real], col[real]
             parts.append((going[row], begin + col, scores[row, col]))
-            top = np.full((len(going), k), _NONE, np.int64)
+            top = np.full((len(going), k), NO_SCORE, np.int64)
             top[row, np.arange(len(row)) - np.searchsorted(row, row)] = scores[row, col]
             best[going] = -np.sort(-np.concatenate([best[going], top], 1), 1)[:, :k]
         if not parts:
@@ -314,12 +290,9 @@ def _first_ids(found: DataFrame, items: DataFrame, keys: list[str], k: int) -> D
 
 def hard_negatives(table: DataFrame, anchors: Column, id_column: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
     """anchor_id, positive_id, rank, negative_id, positive_score, negative_score; ``anchors`` picks rows by _id."""
-    scaled = F.transform(vector, lambda x: x.cast("double") * SCALE)
-    # floor gives a long, which holds no larger numbers, and those are whole
-    whole = F.transform("_vec", lambda x: F.when(F.abs(x) < 2.0**52, F.floor(x).cast("double")).otherwise(x) + 0.0)
     rows = table.where(usable(F.col(vector)) & F.col(id_column).isNotNull() & F.col(label).isNotNull()).select(
-        F.col(id_column).cast("long").alias("_id"), F.col(label).cast("int").alias("_label"), scaled.alias("_vec")).where(
-        F.forall("_vec", lambda x: F.abs(x) < 1e150)).select("_id", "_label", whole.alias("_vec")).distinct()
+        F.col(id_column).cast("long").alias("_id"), F.col(label).cast("int").alias("_label"), scaled_whole(F.col(vector), SCALE).alias("_vec")).where(
+        moderate("_vec")).distinct()
     equal = W.partitionBy("_label", "_vec").orderBy("_id")
     items = materialise(
         rows.withColumn("_n", F.row_number().over(equal)).where(F.col("_n") <= POSITIVES + 1).groupBy("_label", "_vec").agg(
@@ -335,7 +308,7 @@ def hard_negatives(table: DataFrame, anchors: Column, id_column: str = "vec_id",
         return F.array(F.lit(value).cast("long"))
 
     alike = search.walk(search.members.withColumns({
-        "_caps": longs((1 << 63) - 1), "_lows": longs(_NONE + 1), "_stops": longs(_NONE + 1)}), POSITIVES + 1, True)
+        "_caps": longs((1 << 63) - 1), "_lows": longs(NO_SCORE + 1), "_stops": longs(NO_SCORE + 1)}), POSITIVES + 1, True)
     # one more than wanted, as an anchor finds itself
     ranked = materialise(_first_ids(alike, items, ["_vid"], POSITIVES + 1), "alike")
     own = asking.select(F.col("_id").alias("anchor_id"), "_vid").join(ranked, "_vid").where(F.col("_id") != F.col("anchor_id"))

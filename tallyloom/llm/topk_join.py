@@ -7,11 +7,13 @@ data is a score that every query of the group is sure to reach, so a vector
 whose upper bound lies below it is not sent to that group.  What is left is
 solved exactly, in blocks of data against parts of a group.
 
-Components become floor(256 * x); scores are whole numbers.  Defined results:
-vectors that are null or hold a null, infinite or undefined component take no
-part, nor do those with a component beyond 2**31 after scaling or without an
-id; shorter vectors count as ending in zeros; repeated rows count once; a
-table without other rows gives queries no rows; other columns are not read.
+Components become floor(256 * x); scores are whole numbers of any size, which
+are computed with Python's integers where doubles are not exact.  Defined
+results: vectors that are null or hold a null, infinite or undefined component
+take no part, nor do those without an id or with a component of 1e150 or more
+after scaling; a score that no long can hold is left out; shorter vectors
+count as ending in zeros; repeated rows count once; a table without other rows
+gives queries no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -24,7 +26,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.vectors import best, distinct_vectors, leading, matrix, query_vectors, usable
+from tallyloom.llm.vectors import (
+    NO_SCORE,
+    best,
+    distinct_vectors,
+    leading,
+    matrix,
+    moderate,
+    query_vectors,
+    scaled_whole,
+    usable,
+    whole_products,
+)
 from tallyloom.workspace import materialise
 
 GROUP = 256  # queries that a pivot stands for on average, and the most that are solved together
@@ -33,14 +46,6 @@ PIVOTS = 1024  # most pivots, a bound on what the driver holds
 SCALE = 256
 
 
-def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products of whole numbers."""
-    reach = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
-    if reach < 2.0**53:
-        return (a.astype(float) @ b.astype(float).T).astype(np.int64)
-    return a @ b.T
-
-
 def _nearest(pivots: np.ndarray, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -61,6 +66,9 @@ def _bounds(pivots: np.ndarray, reach: np.ndarray, width: int, k: int):
         for b in batches:
             o = matrix(b.column("_vec"), width, float)
             low = pivots @ o.T - reach[:, None] * np.linalg.norm(o, axis=1)
+            # a score that may not fit a long is no sure one
+            most = (np.linalg.norm(pivots, axis=1) + reach)[:, None] * np.linalg.norm(o, axis=1)
+            low = np.where(most < 2.0**62, low, -np.inf)
             held = np.concatenate([held, low], axis=1)
             if held.shape[1] > k + 1:
                 held = -np.partition(-held, k, axis=1)[:, : k + 1]
@@ -86,12 +94,14 @@ def _needed(pivots: np.ndarray, reach: np.ndarray, floor: np.ndarray, width: int
 
 def _solve(width: int, k: int):
     def run(data: pa.Table, asking: pa.Table) -> pa.Table:
-        q, o = (matrix(t.column("_vec"), width, np.int64) for t in (asking, data))
+        q, o = (matrix(t.column("_vec"), width, float) for t in (asking, data))
         first = data.column("_of").to_numpy()
         if not len(q) or not len(o):
             return _FOUND.empty_table()
-        scores = _products(q, o)
+        scores = whole_products(q, o)
         row, col = leading(scores, first, k + 1)
+        fits = scores[row, col] > NO_SCORE
+        row, col = row[fits], col[fits]
         return pa.table([asking.column("_vid").to_numpy()[row], data.column("_other").to_numpy()[col],
                          first[col], scores[row, col]], schema=_FOUND)
     return run
@@ -102,10 +112,8 @@ _FOUND = pa.schema([("_vid", pa.int64()), ("_other", pa.int64()), ("_of", pa.int
 
 def exact_topk(table: DataFrame, wanted: Column, k: int, id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k largest inner products of each row that ``wanted`` picks."""
-    whole = F.transform(vector, lambda x: F.floor(x.cast("double") * SCALE))
-    small = F.forall("_vec", lambda x: F.abs(x) <= 2**31)
     rows = table.where(usable(F.col(vector)) & F.col(id_column).isNotNull()).select(
-        F.col(id_column).cast("long").alias("_id"), whole.alias("_vec")).where(small)
+        F.col(id_column).cast("long").alias("_id"), scaled_whole(F.col(vector), SCALE).alias("_vec")).where(moderate("_vec"))
     vectors = distinct_vectors(rows, k)
     asking = query_vectors(rows, wanted, vectors)
     queries = asking.select("_vid").distinct().join(vectors.select("_vid", "_vec"), "_vid")
@@ -116,7 +124,7 @@ def exact_topk(table: DataFrame, wanted: Column, k: int, id_column: str = "vec_i
     pivots = matrix(chosen.column(0), width, float) if chosen.num_rows else np.zeros((1, width))
 
     grouped = materialise(queries.select("_vid", "_vec").mapInArrow(
-        _nearest(pivots, width), "_vid long, _group int, _gap double, _vec array<long>"), "groups")
+        _nearest(pivots, width), "_vid long, _group int, _gap double, _vec array<double>"), "groups")
     reach, sizes = np.zeros(len(pivots)), np.zeros(len(pivots), np.int64)
     for r in grouped.groupBy("_group").agg(F.max("_gap").alias("u"), F.count(F.lit(1)).alias("n")).collect():
         reach[r["_group"]], sizes[r["_group"]] = r["u"] * (1 + 1e-12), r["n"]
@@ -129,7 +137,7 @@ def exact_topk(table: DataFrame, wanted: Column, k: int, id_column: str = "vec_i
     floor[sizes == 0] = np.inf
 
     needed = materialise(vectors.select("_vid", "_first", "_vec").mapInArrow(
-        _needed(pivots, reach, floor, width), "_group int, _other long, _of long, _vec array<long>"), "needed")
+        _needed(pivots, reach, floor, width), "_group int, _other long, _of long, _vec array<double>"), "needed")
     spark = table.sparkSession
     parts = spark.createDataFrame(
         [(r["_group"], math.ceil(r["n"] / BLOCK), math.ceil(int(sizes[r["_group"]]) / GROUP))

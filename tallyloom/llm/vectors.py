@@ -7,6 +7,8 @@ vector held by a third of all rows is thus searched for and found once.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -16,12 +18,27 @@ from pyspark.sql import functions as F
 from tallyloom.workspace import materialise
 
 
+NO_SCORE = 1 - (1 << 63)  # where no long holds a score; its negative is a long too
+
+
 def usable(vector: Column) -> Column:
     """Neither null nor holding a null, infinite or undefined component."""
     bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
     return vector.isNotNull() & ~bad
 
 
+def scaled_whole(vector: Column, scale: int) -> Column:
+    """floor(scale * x) of each component, as doubles, which hold it exactly."""
+    # floor gives a long, which holds no larger numbers, and those are whole
+    scaled = F.transform(vector, lambda x: x.cast("double") * scale)
+    return F.transform(scaled, lambda x: F.when(F.abs(x) < 2.0**52, F.floor(x).cast("double")).otherwise(x) + 0.0)
+
+
+def moderate(vector: str) -> Column:
+    """No component so large that a double cannot hold its square."""
+    return F.forall(vector, lambda x: F.abs(x) < 1e150)
+
+
 def distinct_vectors(rows: DataFrame, k: int) -> DataFrame:
     """``rows`` (_id, _vec) as a written table: _vid, _first, _ids (the k + 1 smallest), _vec."""
     ranked = rows.select("_vec", "_id").distinct().withColumn(
@@ -82,3 +99,25 @@ def leading(scores: np.ndarray, first: np.ndarray, k: int, slack: float = 0) ->
         place = np.arange(len(row)) - np.searchsorted(row, row)
         row, col = row[place < k], col[place < k]
     return row, col
+
+
+def whole_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Exact inner products of whole numbers given as doubles; ``NO_SCORE`` where no long holds them."""
+    if not len(a) or not len(b):
+        return np.zeros((len(a), len(b)), np.int64)
+    reach = np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * a.shape[1]
+    if reach < 2.0**53:
+        return (a @ b.T).astype(np.int64)
+    large = [np.abs(x).max(1) * math.sqrt(x.shape[1]) >= 2.0**26 for x in (a, b)]
+    out = np.empty((len(a), len(b)), np.int64)
+    small = [~x for x in large]
+    out[np.ix_(small[0], small[1])] = (a[small[0]] @ b[small[1]].T).astype(np.int64)
+    for rows, cols in ((large[0], small[1] | large[1]), (small[0], large[1])):
+        if rows.any() and cols.any():
+            exact = _integers(a[rows]) @ _integers(b[cols]).T
+            out[np.ix_(rows, cols)] = [[v if NO_SCORE < v < 1 << 63 else NO_SCORE for v in row] for row in exact]
+    return out
+
+
+def _integers(x: np.ndarray) -> np.ndarray:
+    return np.array([[int(v) for v in row] for row in x], object)

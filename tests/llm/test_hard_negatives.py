@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.llm import hard_negatives as hn
+from tallyloom.llm import vectors
 
 
 def _table(spark, rows):
@@ -72,7 +73,7 @@ def test_products():
     a, b = np.floor(random.standard_normal((7, 5)) * 1e3), np.floor(random.standard_normal((9, 5)) * 1e3)
     a[2], b[3] = a[2] * 1e5, b[3] * 1e11
     exact = [[sum(int(x) * int(y) for x, y in zip(p, q)) for q in b] for p in a]
-    assert hn.whole_products(a, b).tolist() == [[v if abs(v) < 1 << 63 else hn._NONE for v in r] for r in exact]
+    assert vectors.whole_products(a, b).tolist() == [[v if abs(v) < 1 << 63 else vectors.NO_SCORE for v in r] for r in exact]
 
 
 def test_bounds_hold_and_end_lists_early():

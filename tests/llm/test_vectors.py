@@ -57,6 +57,19 @@ def test_large_numbers_stay_exact(spark):
     assert found == [(0, 1, 2, big + 256 * 512), (0, 2, 1, big + 256 * 256)]
 
 
+def test_components_of_any_size_take_part(spark):
+    rows = [(0, [1.0, 1.0], 0.0, 1), (1, [1.0, 2.0], 0.0, 1), (2, [9e6, 1.0], 0.0, 1), (3, [9e6, 9e6], 0.0, 1), (4, [1e10, 3.0], 0.0, 1),
+            (5, [-2e9, 7.0], 0.0, 1), (6, [3e37, 1.0], 0.0, 1), (7, [3e37, 2.0], 0.0, 1), (10, [9.5e6, 0.5], 0.0, 1)]
+    found = sorted(tuple(r) for r in exact_topk(_table(spark, rows).repartition(3), F.col("_id") % 10 == 0, 1).collect())
+    whole = {i: [math.floor(256 * float(np.float32(x))) for x in v] for i, v, *_ in rows}
+
+    def best(q):
+        scores = {i: sum(a * b for a, b in zip(whole[q], w)) for i, w in whole.items() if i != q}
+        return max(((s, -i) for i, s in scores.items() if abs(s) < 1 << 63))
+
+    assert found == [(q, 1, -best(q)[1], best(q)[0]) for q in (0, 10)]
+
+
 @pytest.mark.parametrize("search", [exact_topk, nearest])
 def test_no_rows_and_lone_rows(spark, search):
     rows = [(0, [1.0, 2.0], 0.0, 1)]
