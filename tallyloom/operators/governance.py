@@ -46,8 +46,10 @@ def closed_members(members: DataFrame, max_depth: int = 1000) -> DataFrame:
     ways to one member count once.  Each round is a written table; there are as
     many as groups are nested.
     """
-    edges = materialise(members.select("group", "user").where("group is not null and user is not null").distinct(), "edges")
-    known = frontier = edges
+    edges = members.select("group", "user").where("group is not null and user is not null").distinct()
+    if edges.join(edges.select(F.col("group").alias("user")), "user", "left_semi").isEmpty():
+        return edges  # no group is a member
+    known = frontier = edges = materialise(edges, "edges")
     for _ in range(max_depth):
         further = frontier.join(edges.select(F.col("group").alias("user"), F.col("user").alias("_next")), "user").select(
             "group", F.col("_next").alias("user")).distinct()
@@ -73,7 +75,7 @@ def effective_grants(log: DataFrame, members: DataFrame, tables: DataFrame,
     through_group = (
         standing.join(closed_members(members), F.col("principal") == F.col("group"))
         .select("user", "privilege", "object_type", "object"))
-    held = materialise(direct.unionByName(through_group).distinct(), "held")
+    held = direct.unionByName(through_group).distinct()
     on_table = held.filter("object_type in ('TABLE', 'VIEW')").select(
         "user", "privilege", F.col("object").alias("table"))
     places = ("DATABASE", "CATALOG") if "catalog" in tables.columns else ("DATABASE",)

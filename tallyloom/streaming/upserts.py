@@ -27,7 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyloom.streaming.runner import finish
 from tallyloom.workspace import scratch_path
 
-BUCKETS = 32
+BUCKETS = 16
 
 
 class Manifest(NamedTuple):
@@ -102,10 +102,6 @@ def _clear(spark: SparkSession, path: str, kept: Sequence[Manifest]) -> None:
                 _delete(spark, f"{path}/data/{name}/{bucket}")
 
 
-def _bucket_folders(spark: SparkSession, path: str) -> list[str]:
-    return [n for n in _names(spark, path) if n.startswith("_bucket=")]
-
-
 def upsert_batch(batch: DataFrame, batch_id: int, path: str, keys: Sequence[str], buckets: int = BUCKETS) -> None:
     """Merges one batch into the table at ``path``; a batch that the table already has changes nothing."""
     spark = batch.sparkSession
@@ -114,24 +110,23 @@ def upsert_batch(batch: DataFrame, batch_id: int, path: str, keys: Sequence[str]
         return
     values = [c for c in batch.columns if c not in keys]
     name = f"{batch_id:012d}-{uuid.uuid4().hex[:8]}"
-    arrived = f"{path}/data/_arrived-{name}"
-    numbered = batch.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
-    numbered.repartition(F.col("_bucket")).write.partitionBy("_bucket").parquet(arrived)
-    touched = _bucket_folders(spark, arrived)
-    folders = dict(before.folders) if before else {}
-    if touched:
-        schema = T.StructType([*batch.schema.fields, T.StructField("_bucket", T.LongType())])
-        new = spark.read.schema(schema).parquet(arrived).withColumn("_new", F.lit(1))
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("_bucket")
+    new = batch.select("*", bucket, F.lit(1).alias("_new")).persist()
+    try:
+        touched = [f"_bucket={r[0]}" for r in new.select("_bucket").distinct().collect()]  # no more than there are buckets
+        folders = dict(before.folders) if before else {}
         held = [f"{path}/data/{folders[b]}" for b in touched if b in folders]
         both = new
         if held:
-            old = spark.read.schema(batch.schema).parquet(*held).withColumn(
-                "_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets))).withColumn("_new", F.lit(0))
-            both = old.unionByName(new)
-        merged = both.groupBy("_bucket", *keys).agg(F.max_by(F.struct(F.lit(0), *values), "_new").alias("_row"))
-        merged.select("_bucket", *keys, *[F.col("_row").getField(c).alias(c) for c in values]).repartition(
-            F.col("_bucket")).write.partitionBy("_bucket").parquet(f"{path}/data/{name}")
-        folders |= {b: f"{name}/{b}" for b in touched}
+            both = spark.read.schema(batch.schema).parquet(*held).select("*", bucket, F.lit(0).alias("_new")).unionByName(new)
+        merged = both.repartition(F.col("_bucket")).groupBy("_bucket", *keys).agg(
+            F.max_by(F.struct(F.lit(0), *values), "_new").alias("_row"))
+        if touched:
+            merged.select("_bucket", *keys, *[F.col("_row").getField(c).alias(c) for c in values]).write.partitionBy(
+                "_bucket").parquet(f"{path}/data/{name}")
+            folders |= {b: f"{name}/{b}" for b in touched}
+    finally:
+        new.unpersist()
     after = Manifest(before.version + 1 if before else 1, batch_id, folders)
     _put(spark, path, after)
     _clear(spark, path, [m for m in (before, after) if m])
