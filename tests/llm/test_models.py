@@ -206,11 +206,11 @@ def test_state_is_carried_and_lanes_do_not_matter():
     inputs[np.cumsum(sizes) - sizes] = len(model.emb) - 1
     together = model.score(inputs, targets, sizes)
     starts = np.cumsum(sizes) - sizes
-    table = model.emb @ model.wx + model.b
+    table, inner = model._table(), model._inner()
     for d, (s, n) in enumerate(zip(starts, sizes)):
         h, total = np.zeros((1, model.u.shape[0]), np.float32), 0.0
         for t in range(s, s + n):
-            h = model._step(table[inputs[t]][None], h)[0]
+            h = model._step(table[:, inputs[t]][:, None], h, *inner)[0]
             total += model.outputs(h, targets[t: t + 1])[0]
         assert abs(total - together[d]) < 1e-2
     assert sorted(d for lane in lanes(sizes, 2) for d in lane) == [0, 1, 2, 3, 4]
@@ -229,15 +229,19 @@ def test_gradients():
 
     def loss():
         h, total = np.zeros((2, model.u.shape[0])), 0.0
-        table = model.emb @ model.wx + model.b
+        model.room.clear()
+        table, inner = model._table().astype(float), model._inner()
+        parts = np.split(model.emb @ model.wx + model.b, 3, axis=1)
+        table[:] = [-parts[0], -parts[1], -2 * parts[2]]
         for at in places:
             h = h * ~streams.first[at][:, None]
-            h = model._step(table[inputs[at]], h)[0]
+            h = model._step(table[:, inputs[at]], h, *inner)[0]
             real = at >= 0
             total -= model.outputs(h[real], targets[at[real]]).sum()
         return total / 15
 
     gradients, _ = model._window(streams, places, np.zeros((2, model.u.shape[0])))
+    gradients = {n: g.copy() for n, g in gradients.items()}
     scale = None
     for n in ("u", "un", "wx", "b", "wc"):
         p = getattr(model, n)
