@@ -39,7 +39,6 @@ import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyloom.llm.components import components
@@ -276,17 +275,20 @@ def with_component(docs: DataFrame, words: int = 5, percent: int = 80, text: str
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The documents of ``docs`` that are the first of their component, once each, columns as they were.
 
-    Rows without words and rows without an id are all kept, equal ones included.
+    The first is the one with the smallest id, a null id last; of rows that
+    are equal in all columns one stays.  Rows without words are all kept.
+    Rows are known by a hash of all their columns, so an id may stand on
+    different texts.
     """
-    found = with_component(docs, words, percent)
-    first = found.where("n_shingles > 0").groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("_n"), F.bool_or(F.col("doc_id") == F.col("component_id")).alias("_first")).where("_first")
-    rows = docs.select(F.struct(*docs.columns).alias("_doc"), F.col("doc_id").alias("_id"))
+    rows = docs.select(F.struct(*docs.columns).alias("_doc")).select("_doc", F.xxhash64("_doc").alias("_row"))
+    found = with_component(rows.select("_row", F.col("_doc.text").alias("text")), words, percent, key="_row")
+    classes = found.where("n_shingles > 0").groupBy("_row").agg(
+        F.count(F.lit(1)).alias("_n"), F.first("component_id").alias("_class"))
+    order = F.struct(F.col("_id").isNull(), "_id", "_row", "_n")
+    first = (classes.join(rows.select("_row", F.col("_doc.doc_id").alias("_id")), "_row")
+             .groupBy("_class").agg(F.min(order).alias("_first")).select("_first._row", "_first._n"))
     wordless = F.coalesce(F.regexp_count("_doc.text", F.lit(WORD)), F.lit(0)) == 0
-    kept = rows.join(first.withColumnRenamed("doc_id", "_id"), "_id").where(~wordless)
-    # an id on several rows: equal sets or not, one row of them stays, the first by content
+    kept = rows.where(~wordless).join(first, "_row")
     once = kept.where("_n = 1").select("_doc")
-    order = W.partitionBy("_id").orderBy(F.xxhash64("_doc"))
-    several = kept.where("_n > 1").withColumn("_at", F.row_number().over(order)).where("_at = 1").select("_doc")
-    empty = rows.where(wordless | F.col("_id").isNull()).select("_doc")
-    return once.union(several).union(empty).select("_doc.*")
+    several = kept.where("_n > 1").groupBy("_row").agg(F.first("_doc").alias("_doc")).select("_doc")
+    return once.union(several).union(rows.where(wordless).select("_doc")).select("_doc.*")

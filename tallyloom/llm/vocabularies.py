@@ -96,9 +96,26 @@ class WordIds:
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[int, int] = {}
+        self.known, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # hashes in order, place of each word
         self.flat, self.length = array("I"), array("I")
 
+    def _numbers(self, distinct: np.ndarray, new_word) -> np.ndarray:
+        """Places of words by their ``distinct`` hashes in order; ``new_word`` adds one that is not known."""
+        at = np.searchsorted(self.known, distinct)
+        found = np.zeros(len(distinct), bool)
+        inside = at < len(self.known)
+        found[inside] = self.known[at[inside]] == distinct[inside]
+        numbers = np.empty(len(distinct), np.int32)
+        numbers[found] = self.number[at[found]]
+        new = np.flatnonzero(~found)
+        for i in new:
+            numbers[i] = len(self.length)
+            new_word(i)
+        if len(new):
+            self.known = np.insert(self.known, at[new], distinct[new])
+            self.number = np.insert(self.number, at[new], numbers[new])
+        return numbers
+
     def _whole(self, text: str) -> list[int]:
         return self.model.encode(text, add_special_tokens=False).ids
 
@@ -116,16 +133,17 @@ class WordIds:
         """The ids of each text in turn."""
         data, cuts = raw_bytes(texts)
         for at, to, hashes, counts, begins, ends in located_words(data, cuts):
-            if len(self.number) > REMEMBERED:
+            if len(self.known) > REMEMBERED:
                 self._forget()
             distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-            numbers = np.fromiter((self.number.get(h, -1) for h in distinct.tolist()), np.int64, len(distinct))
-            for i in np.flatnonzero(numbers < 0):
+
+            def new_word(i: int) -> None:
                 word = data[begins[first[i]]: ends[first[i]]].tobytes().lower()
                 found = self._word(word) if self.direct else self._whole(word.decode())
-                self.number[int(distinct[i])] = numbers[i] = len(self.length)
                 self.length.append(len(found))
                 self.flat.extend(found)
+
+            numbers = self._numbers(distinct, new_word)
             lengths = np.frombuffer(self.length, np.uint32).astype(np.int64) if self.length else np.zeros(0, np.int64)
             flat = np.frombuffer(self.flat, np.uint32) if self.flat else np.zeros(0, np.uint32)
             start = np.cumsum(lengths) - lengths

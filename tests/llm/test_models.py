@@ -123,6 +123,13 @@ def test_keep_one(spark, odd, empty):
     assert jaccard_join.with_component(empty).collect() == [] and jaccard_join.keep_one(empty).collect() == []
 
 
+def test_one_of_each_group_whatever_its_id(spark):
+    text = [f"{w} " + " ".join(f"{w}{i}" for i in range(60)) for w in "abc"]
+    rows = [(1, text[0]), (1, text[1]), (2, text[1] + " more"), (None, text[2]), (None, text[2] + " more"), (None, text[2])]
+    kept = jaccard_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.text[0]) for r in kept) == [(0, "c"), (1, "a"), (1, "b")]
+
+
 def test_prefixes_lose_no_match():
     random = np.random.default_rng(2)
     excess = np.zeros(1 << jaccard_join.CELL_BITS, np.float32)
