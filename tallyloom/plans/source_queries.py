@@ -217,8 +217,7 @@ def images(spark: SparkSession, d: str) -> DataFrame:
     values = F.transform(F.sequence(F.lit(0), F.lit(47)), lambda i: F.when(
         i < 3, F.floor(key / F.pow(F.lit(100), i)) % 100).otherwise((key * (i + 1)) % 120).cast("int"))
     text = F.when(key % 10 == 0, F.lit("no image")).otherwise(bitmap_text(4, 4, values))
-    path = scratch_path(spark, "images")
-    files.read_table(spark, d, "supplier", "s_suppkey").select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    path = sinks.save_single_rows(files.read_table(spark, d, "supplier", "s_suppkey").select(text.alias("value")), scratch_path(spark, "images"))
     read = files.read_images(spark, path, keep_invalid=True).withColumn("values", files.image_values())
     # rows of a bitmap go from the bottom up, so the key is in the first pixel of the last row
     first = F.slice("values", 37, 3)

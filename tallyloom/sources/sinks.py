@@ -72,6 +72,19 @@ def save_capped(df: DataFrame, path: str, max_rows: int) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def save_single_rows(lines: DataFrame, path: str, files_per_task: int = 200) -> str:
+    """Text files of one row each, made by as many tasks as their number calls for.
+
+    Opening a file costs far more than a row, so a small table read by one task
+    would be written by that task alone.  Tasks put their own files in place;
+    the driver does not move them one after another.
+    """
+    tasks = max(1, -(-lines.count() // files_per_task))
+    lines.repartition(tasks).write.options(**{
+        "maxRecordsPerFile": 1, "mapreduce.fileoutputcommitter.algorithm.version": 2}).text(path)
+    return path
+
+
 def save_csv(df: DataFrame, path: str, by: Sequence[str] = (), null_value: str = "NA",
              **options: str) -> str:
     writer = df.write.options(header=True, nullValue=null_value, **options)

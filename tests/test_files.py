@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyloom import fixed_values as fixed
 from tallyloom.operators import joins
+from tallyloom.plans import source_queries
 from tallyloom.sources import files, sinks
 from tallyloom.workspace import cached, join_on_keys, materialise, scratch_name, scratch_path, shared_folder, small_side
 
@@ -283,3 +284,12 @@ def test_images_become_arrays_and_feed_a_classifier(spark, tmp_path):
     df = models.vector_features(featured.where("brightness is not null"), "brightness")
     scored = models.logistic("y", maxIter=30).fit(df).transform(df)
     assert scored.agg(models.accuracy(F.col("prediction"), F.col("y"))).first()[0] == 1.0
+
+
+def test_files_of_one_row_are_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    spark.range(450).select(F.col("id").alias("s_suppkey")).coalesce(1).write.parquet(str(tmp_path / "supplier.parquet"))
+    monkeypatch.setattr(source_queries, "scratch_path", lambda spark, name: str(tmp_path / name))
+    rows = source_queries.images(spark, str(tmp_path)).collect()
+    assert len(rows) == 406 and sum(r["total"] for r in rows if r["kind"] == "broken") == 45
+    written = [f.name for f in (tmp_path / "images").glob("part-*.txt")]
+    assert len(written) == 450 and len({name[:10] for name in written}) == 3
