@@ -12,6 +12,9 @@ from tallyloom.workspace import materialise, small_side
 # The privileges that ALL PRIVILEGES stands for.
 PRIVILEGES = ("SELECT", "CREATE", "MODIFY", "READ_METADATA", "CREATE_NAMED_FUNCTION")
 
+TASK_ROWS = 1 << 18  # rows of a task that holds them while it groups them
+TASK_RESULTS = 1 << 20  # rows of a task that only passes them on
+
 
 def secured_view(df: DataFrame, name: str, columns: Sequence[str], condition: str) -> DataFrame:
     """A view that shows only some columns and rows."""
@@ -29,13 +32,18 @@ def standing_grants(log: DataFrame) -> DataFrame:
     ``log`` has seq, action (GRANT or REVOKE), principal, privilege,
     object_type and object.  ALL PRIVILEGES counts as each single privilege.
     """
-    single = log.withColumn("privilege", F.explode(
+    single = _spread(log, "principal", "object_type", "object").withColumn("privilege", F.explode(
         F.when(F.col("privilege") == "ALL PRIVILEGES", F.array(*[F.lit(p) for p in PRIVILEGES]))
         .otherwise(F.array("privilege"))))
     return (
         single.groupBy("principal", "privilege", "object_type", "object")
-        .agg(F.max_by("action", "seq").alias("last_action"))
-        .filter(F.col("last_action") == "GRANT").drop("last_action"))
+        .agg(F.max_by(F.col("action") == "GRANT", "seq").alias("_granted"))
+        .filter("_granted").drop("_granted"))
+
+
+def _spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """``rows`` by key over as many tasks as their number calls for, so that none groups more the more there are."""
+    return rows.repartition(max(1, -(-rows.count() // TASK_ROWS)), *keys)
 
 
 def closed_members(members: DataFrame, max_depth: int = 1000) -> DataFrame:
@@ -69,23 +77,34 @@ def effective_grants(log: DataFrame, members: DataFrame, tables: DataFrame,
     several; ``owners`` has owner and table.  A grant on a CATALOG reaches all
     tables and views in it, one on a DATABASE those of the database, one on a
     TABLE or VIEW that one.  Groups are named in the result next to users.
+
+    Users in the same groups hold the same through them, so each combination of
+    groups is resolved once and its users are joined to that; what a user holds
+    besides is added where it is not among it.  No row of the result is held
+    or sent to find out whether it is there twice.
     """
-    standing = standing_grants(log)
-    direct = standing.select(F.col("principal").alias("user"), "privilege", "object_type", "object")
-    through_group = (
-        standing.join(closed_members(members), F.col("principal") == F.col("group"))
-        .select("user", "privilege", "object_type", "object"))
-    held = direct.unionByName(through_group).distinct()
-    on_table = held.filter("object_type in ('TABLE', 'VIEW')").select(
-        "user", "privilege", F.col("object").alias("table"))
+    standing = materialise(standing_grants(log), "standing")
     places = ("DATABASE", "CATALOG") if "catalog" in tables.columns else ("DATABASE",)
     contained = tables.select("table", F.explode(F.array(*[
         F.struct(F.lit(p).alias("object_type"), F.col(p.lower()).alias("object")) for p in places])).alias("_in")).select(
         "table", "_in.*").distinct()
-    inside = held.join(contained, ["object_type", "object"]).select("user", "privilege", "table")
+    on_table = standing.filter("object_type in ('TABLE', 'VIEW')").select("principal", "privilege", F.col("object").alias("table"))
+    inside = standing.join(contained, ["object_type", "object"]).select("principal", "privilege", "table")
+    granted = on_table.unionByName(inside)
+    users = materialise(closed_members(members).groupBy("user").agg(F.sort_array(F.collect_set("group")).alias("_groups")), "users")
+    sets = users.groupBy("_groups").agg(F.count(F.lit(1)).alias("_users"))
+    through = materialise(sets.select("_groups", "_users", F.explode("_groups").alias("principal")).join(granted, "principal")
+                          .select("_groups", "_users", "privilege", "table").distinct(), "through")
+    results = through.agg(F.sum("_users")).first()[0] or 0
+    through = small_side(through.drop("_users"))
+    through_group = users.repartition(max(1, -(-results // TASK_RESULTS))).join(through, "_groups").select("user", "privilege", "table")
     owned = owners.select(F.col("owner").alias("user"), F.explode(
         F.array(*[F.lit(p) for p in PRIVILEGES])).alias("privilege"), "table")
-    return on_table.unionByName(inside).unionByName(owned).distinct()
+    own = _spread(granted.withColumnRenamed("principal", "user").unionByName(owned), "user").distinct().join(users, "user", "left")
+    known = through.toDF("_of", "_privilege", "_table")
+    apart = own.join(known, (F.col("_groups") == F.col("_of")) & F.col("privilege").eqNullSafe(F.col("_privilege"))
+                     & F.col("table").eqNullSafe(F.col("_table")), "left_anti")
+    return through_group.unionByName(apart.select("user", "privilege", "table"))
 
 
 def entitled_rows(df: DataFrame, grants: DataFrame, user: str, object_column: str,

@@ -194,3 +194,32 @@ def test_layouts_are_used(spark, folder):
         F.min(F.struct("event_type", "event_id")).alias("lo"), F.max(F.struct("event_type", "event_id")).alias("hi")).orderBy("lo").collect()
     assert all(tuple(a["hi"]) <= tuple(b["lo"]) for a, b in zip(ends, ends[1:]))
     assert "Expand" not in QUERIES["table_profile"](spark, folder)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_users_of_one_group_are_spread_and_nothing_comes_twice(spark, monkeypatch):
+    monkeypatch.setattr(governance, "TASK_RESULTS", 500, raising=False)
+    grants = [("g", "SELECT", "TABLE", f"t{i}") for i in range(20)] + [("h", "SELECT", "TABLE", f"t{i}") for i in range(10, 30)]
+    grants += [("u1", "SELECT", "TABLE", "t3"), ("u1", "MODIFY", "TABLE", "t3"), (None, "SELECT", "TABLE", "t1"), ("g", None, "TABLE", "t1"),
+               ("u2", None, "TABLE", "t1"), ("u3", None, "TABLE", "t2"), ("h", "SELECT", "DATABASE", "d"), ("g", "CREATE", "TABLE", None),
+               ("u4", "CREATE", "TABLE", None), ("nobody", "SELECT", "DATABASE", "d")]
+    rows = [(i, "GRANT", *g) for i, g in enumerate(grants)]
+    rows += [(100, "REVOKE", "g", "SELECT", "TABLE", "t0"), (None, "GRANT", "u5", "SELECT", "TABLE", "t0"), (101, None, "u1", "MODIFY", "TABLE", "t3")]
+    log = spark.createDataFrame(rows + rows[:30], "seq int, action string, principal string, privilege string, object_type string, object string")
+    pairs = [(g, f"u{i}") for g, few in (("g", range(0, 200)), ("h", range(100, 300))) for i in few] + [("g", "u1"), ("none", "u7")]
+    members = spark.createDataFrame(pairs, "group string, user string")
+    tables = spark.createDataFrame([("d", "t1"), ("d", "t40"), ("d", "t40"), (None, "t41"), ("d", None)], "database string, table string")
+    owners = spark.createDataFrame([("u0", "t5"), ("u0", "t99"), ("u0", "t99"), (None, "t98"), ("g", "t50")], "owner string, table string")
+    of = {}
+    for p, privilege, kind, name in grants:
+        of.setdefault(p, set()).update((privilege, t) for t in ([name] if kind == "TABLE" else ["t1", "t40", None]))
+    of["g"].remove(("SELECT", "t0"))
+    of["u1"].remove(("MODIFY", "t3"))
+    expected = {(u, *held) for u, some in of.items() for held in some}
+    expected |= {(u, *held) for g, u in pairs for held in of.get(g, ())}
+    expected |= {(u, p, t) for u, t in (("u0", "t5"), ("u0", "t99"), (None, "t98"), ("g", "t50")) for p in governance.PRIVILEGES}
+    result = governance.effective_grants(log, members, tables, owners).select("user", "privilege", "table")
+    found = [tuple(r) for r in result.collect()]
+    assert len(found) == len(set(found)) and set(found) == expected
+    # rows that come from the group are spread by their number, however small the table of members is
+    sizes = result.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) >= len(expected) // 500
