@@ -8,7 +8,7 @@ from collections.abc import Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
@@ -21,6 +21,7 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.param.shared import HasFeaturesCol
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
@@ -116,13 +117,33 @@ def text_pipeline(text: str, label: str, features: int = 1000, iterations: int =
 
 def cross_validated(rows: DataFrame, pipeline: Pipeline, feature_counts: Sequence[int],
                     fold: str, folds: int) -> CrossValidatorModel:
-    """Grid search over the number of hashed features by accuracy, on folds given as a column."""
-    hashing = next(s for s in pipeline.getStages() if isinstance(s, HashingTF))
-    grid = ParamGridBuilder().addGrid(hashing.numFeatures, list(feature_counts)).build()
-    return CrossValidator(
-        estimator=pipeline, estimatorParamMaps=grid,
+    """Grid search over the number of hashed features by accuracy, on folds given as a column.
+
+    Words and their hashed counts are the same in every fold, so they are made
+    once per setting in one pass over the texts and written; the folds learn
+    from that table.  The best model has all stages and takes texts.
+    """
+    stages = pipeline.getStages()
+    ready = [s for s in stages if isinstance(s, Transformer)]
+    hashing = next(s for s in ready if isinstance(s, HashingTF))
+    learner = next(s for s in stages if isinstance(s, HasFeaturesCol))
+    settings = [hashing.copy({hashing.numFeatures: n, hashing.outputCol: f"_features_{n}"}) for n in feature_counts]
+    columns = [s.getOutputCol() for s in settings]
+    texts = {s.getInputCol() for s in ready}
+    hashed = PipelineModel([s for s in ready if s is not hashing] + settings).transform(rows)
+    table = materialise(hashed.select(*[c for c in rows.columns if c not in texts], *columns), "features")
+    grid = ParamGridBuilder().addGrid(learner.featuresCol, columns).build()
+    tuned = CrossValidator(
+        estimator=Pipeline(stages=[s for s in stages if s not in ready]), estimatorParamMaps=grid,
         evaluator=MulticlassClassificationEvaluator(labelCol="label_idx", metricName="accuracy"),
-        numFolds=folds, foldCol=fold, parallelism=2).fit(rows)
+        numFolds=folds, foldCol=fold, parallelism=2).fit(table)
+    fitted = iter(tuned.bestModel.stages)
+    best = [s if s in ready else next(fitted) for s in stages]
+    chosen = best[stages.index(learner)].getFeaturesCol()
+    best[stages.index(learner)].setFeaturesCol(hashing.getOutputCol())
+    best[stages.index(hashing)] = hashing.copy({hashing.numFeatures: feature_counts[columns.index(chosen)]})
+    tuned.bestModel = PipelineModel(best)
+    return tuned
 
 
 def vector_features(df: DataFrame, array: str) -> DataFrame:

@@ -1,8 +1,11 @@
 import numpy as np
 import pytest
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from tallyloom.operators import effects, models, sampling
+from tallyloom.workspace import materialise
 
 
 def test_splits_are_whole_and_repeatable(spark):
@@ -202,3 +205,27 @@ def test_facts_fail_for_labels_that_nothing_predicts(spark, folder):
 def test_r_squared(spark):
     df = spark.createDataFrame([(1.0, 1.0, 2.5), (2.0, 2.0, 2.5), (3.0, 3.0, 2.5), (4.0, 4.0, 2.5)], "y double, right double, mean double")
     assert tuple(df.agg(models.r_squared(F.col("right"), F.col("y")), models.r_squared(F.col("mean"), F.col("y"))).first()) == (1.0, 0.0)
+
+
+def test_texts_are_hashed_once_for_all_folds(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def text(i):
+        calls.add(1)
+        return f"{'abc'[i % 3]} {'xyz'[i % 3] if i % 5 else 'q'} w{i % 7}"
+
+    rows = spark.range(90).select(F.col("id").alias("doc_id"), F.col("id").cast("int").alias("i")).withColumns(
+        {"lang": F.concat(F.lit("l"), F.col("i") % 3), "fold": F.floor(F.col("i") / 9).cast("int") % 3})
+    pipeline = models.text_pipeline("text", "lang", iterations=5)
+    tuned = models.cross_validated(rows.withColumn("text", text("i")), pipeline, [2, 64], "fold", 3)
+    assert 90 <= calls.value < 3 * 90
+    fixed = materialise(rows.withColumn("text", text("i")), "fixed")
+    hashing = pipeline.getStages()[2]
+    plain = CrossValidator(
+        estimator=pipeline, estimatorParamMaps=ParamGridBuilder().addGrid(hashing.numFeatures, [2, 64]).build(),
+        evaluator=MulticlassClassificationEvaluator(labelCol="label_idx", metricName="accuracy"), numFolds=3, foldCol="fold").fit(fixed)
+    assert tuned.avgMetrics == pytest.approx(plain.avgMetrics) and len(tuned.bestModel.stages) == len(plain.bestModel.stages) == 4
+    assert tuned.bestModel.stages[2].getNumFeatures() == plain.bestModel.stages[2].getNumFeatures() == 64
+    one, other = (m.bestModel.transform(fixed).select("doc_id", "features", "prediction", "label_idx").orderBy("doc_id").collect() for m in (tuned, plain))
+    assert one == other
