@@ -330,4 +330,5 @@ def test_each_training_token_is_learned_from_once_in_a_small_table(spark, monkey
 
     monkeypatch.setattr(lm_scoring, "_learned", counting)
     docs = spark.createDataFrame([(i, f"some words w{i % 7} of text {i}") for i in range(60)], "doc_id long, text string").repartition(3)
-    assert seen.value == lm_scoring.score_texts(docs).first()["train_tokens"]
+    tokens = lm_scoring.score_texts(docs).first()["train_tokens"]
+    assert seen.value == tokens > 0
