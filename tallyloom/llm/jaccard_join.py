@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.components import components
+from tallyloom.llm.components import components, joined_components
 from tallyloom.llm.mixing import WORD
 from tallyloom.llm.words import few_rows, hash_words, raw_bytes, shingles, split_texts
 from tallyloom.workspace import materialise, scratch_path, table_name
@@ -243,7 +243,7 @@ def linked_sets(classes: DataFrame, words: int, percent: int) -> DataFrame:
     pairs = meets.groupBy("_set1", "_set2").agg(
         F.count(F.lit(1)).alias("_met"), F.first(F.least("_matches1", "_matches2")).alias("_least")).where("_met >= _least")
     second = links(pairs.select(F.col("_set1").alias("x"), F.col("_set2").alias("y")), checked=True)
-    return components(first.union(second))
+    return joined_components(groups, second)
 
 
 def with_component(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -285,8 +285,9 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     classes = found.where("n_shingles > 0").groupBy("_row").agg(
         F.count(F.lit(1)).alias("_n"), F.first("component_id").alias("_class"))
     order = F.struct(F.col("_id").isNull(), "_id", "_row", "_n")
-    first = (classes.join(rows.select("_row", F.col("_doc.doc_id").alias("_id")), "_row")
-             .groupBy("_class").agg(F.min(order).alias("_first")).select("_first._row", "_first._n"))
+    # written, as it is joined twice and its plan is the longest of all
+    first = materialise(classes.join(rows.select("_row", F.col("_doc.doc_id").alias("_id")), "_row")
+                        .groupBy("_class").agg(F.min(order).alias("_first")).select("_first._row", "_first._n"), "first")
     wordless = F.coalesce(F.regexp_count("_doc.text", F.lit(WORD)), F.lit(0)) == 0
     kept = rows.where(~wordless).join(first, "_row")
     once = kept.where("_n = 1").select("_doc")

@@ -81,17 +81,22 @@ def descend(rows: list[np.ndarray], scale: np.ndarray, sign: np.ndarray, cost: n
     """Weights and bias of the hinge-loss model over indicator rows scaled by ``scale``, by dual coordinate descent."""
     weight, bias = np.zeros(len(scale)), 0.0
     alpha = np.zeros(len(rows))
-    values = [(scale[r] / max(1.0, len(r)) ** 0.5).astype(np.float32) for r in rows]
-    norms = np.array([float(v @ v) + 1 for v in values])
+
+    def values(i: int) -> np.ndarray:
+        # made anew at each visit: kept, they would take the driver as much memory as the sample
+        return (scale[rows[i]] / max(1.0, len(rows[i])) ** 0.5).astype(np.float32)
+
+    norms = np.array([float(v @ v) + 1 for v in map(values, range(len(rows)))])
     random = np.random.default_rng(1)
     for _ in range(passes):
         moved = 0.0
         for i in random.permutation(len(rows)):
-            gradient = sign[i] * (weight[rows[i]] @ values[i] + bias) - 1
+            own = values(i)
+            gradient = sign[i] * (weight[rows[i]] @ own + bias) - 1
             changed = min(max(alpha[i] - gradient / norms[i], 0.0), cost[i])
             step = (changed - alpha[i]) * sign[i]
             if step:
-                weight[rows[i]] += step * values[i]
+                weight[rows[i]] += step * own
                 bias += step
                 alpha[i] = changed
                 moved = max(moved, abs(step))

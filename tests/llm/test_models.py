@@ -1,15 +1,19 @@
 """Classifiers by held-out rows, the join and the language model by brute force, and the pipeline."""
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
+from tallyloom.llm import components as components_module
 from tallyloom.llm import jaccard_join, lm_scoring, quality, toxicity
-from tallyloom.llm.components import components
+from tallyloom.llm.components import components, joined_components
+from tallyloom.llm.labelled import sample_features
 from tallyloom.llm.queries import QUERIES
 from tallyloom.llm.recurrent import GatedModel, Slices, Streams, lanes
 from tests.llm.conftest import LONG
@@ -160,6 +164,43 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_no_round_on_stars(spark, monkeypatch):
+    written = []
+    real = components_module.materialise
+    monkeypatch.setattr(components_module, "materialise", lambda df, name: written.append(name) or real(df, name))
+    links = [(100, j) for j in range(101, 160)] + [(300, 200), (200, 300), (7, 7)]
+    found = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert found == {j: 100 for j in range(100, 160)} | {300: 200, 200: 200}
+    assert written == ["edges"]
+
+
+def test_links_added_to_components(spark):
+    random = np.random.default_rng(3)
+    for first, second in ((60, 30), (60, 0), (0, 30), (5, 90)):
+        links = [spark.createDataFrame([tuple(map(int, p)) for p in random.integers(0, 120, (n, 2))], "a long, b long") for n in (first, second)]
+        found = sorted(map(tuple, joined_components(components(links[0]), links[1]).collect()))
+        assert found == sorted(map(tuple, components(links[0].union(links[1])).collect()))
+
+
+def test_fit_keeps_no_second_copy_of_the_sample():
+    random = np.random.default_rng(4)
+    rows = [np.unique(random.integers(0, 1 << quality.BITS, 12_000)).astype(np.uint32) for _ in range(1_000)]
+    good = np.arange(len(rows)) // 3 % 2
+    tracemalloc.start()
+    quality.fit(rows, good)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < sum(r.nbytes for r in rows) / 2
+
+
+def test_sample_lies_in_one_array(spark, odd, labels):
+    found, label = sample_features(odd, labels, "quality", quality.ngrams)
+    texts = {r.doc_id: r.text for r in odd.collect()}
+    plain = [next(quality.ngrams(pa.array([texts[i] or ""]))) for i in (1, 2, 4, 7, 9, 10) if not _held(i)]
+    assert len(found) == len(label) == len(plain) and all((f == p).all() for f, p in zip(found, plain))
+    assert len({id(f.base) for f in found}) == 1
+
+
 def _plain_base(rows):
     train, out = Counter(), []
     held = [d is not None and zlib.crc32(str(d).encode()) % 7 == 2 for d, _ in rows]
