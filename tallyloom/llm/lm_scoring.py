@@ -47,6 +47,7 @@ from tallyloom.workspace import materialise
 ROUNDS, RATE = 4, 0.01
 SLICES = 32  # the weights are averaged in so many parts
 BLOCK = 1 << 20
+TOGETHER = 2  # blocks scored at once: a long document lasts for more steps than most lanes of one block have
 PIECE_BYTES = 16 << 20  # text whose words one hash range holds
 END = np.uint64(mix(np.array([1], np.uint64))[0])
 
@@ -190,13 +191,17 @@ def _scored(language):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             scores, outside, marks = [], [], []
-            for row in b.to_pylist():
-                distinct, sizes = _array(row["_words"], "<u8"), np.array(row["_sizes"], np.int64)
-                inputs, targets = language.value.numbered(distinct, _array(row["_tokens"], "<u4"), sizes)
-                starts = np.cumsum(sizes) - sizes
-                scores.append((language.value.model.score(inputs, targets, sizes) / math.log(10)).tolist())
-                outside.append(np.add.reduceat(targets >= WORDS, starts, dtype=np.int64).tolist())
-                marks.append(_blob(np.packbits(language.value.places(distinct) < WORDS)))
+            rows = b.to_pylist()
+            for some in (rows[i: i + TOGETHER] for i in range(0, len(rows), TOGETHER)):
+                laid = []
+                for row in some:
+                    distinct, sizes = _array(row["_words"], "<u8"), np.array(row["_sizes"], np.int64)
+                    inputs, targets = language.value.numbered(distinct, _array(row["_tokens"], "<u4"), sizes)
+                    laid.append((inputs, targets, sizes))
+                    outside.append(np.add.reduceat(targets >= WORDS, np.cumsum(sizes) - sizes, dtype=np.int64).tolist())
+                    marks.append(_blob(np.packbits(language.value.places(distinct) < WORDS)))
+                found = language.value.model.score(*map(np.concatenate, zip(*laid))) / math.log(10)
+                scores += [x.tolist() for x in np.split(found, np.cumsum([len(sizes) for *_, sizes in laid])[:-1])]
             kept = [c for c in b.schema.names if c != "_words"]
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(c) for c in kept), pa.array(scores, pa.list_(pa.float64())), pa.array(outside, pa.list_(pa.int32())),

@@ -23,7 +23,7 @@ MEMBERS = 48  # words of a class
 OTHERS = 64  # input numbers for words outside the vocabulary, by hash
 WORDS = CLASSES * MEMBERS
 LANES, STEPS = 256, 24  # of a training window
-SCORE_LANES, WINDOW = 256, 32
+SCORE_LANES, WINDOW = 256, 64
 WARM = 64  # words read ahead of a lane that begins inside a document
 UPDATES = 64  # a small table has fewer lanes, for about as many updates
 
@@ -111,19 +111,19 @@ class Adam:
     def update(self, model: GatedModel, gradients: dict[str, np.ndarray]) -> None:
         """One step; ``gradients`` are used up."""
         self.done += 1
-        rate, spread = np.float32(self.rate / (1 - 0.9**self.done)), np.float32(1 / (1 - 0.99**self.done))
+        # the moments lack their factors 0.1 and 0.01, which are in the rate and in what keeps the root from 0
+        spread = math.sqrt(0.01 / (1 - 0.99**self.done))
+        rate, least = np.float32(0.1 * self.rate / (1 - 0.9**self.done) / spread), np.float32(1e-6 / spread)
         for n, g in gradients.items():
             m, v = self.moments.setdefault(n, (np.zeros_like(g), np.zeros_like(g)))
             step = self.room("step", *g.shape)
             m *= np.float32(0.9)
-            m += np.multiply(g, np.float32(0.1), out=step)
+            m += g
             v *= np.float32(0.99)
             g *= g
-            g *= np.float32(0.01)
             v += g
-            np.multiply(v, spread, out=step)
-            np.sqrt(step, out=step)
-            step += np.float32(1e-6)
+            np.sqrt(v, out=step)
+            step += least
             np.divide(m, step, out=step)
             step *= rate
             p = getattr(model, n)
@@ -151,9 +151,8 @@ class GatedModel:
         """What each input number adds to both gates and to the new state, signed for ``_step``."""
         table = self.room("table", 3, len(self.emb), HIDDEN)
         for part, wx, b, sign in zip(table, np.split(self.wx, 3, axis=1), np.split(self.b, 3), (-1, -1, -2)):
-            np.matmul(self.emb, wx, out=part)
-            part += b
-            part *= sign
+            np.matmul(self.emb, wx * sign, out=part)
+            part += b * sign
         return table
 
     def _inner(self) -> tuple[np.ndarray, np.ndarray]:
@@ -162,34 +161,36 @@ class GatedModel:
 
     @staticmethod
     @np.errstate(over="ignore")  # of a gate that is shut
-    def _step(x: np.ndarray, h: np.ndarray, u: np.ndarray, un: np.ndarray):
+    def _step(x: np.ndarray, h: np.ndarray, u: np.ndarray, un: np.ndarray, out=None, gates=None, reset=None, n=None):
         """Next state, gates, what the reset leaves and new part, by lane; a gate is 1 / (1 + e), e of a sum with its sign turned."""
-        gates = h @ u
+        gates = np.matmul(h, u, out=gates)
         gates += x[:2]
         np.exp(gates, out=gates)
         gates += 1
         np.reciprocal(gates, out=gates)
-        reset = gates[1] * h
-        n = reset @ un
+        reset = np.multiply(gates[1], h, out=reset)
+        n = np.matmul(reset, un, out=n)
         n += x[2]
         np.exp(n, out=n)
         n += 1
         np.divide(2, n, out=n)
         n -= 1
-        out = h - n
+        out = np.subtract(h, n, out=out)
         out *= gates[0]
         out += n
         return out, gates, reset, n
 
-    def _by_class(self, targets: np.ndarray):
-        """Class of each target, the order by class, and where each class ends in it."""
+    def _by_class(self, states: np.ndarray, targets: np.ndarray):
+        """The order by class; states, place of each target in its class and class, in that order; where each class ends in it."""
         kind = np.minimum(targets // MEMBERS, CLASSES).astype(np.int16)
         order = np.argsort(kind, kind="stable")
-        return kind, order, np.searchsorted(kind[order], np.arange(CLASSES + 1))
+        kind = kind[order]
+        own = np.take(states, order, axis=0, out=self.room("sorted", *states.shape, kind=states.dtype), mode="clip")
+        return order, own, targets[order] - kind * MEMBERS, kind, np.searchsorted(kind, np.arange(CLASSES + 1))
 
     def _within(self, states: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """What each word of the target's class has after states in order of class."""
-        x = self.room("within", int(ends[CLASSES]), MEMBERS, kind=states.dtype)
+        x = self.room("within", ends[CLASSES], MEMBERS, kind=states.dtype)
         for c in np.flatnonzero(np.diff(ends)):
             own = slice(ends[c], ends[c + 1])
             np.matmul(states[own], self.ww[c], out=x[own])
@@ -198,16 +199,18 @@ class GatedModel:
 
     def outputs(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural log chance of each target (CLASSES * MEMBERS and above: outside the vocabulary) after its state."""
-        kind, order, ends = self._by_class(targets)
+        order, states, member, kind, ends = self._by_class(states, targets)
         x = np.matmul(states, self.wc, out=self.room("class", len(states), CLASSES + 1, kind=states.dtype))
         x += self.bc
         found = x[np.arange(len(kind)), kind]
         found -= _exponents(x)[1]
-        known = order[: ends[CLASSES]]
-        x = self._within(states[known], ends)
-        within = x[np.arange(len(known)), targets[known] - kind[known] * MEMBERS]
-        found[known] += within - _exponents(x)[1]
-        return found
+        known = ends[CLASSES]
+        x = self._within(states, ends)
+        within = x[np.arange(known), member[:known]]
+        found[:known] += within - _exponents(x)[1]
+        out = np.empty_like(found)
+        out[order] = found
+        return out
 
     def score(self, inputs: np.ndarray, targets: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Natural log chance of each whole document; ``inputs`` are the words before the targets."""
@@ -217,11 +220,15 @@ class GatedModel:
         total = np.zeros(len(sizes))
         h = np.zeros((len(streams.lanes), HIDDEN), np.float32)
         for places in streams.windows(WINDOW):
-            h = h[: places.shape[1]]
-            states, asked = self.room("states", *places.shape, HIDDEN), inputs[places]
-            going = ~streams.first[places]
-            for t in range(len(places)):
-                h = states[t] = self._step(np.take(table, asked[t], axis=1), h * going[t][:, None], *inner)[0]
+            steps, active = places.shape
+            h = h[:active].copy()
+            states, x, asked = self.room("states", steps, active, HIDDEN), self.room("x", 3, active, HIDDEN), inputs[places]
+            space = self.room("gates", 2, active, HIDDEN), self.room("reset", active, HIDDEN), self.room("new", active, HIDDEN)
+            for t, fresh in enumerate(streams.first[places]):
+                if fresh.any():
+                    h = h.copy()
+                    h[fresh] = 0
+                h = self._step(np.take(table, asked[t], axis=1, out=x, mode="clip"), h, *inner, states[t], *space)[0]
             real = places.ravel() >= 0
             at, states = places.ravel(), states.reshape(-1, HIDDEN)
             if not real.all():
@@ -253,7 +260,9 @@ class GatedModel:
         for back in range(WARM, 0, -1):
             real = slices.edges[:-1] >= back
             at = np.where(real, slices.edges[:-1] - back, 0)
-            h = self._step(np.take(table, slices.inputs[at], axis=1), h * ~slices.first[at][:, None], *inner)[0] * real[:, None]
+            h[slices.first[at]] = 0
+            h = self._step(np.take(table, slices.inputs[at], axis=1), h, *inner)[0]
+            h[~real] = 0
         return h
 
     def learn(self, inputs: np.ndarray, targets: np.ndarray, sizes: np.ndarray, adam: Adam) -> None:
@@ -268,48 +277,52 @@ class GatedModel:
         """Gradients over the places of a window, and the states after it."""
         inputs, targets = streams.inputs[places], streams.targets
         inner = self._inner()
-        going = (~streams.first[places] & (places >= 0))[..., None].astype(np.float32)
         table, room, shape = self._table(), self.room, (*places.shape, HIDDEN)
         before, states, reset, new = (room(n, *shape) for n in ("before", "states", "reset", "new"))
-        gates = room("gates", 2, *shape)
-        for t in range(len(places)):
-            np.multiply(h, going[t], out=before[t])
-            h, gates[:, t], reset[t], new[t] = self._step(np.take(table, inputs[t], axis=1), before[t], *inner)
-            states[t] = h
+        gates, x = room("gates", len(places), 2, *h.shape), room("x", 3, *h.shape)
+        halted = [np.flatnonzero(stop) for stop in streams.first[places] | (places < 0)]
+        for t, stop in enumerate(halted):
+            before[t] = h
+            before[t][stop] = 0
+            h = self._step(np.take(table, inputs[t], axis=1, out=x, mode="clip"), before[t], *inner, states[t], gates[t], reset[t], new[t])[0]
+        h = h.copy()
         real = places.ravel() >= 0
         some = slice(None) if real.all() else real
-        flat, goal = states.reshape(-1, HIDDEN)[some], targets[places.ravel()[some]]
-        scale = np.float32(1 / max(1, len(goal)))
-        kind, order, ends = self._by_class(goal)
+        order, flat, member, kind, ends = self._by_class(states.reshape(-1, HIDDEN)[some], targets[places.ravel()[some]])
+        scale = np.float32(1 / max(1, len(kind)))
         g = {n: room("g" + n, *getattr(self, n).shape) for n in ("emb", "ww", "bw")}
         for whole in g.values():
             whole[:] = 0
-        delta = np.matmul(flat, self.wc, out=room("class", len(goal), CLASSES + 1))
+        delta = np.matmul(flat, self.wc, out=room("class", len(kind), CLASSES + 1))
         delta += self.bc
         delta *= (scale / _exponents(delta)[0])[:, None]
-        delta[np.arange(len(goal)), kind] -= scale
-        g["wc"], g["bc"] = flat.T @ delta, np.ones(len(goal), np.float32) @ delta
-        back = np.matmul(delta, self.wc.T, out=room("back", len(goal), HIDDEN))
-        known = order[: ends[CLASSES]]
-        flat = np.take(flat, known, axis=0, out=room("known", len(known), HIDDEN), mode="clip")
+        delta[np.arange(len(kind)), kind] -= scale
+        ones = np.ones(len(kind), np.float32)
+        g["wc"], g["bc"] = flat.T @ delta, ones @ delta
+        back = np.matmul(delta, self.wc.T, out=room("back", len(kind), HIDDEN))
+        known = ends[CLASSES]
         within = self._within(flat, ends)
         within *= (scale / _exponents(within)[0])[:, None]
-        within[np.arange(len(known)), goal[known] - kind[known] * MEMBERS] -= scale
-        sent = room("sent", *flat.shape)
+        within[np.arange(known), member[:known]] -= scale
+        sent = room("sent", known, HIDDEN)
         for c in np.flatnonzero(np.diff(ends)):
             own = slice(ends[c], ends[c + 1])
-            g["ww"][c], g["bw"][c] = flat[own].T @ within[own], np.ones(ends[c + 1] - ends[c], np.float32) @ within[own]
-            np.matmul(within[own], self.ww[c].T, out=sent[own])
-        back[known] += sent
+            delta = within[own]
+            np.matmul(flat[own].T, delta, out=g["ww"][c])
+            np.matmul(ones[own], delta, out=g["bw"][c])
+            np.matmul(delta, self.ww[c].T, out=sent[own])
+        back[:known] += sent
         dout = room("dout", places.size, HIDDEN)
         dout[~real] = 0
-        dout[some] = back
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        dout[some] = np.take(back, place, axis=0, out=room("sorted", *back.shape), mode="clip")
         dout = dout.reshape(shape)
         dx = room("dx", 3, *shape)
         through = self.un.T, *self.u.reshape(HIDDEN, 2, HIDDEN).transpose(1, 2, 0)
         dh, one, two = np.zeros(h.shape, np.float32), np.empty(h.shape, np.float32), np.empty(h.shape, np.float32)
         for t in reversed(range(len(places))):
-            z, r = gates[:, t]
+            z, r = gates[t]
             dh += dout[t]
             np.subtract(1, z, out=one)
             np.multiply(new[t], new[t], out=two)
@@ -329,23 +342,25 @@ class GatedModel:
             dh += two
             dh += np.matmul(dx[0, t], through[1], out=one)
             dh += np.matmul(dx[1, t], through[2], out=one)
-            dh *= going[t]
-        dx = dx.reshape(3, -1, HIDDEN)
-        before, reset = before.reshape(-1, HIDDEN).T, reset.reshape(-1, HIDDEN).T
-        g["u"] = np.concatenate([before @ dx[0], before @ dx[1]], axis=1)
-        g["un"] = reset @ dx[2]
-        embedded = self.emb[inputs.ravel()].T
-        g["wx"] = np.concatenate([embedded @ d for d in dx], axis=1)
-        g["b"] = np.concatenate([np.ones(places.size, np.float32) @ d for d in dx])
-        asked = inputs.ravel().astype(np.int16)
-        order = np.argsort(asked, kind="stable")
-        begins = np.flatnonzero(np.diff(asked[order], prepend=-1))
-        own, part = room("sent", places.size, EMBED), room("back", places.size, EMBED)
-        for k, w in enumerate(np.split(self.wx, 3, axis=1)):
-            np.matmul(dx[k], w.T, out=part if k else own)
-            if k:
-                own += part
-        g["emb"][asked[order[begins]]] = np.add.reduceat(own[order], begins)
+            dh[halted[t]] = 0
+        # the gradients of all weights of the gates, and of those of the new state, in one product each
+        dx = np.concatenate(dx.reshape(3, -1, HIDDEN), axis=1, out=room("dx by place", places.size, 3 * HIDDEN))
+        asked = inputs.ravel()
+        into = room("into", places.size, HIDDEN + EMBED + 1)
+        into[:, :HIDDEN], into[:, -1] = before.reshape(-1, HIDDEN), 1
+        into[:, HIDDEN:-1] = np.take(self.emb, asked, axis=0, mode="clip")
+        both = into.T @ dx[:, : 2 * HIDDEN]
+        into[:, :HIDDEN] = reset.reshape(-1, HIDDEN)
+        last = into.T @ dx[:, 2 * HIDDEN:]
+        g["u"], g["un"] = both[:HIDDEN], last[:HIDDEN]
+        rest = np.concatenate([both[HIDDEN:], last[HIDDEN:]], axis=1)
+        g["wx"], g["b"] = rest[:EMBED], rest[EMBED]
+        order = np.argsort(asked.astype(np.int16), kind="stable")
+        asked = asked[order]
+        begins = np.flatnonzero(np.diff(asked, prepend=-1))
+        own = np.matmul(dx, self.wx.T, out=room("sent", places.size, EMBED))
+        own = np.take(own, order, axis=0, out=room("back", places.size, EMBED), mode="clip")
+        g["emb"][asked[begins]] = np.add.reduceat(own, begins)
         size = np.sqrt(sum(float(np.vdot(v, v)) for v in g.values()))
         if size > 1:
             for whole in g.values():

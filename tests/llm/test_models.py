@@ -15,7 +15,7 @@ from tallyloom.llm import jaccard_join, lm_scoring, quality, toxicity
 from tallyloom.llm.components import components, joined_components
 from tallyloom.llm.labelled import sample_features
 from tallyloom.llm.queries import QUERIES
-from tallyloom.llm.recurrent import GatedModel, Slices, Streams, lanes
+from tallyloom.llm.recurrent import Adam, GatedModel, Slices, Streams, lanes
 from tests.llm.conftest import LONG
 
 MIDDLE = "/root/testdata/sf0.01"
@@ -373,3 +373,38 @@ def test_each_training_token_is_learned_from_once_in_a_small_table(spark, monkey
     docs = spark.createDataFrame([(i, f"some words w{i % 7} of text {i}") for i in range(60)], "doc_id long, text string").repartition(3)
     tokens = lm_scoring.score_texts(docs).first()["train_tokens"]
     assert seen.value == tokens > 0
+
+
+def test_blocks_are_scored_together_in_fewer_steps(monkeypatch):
+    random = np.random.default_rng(8)
+    hashes = [[random.integers(1, 1 << 62, n, dtype=np.uint64) for n in (900, 40, 200)] for _ in range(2)]
+    rows = [lm_scoring._block(i, [1, 2, 3], [False] * 3, h, 2).slice(0, 1) for i, h in enumerate(hashes)]
+    words = np.unique(np.concatenate(hashes[0]))
+    language = lm_scoring.Language(words, np.ones(len(words), np.int64), 500)
+    steps, step = [], GatedModel._step
+    monkeypatch.setattr(GatedModel, "_step", staticmethod(lambda *a: steps.append(1) or step(*a)))
+
+    class Shared:
+        value = language
+
+    def scored(*blocks):
+        steps.clear()
+        batch = pa.Table.from_batches(blocks).combine_chunks().to_batches()[0]
+        out = next(lm_scoring._scored(Shared)(iter([batch])))
+        return out.column("_model").to_pylist(), out.column("_outside").to_pylist(), len(steps)
+
+    apart, together = [scored(r) for r in rows], scored(*rows)
+    assert np.allclose([*apart[0][0], *apart[1][0]], together[0], rtol=1e-5) and [*apart[0][1], *apart[1][1]] == together[1]
+    assert together[2] == max(n for *_, n in apart) < sum(n for *_, n in apart)
+
+
+def test_moments_without_their_factors_step_alike():
+    random = np.random.default_rng(9)
+    model, adam = GatedModel(), Adam(0.01)
+    p, m, v = model.un.astype(float), 0.0, 0.0
+    for t in range(1, 6):
+        g = random.standard_normal(p.shape)
+        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
+        p -= 0.01 * m / (1 - 0.9**t) / (np.sqrt(v / (1 - 0.99**t)) + 1e-6)
+        adam.update(model, {"un": g.astype(np.float32)})
+    assert np.allclose(model.un, p, atol=1e-6)
