@@ -34,6 +34,8 @@ from tallyloom.workspace import materialise
 
 BLOCK_CELLS = 1_000_000  # weights of a block of a model
 BLOCK_ROWS = 4096  # rows of a block, at least
+# rows a fit keeps together; the arrays of the usual 1 MB take whole heap regions each, which Spark does not count
+FIT_BLOCK_MB = 0.25
 
 
 def ols(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -115,6 +117,25 @@ def text_pipeline(text: str, label: str, features: int = 1000, iterations: int =
         logistic("label_idx", maxIter=iterations)])
 
 
+class TableCrossValidator(CrossValidator):
+    """Cross validation on a written table, of which no fold is kept in memory.
+
+    The library keeps training and validation rows of a fold with the features
+    of every setting, beside the copy that each of the fits makes of its own
+    rows.  Here each fit and each evaluation reads its columns from the table,
+    one after the other, so what is kept at once is the copy of one fit, which
+    goes to disk where it does not fit.
+    """
+
+    def _fit(self, dataset: DataFrame) -> CrossValidatorModel:
+        estimator, grid, evaluator = self.getEstimator(), self.getEstimatorParamMaps(), self.getEvaluator()
+        measured = [[evaluator.evaluate(estimator.fit(train, setting).transform(validation)) for setting in grid]
+                    for train, validation in self._kFold(dataset)]
+        means, deviations = list(np.mean(measured, axis=0)), list(np.std(measured, axis=0))
+        best = int(np.argmax(means) if evaluator.isLargerBetter() else np.argmin(means))
+        return self._copyValues(CrossValidatorModel(estimator.fit(dataset, grid[best]), means, stdMetrics=deviations))
+
+
 def cross_validated(rows: DataFrame, pipeline: Pipeline, feature_counts: Sequence[int],
                     fold: str, folds: int) -> CrossValidatorModel:
     """Grid search over the number of hashed features by accuracy, on folds given as a column.
@@ -132,11 +153,11 @@ def cross_validated(rows: DataFrame, pipeline: Pipeline, feature_counts: Sequenc
     texts = {s.getInputCol() for s in ready}
     hashed = PipelineModel([s for s in ready if s is not hashing] + settings).transform(rows)
     table = materialise(hashed.select(*[c for c in rows.columns if c not in texts], *columns), "features")
-    grid = ParamGridBuilder().addGrid(learner.featuresCol, columns).build()
-    tuned = CrossValidator(
+    grid = ParamGridBuilder().baseOn({learner.maxBlockSizeInMB: FIT_BLOCK_MB}).addGrid(learner.featuresCol, columns).build()
+    tuned = TableCrossValidator(
         estimator=Pipeline(stages=[s for s in stages if s not in ready]), estimatorParamMaps=grid,
         evaluator=MulticlassClassificationEvaluator(labelCol="label_idx", metricName="accuracy"),
-        numFolds=folds, foldCol=fold, parallelism=2).fit(table)
+        numFolds=folds, foldCol=fold).fit(table)
     fitted = iter(tuned.bestModel.stages)
     best = [s if s in ready else next(fitted) for s in stages]
     chosen = best[stages.index(learner)].getFeaturesCol()

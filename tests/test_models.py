@@ -229,3 +229,29 @@ def test_texts_are_hashed_once_for_all_folds(spark):
     assert tuned.bestModel.stages[2].getNumFeatures() == plain.bestModel.stages[2].getNumFeatures() == 64
     one, other = (m.bestModel.transform(fixed).select("doc_id", "features", "prediction", "label_idx").orderBy("doc_id").collect() for m in (tuned, plain))
     assert one == other
+
+
+def _languages(spark, text):
+    rows = spark.range(90).select(F.col("id").alias("doc_id"), F.col("id").cast("int").alias("i"))
+    return rows.select("doc_id", text("i").alias("text"), F.concat(F.lit("l"), F.col("i") % 3).alias("lang"),
+                       (F.floor(F.col("i") / 9).cast("int") % 3).alias("fold"))
+
+
+def test_no_fold_is_kept_in_memory(spark, monkeypatch):
+    rows = _languages(spark, lambda i: F.concat(F.lit("w"), F.col(i) % 3))
+    kept = []
+    for name in ("persist", "cache"):
+        monkeypatch.setattr(type(rows), name, lambda self, *level: kept.append(self) or self)
+    tuned = models.cross_validated(rows, models.text_pipeline("text", "lang", iterations=5), [2, 64], "fold", 3)
+    assert not kept and len(tuned.avgMetrics) == len(tuned.stdMetrics) == 2 and tuned.avgMetrics[1] == 1
+    assert tuned.bestModel.stages[-1].getMaxBlockSizeInMB() < 0.5
+
+
+def test_folds_out_of_range_are_refused(spark):
+    rows = _languages(spark, lambda i: F.lit("a b"))
+    pipeline = models.text_pipeline("text", "lang", iterations=2)
+    for fold in (F.lit(3), F.lit(None).cast("int")):
+        with pytest.raises(Exception, match="Fold number|fold"):
+            models.cross_validated(rows.withColumn("fold", fold), pipeline, [2], "fold", 3)
+    with pytest.raises(ValueError, match="empty"):
+        models.cross_validated(rows.withColumn("fold", F.lit(0)), pipeline, [2], "fold", 3)
