@@ -255,3 +255,17 @@ def test_folds_out_of_range_are_refused(spark):
             models.cross_validated(rows.withColumn("fold", fold), pipeline, [2], "fold", 3)
     with pytest.raises(ValueError, match="empty"):
         models.cross_validated(rows.withColumn("fold", F.lit(0)), pipeline, [2], "fold", 3)
+
+
+def test_the_best_model_scores_every_text(spark):
+    from tallyloom.plans import model_queries as q
+
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def text(i):
+        calls.add(1)
+        return f"w{i % 3}"
+
+    facts = [tuple(r) for r in q.cross_validation_facts(_languages(spark, text)).collect()]
+    assert facts == [(1000, True, 90), (2000, True, 90)] and calls.value >= 2 * 90
